@@ -66,7 +66,7 @@ def html_to_markdown_full(spark: SparkSession, folder: str) -> DataFrame:
 def _order_pages(spark: SparkSession, folder: str) -> DataFrame:
     """One page per order, with a table and two images, made from the order's columns."""
     cells = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
-    return _table(spark, folder, "orders").select(
+    return balance(_table(spark, folder, "orders")).select(
         F.concat(F.lit("order/"), F.col("o_orderkey"), F.lit(".html")).alias("document_path"),
         F.concat(
             F.lit("<html><body><h2>Order "),
