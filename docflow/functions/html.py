@@ -11,7 +11,7 @@ attempt to match can run past the next marker and fail there. (A pattern such
 as ``<nav>.*?</nav>`` searches the rest of the page once per unclosed ``<nav>``.)
 
 Private markers stand in for structure between the steps. They are control
-characters that HTML forbids and that the first step removes from the input.
+characters; the first step turns those of the input into blanks.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ TABLE, TABLE_END, ROW, CELL = "\x03", "\x04", "\x05", "\x06"
 LINK, LINK_TEXT, LINK_END = "\x07", "\x0e", "\x0f"
 PARAGRAPH, LINE = "\x10", "\x11"
 IMAGE = "\x12"
+END = "\x14"
 
 # Elements that start and end a block of text.
 BLOCK_TAGS = (
@@ -44,13 +45,16 @@ IMAGE_PLACEHOLDER = "<!-- image -->"
 COMMON_ENTITIES = "amp quot lt gt nbsp copy middot".split()
 # ---------------------------------------------------------------------------
 
+# Length that takes the rest of any text.
+_ALL = 2**31 - 1
+
 # What a reader never sees. An element cut off by the end of the page ends there.
 _UNSEEN = (
     r"(?is)<(?:!--.*?(?:-->|\z)"
     r"|script(?:[\s/][^<>]*)?>.*?(?:</script[^<>]*>|\z)"
     r"|style(?:[\s/][^<>]*)?>.*?(?:</style[^<>]*>|\z))"
 )
-_MARKERS = r"[\x01-\x07\x0e-\x12]"
+_CONTROL = r"[\x01-\x1f]"
 
 
 def _map(entries: dict[str, str]) -> Column:
@@ -61,7 +65,10 @@ def _map(entries: dict[str, str]) -> Column:
 
 def _tag_texts(config: ConvertConfig) -> dict[str, str]:
     """What each tag leaves behind; tags not listed leave nothing."""
-    texts = {"br": LINE, "li": LINE + "- ", "/a": LINK_END}
+    # The map is searched from its start, so the most frequent tags come first.
+    frequent = "p /p li /li a /a b /b i /i span /span td /td tr /tr br div /div".split()
+    texts = dict.fromkeys(frequent, "")
+    texts |= {"br": LINE, "li": LINE + "- ", "/a": LINK_END}
     for name in BLOCK_TAGS:
         texts[name] = texts["/" + name] = PARAGRAPH
     for level in range(1, 7):
@@ -98,16 +105,25 @@ def _image(tag: Column, mode: str) -> Column:
 
 
 def drop_unseen(html: Column) -> Column:
-    """The page without comments, scripts, styles and stray marker characters."""
-    return F.regexp_replace(F.regexp_replace(html, _MARKERS, ""), _UNSEEN, "")
+    """The page without comments, scripts and styles.
+
+    Control characters, among them line breaks, tabs and stray markers, become
+    blanks; to HTML they mean the same.
+    """
+    return F.regexp_replace(F.regexp_replace(html, _CONTROL, " "), _UNSEEN, "")
 
 
 def collapse_blanks(text: Column) -> Column:
-    """Every run of white space becomes one blank.
+    return F.regexp_replace(text, " {2,}", " ")
+
+
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once.
 
-    Two steps, so that single blanks, by far the most frequent, are left alone.
+    Spark shares common parts of ordinary expressions by itself, but not what
+    higher-order functions and their lambdas use.
     """
-    return F.regexp_replace(F.regexp_replace(text, r"[\t-\r]", " "), " {2,}", " ")
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def replace_tags(
@@ -119,32 +135,29 @@ def replace_tags(
     """
     texts = _map(tag_texts)
 
-    def cut(piece: Column) -> Column:
-        return F.struct(piece.alias("piece"), F.substring_index(piece, ">", 1).alias("tag"))
+    def name_of(piece: Column, i: Column) -> Column:
+        # Null for what precedes the first tag, '' for a < that starts no tag.
+        return F.when(i > 0, F.lower(F.regexp_extract(piece, "^/?[a-zA-Z][a-zA-Z0-9]*", 0)))
 
-    def named(cut_piece: Column) -> Column:
-        tag = cut_piece["tag"]
-        return F.struct(
-            cut_piece["piece"].alias("piece"),
-            tag.alias("tag"),
-            F.lower(F.regexp_extract(tag, "^/?[a-zA-Z][a-zA-Z0-9]*", 0)).alias("name"),
-        )
-
-    def rewritten(part: Column, i: Column) -> Column:
-        piece, tag, name = part["piece"], part["tag"], part["name"]
-        text = F.substring(piece, F.length(tag) + 2, F.length(piece))
+    def rewritten(piece: Column, name: Column) -> Column:
+        tag = F.substring_index(piece, ">", 1)
+        text = F.substring(piece, F.instr(piece, ">") + 1, F.lit(_ALL))
         return (
-            F.when(i == 0, piece)
+            F.when(name.isNull(), piece)
             .when(name == "a", F.concat(link(tag) if link else F.lit(""), text))
             .when(name == "img", F.concat(image(tag) if image else F.lit(""), text))
             .when(name != "", F.concat(F.coalesce(F.element_at(texts, name), F.lit("")), text))
             # <!doctype>, <?xml?> and a bare </ vanish; any other < is text.
-            .when(tag.rlike("^[!?/]"), text)
+            .when(piece.rlike("^[!?/]"), text)
             .otherwise(F.concat(F.lit("<"), piece))
         )
 
-    pieces = F.transform(F.transform(F.split(html, "<"), cut), named)
-    return F.array_join(F.transform(pieces, rewritten), "")
+    # A tag cut off by the end of the page is closed by the end mark's bracket.
+    pieces = F.split(F.concat(html, F.lit(END + ">")), "<")
+    joined = F.array_join(
+        _bind(pieces, lambda all_: F.zip_with(all_, F.transform(all_, name_of), rewritten)), ""
+    )
+    return F.replace(F.replace(joined, F.lit(END + ">"), F.lit("")), F.lit(END), F.lit(""))
 
 
 def decode_entities(text: Column) -> Column:
@@ -152,11 +165,10 @@ def decode_entities(text: Column) -> Column:
     # A no-break space becomes a blank, as all white space does.
     chars = _map({n: " " if n == "nbsp" else chr(name2codepoint[n]) for n in names})
 
-    def named(piece: Column) -> Column:
-        entity = F.regexp_extract(
-            piece, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,7});", 1
-        )
-        return F.struct(piece.alias("piece"), entity.alias("entity"))
+    def entity_of(piece: Column, i: Column) -> Column:
+        # Null for what precedes the first &, '' for an & that starts no entity.
+        pattern = "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,7});"
+        return F.when(i > 0, F.regexp_extract(piece, pattern, 1))
 
     def char(entity: Column) -> Column:
         number = F.when(
@@ -171,19 +183,24 @@ def decode_entities(text: Column) -> Column:
         )
         return F.when(entity.startswith("#"), printable).otherwise(F.element_at(chars, entity))
 
-    def rewritten(part: Column, i: Column) -> Column:
-        piece, entity = part["piece"], part["entity"]
+    def rewritten(piece: Column, entity: Column) -> Column:
         decoded = F.concat(
-            char(entity), F.substring(piece, F.length(entity) + 2, F.length(piece))
+            char(entity), F.substring(piece, F.length(entity) + 2, F.lit(_ALL))
         )
         as_text = F.concat(F.lit("&"), piece)
         return (
-            F.when(i == 0, piece)
+            F.when(entity.isNull(), piece)
             .when(entity == "", as_text)
             .otherwise(F.coalesce(decoded, as_text))
         )
 
-    return F.array_join(F.transform(F.transform(F.split(text, "&"), named), rewritten), "")
+    return F.array_join(
+        _bind(
+            F.split(text, "&"),
+            lambda all_: F.zip_with(all_, F.transform(all_, entity_of), rewritten),
+        ),
+        "",
+    )
 
 
 def _render_tables(text: Column) -> Column:
@@ -196,29 +213,23 @@ def _render_tables(text: Column) -> Column:
 
     def row_line(row: Column, i: Column) -> Column:
         rule = F.concat(F.lit("\n|"), F.repeat(F.lit("---|"), F.size(F.split(row, CELL)) - 1))
-        return F.concat(
-            F.regexp_replace(row, rf" *{CELL} *", " | "),
-            F.lit(" |"),
-            F.when(i == 0, rule).otherwise(""),
-        )
+        line = F.regexp_replace(F.trim(row), f" ?{CELL} ?", " | ")
+        return F.concat(F.ltrim(line), F.lit(" |"), F.when(i == 0, rule).otherwise(""))
 
-    def table(piece: Column) -> Column:
-        body = F.substring_index(piece, TABLE_END, 1)
-        rest = F.substring(piece, F.length(body) + 1, F.length(piece))
-        rows = F.transform(
-            F.split(F.replace(body, F.lit("|"), F.lit("\\|")), ROW),
-            lambda row: F.trim(F.regexp_replace(row, rf"[ {PARAGRAPH}{LINE}]+", " ")),
+    def body_text(body: Column) -> Column:
+        return F.regexp_replace(
+            F.replace(body, F.lit("|"), F.lit("\\|")), f"[ {PARAGRAPH}{LINE}]+", " "
         )
+
+    def rendered(rows: Column) -> Column:
         loose = F.filter(rows, lambda row: ~F.contains(row, F.lit(CELL)))
         lines = F.transform(F.filter(rows, lambda row: F.contains(row, F.lit(CELL))), row_line)
-        return F.concat(
-            F.lit(PARAGRAPH),
-            F.array_join(loose, " "),
-            F.lit(PARAGRAPH),
-            F.array_join(F.transform(lines, F.trim), LINE),
-            F.lit(PARAGRAPH),
-            rest,
-        )
+        return F.concat_ws(PARAGRAPH, F.lit(""), F.concat_ws(" ", loose), F.concat_ws(LINE, lines), F.lit(""))
+
+    def table(piece: Column) -> Column:
+        body = F.substring_index(piece, TABLE_END, 1)
+        rest = F.substring(piece, F.length(body) + 1, F.lit(_ALL))
+        return F.concat(_bind(F.split(body_text(body), ROW), rendered), rest)
 
     pieces = F.transform(
         F.split(text, TABLE), lambda piece, i: F.when(i == 0, piece).otherwise(table(piece))

@@ -104,7 +104,10 @@ class InChild:
 
     def __init__(self, factory: Callable, timeout_s: float | None) -> None:
         self._pickled, self._timeout_s = cloudpickle.dumps(factory), timeout_s
-        self._context = multiprocessing.get_context("spawn")
+        # Children are forked from a clean server process, one per Python worker:
+        # replacing a child takes milliseconds and inherits nothing from the worker.
+        self._context = multiprocessing.get_context("forkserver")
+        self._context.set_forkserver_preload([__name__])
         self._child = self._connection = None
         self._build_error: str | None = None
 

@@ -48,9 +48,9 @@ def summarize(df: DataFrame) -> DataFrame:
 def preview(df: DataFrame, n: int = 20, width: int | None = 50) -> DataFrame:
     """The first ``n`` rows by path, as text; cells longer than ``width`` are cut.
 
-    Spark keeps ``n`` rows per task and merges those, so nothing is sorted as a
-    whole. What computes the other columns runs on every row that reaches this
-    step; preview a stored result, or limit the documents before converting them.
+    The n-th smallest path is found first, from the paths alone: each task keeps
+    ``n`` of them. As a filter it moves below the conversion, to the scan, so only
+    what is shown is converted, and nothing is sorted as a whole.
     """
 
     def cell(field: T.StructField) -> Column:
@@ -60,4 +60,7 @@ def preview(df: DataFrame, n: int = 20, width: int | None = 50) -> DataFrame:
             text = F.when(F.length(text) > width, short).otherwise(text)
         return text.alias(field.name)
 
-    return df.orderBy("document_path").limit(n).select(*[cell(f) for f in df.schema.fields])
+    path = F.col("document_path")
+    last = df.select(path).orderBy(path).limit(n).agg(F.max(path)).scalar()
+    shown = df.filter(path.isNull() | (path <= last))
+    return shown.orderBy("document_path").limit(n).select(*[cell(f) for f in df.schema.fields])

@@ -98,7 +98,9 @@ def main(argv: list[str] | None = None) -> int:
     converter = None if native else _load(args.converter)
     single_file = args.output is None
     output = args.output or args.output_file or "output/results.jsonl"
-    spark = build_session("docflow")
+    # A plug-in spends seconds on a document, so its splits hold few of them.
+    splits = {} if native else {"spark__sql__files__maxPartitionBytes": "16m"}
+    spark = build_session("docflow", **splits)
     try:
         ship_package(spark)
         run_job(

@@ -189,9 +189,7 @@ def successes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def preview(spark: SparkSession, folder: str) -> DataFrame:
-    """The limit comes before the conversion, so only the rows shown are converted."""
-    first = _table(spark, folder, "pages").orderBy("url").limit(20)
-    return results.preview(plans.convert_pages(first))
+    return results.preview(_page_results(spark, folder))
 
 
 # --- plug-in conversion --------------------------------------------------------

@@ -16,6 +16,7 @@ DEFAULTS = {
     # Documents are large; small batches bound the memory of a Python worker.
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
     # One worker serves many tasks, so a converter's imports are paid once.
     "spark.python.worker.reuse": "true",
     "spark.python.worker.faulthandler.enabled": "true",

@@ -16,7 +16,9 @@ def read_content(
 
     Readable files come straight from the scan. The few others are the listing's
     rows that the scan does not show: an anti-join of paths, so the bytes of the
-    documents are never shuffled. The scan of paths opens no file.
+    documents are never shuffled. The scan of paths opens no file. The join is
+    asked to merge because Spark estimates the paths from the size of the files,
+    and would broadcast any number of paths if the files are small enough.
     """
     listing = list_documents(spark, path, pattern, recursive)
     files = binary_files(spark, path, pattern, recursive)
@@ -29,7 +31,7 @@ def read_content(
         F.col("content"),
     )
     shown = files.select(F.col("path").alias("document_path"))
-    others = listing.join(shown, "document_path", "left_anti").withColumn(
+    others = listing.join(shown.hint("merge"), "document_path", "left_anti").withColumn(
         "content", F.lit(None).cast("binary")
     )
     return readable.unionByName(others)

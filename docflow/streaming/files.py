@@ -59,4 +59,5 @@ def stream_results(
 
 def missing_documents(listing: DataFrame, results: DataFrame) -> DataFrame:
     """Listed documents without a result, such as files the stream cannot see."""
-    return listing.join(results.select("document_path"), "document_path", "left_anti")
+    done = results.select("document_path").hint("merge")
+    return listing.join(done, "document_path", "left_anti")

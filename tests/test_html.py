@@ -33,7 +33,7 @@ def md(spark):
         ("a<!-- never closed", "a"),
         ("text<a hre", "text"),
         ("<!DOCTYPE html><?xml?>x", "x"),
-        ("\x01\x10a\x05\x06b\x07", "ab"),
+        ("\x01\x10a\x05\x06b\x07", "a b"),
         ("", ""),
         (None, None),
     ],

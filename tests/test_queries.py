@@ -50,3 +50,10 @@ def test_flagship_moves_no_data_on_large_input(spark):
     text = plan(q._page_results(spark, DATA))
     assert "Exchange" not in text and "Python" not in text
     assert "ReadSchema: struct<url:string,html:string>" in text
+
+
+def test_preview_converts_only_what_it_shows(spark):
+    text = plan(q.preview(spark, DATA))
+    scan = text[: text.index("(2) Filter")]
+    assert "PushedFilters: [Or(IsNull(url),LessThanOrEqual(url,ScalarSubquery" in scan
+    assert "rangepartitioning" not in text and text.count("TakeOrderedAndProject (") >= 2
