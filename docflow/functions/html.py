@@ -28,10 +28,10 @@ from docflow.config import ConvertConfig
 # Markers.
 DROP, DROP_END = "\x01", "\x02"  # around a part that is left out
 TABLE, TABLE_END, ROW, CELL = "\x03", "\x04", "\x05", "\x06"
-LINK, LINK_TEXT, LINK_END = "\x07", "\x0e", "\x0f"
-PARAGRAPH, LINE = "\x10", "\x11"
-IMAGE = "\x12"
-END = "\x14"
+END = "\x07"
+LINK, LINK_TEXT, LINK_END = "\x0e", "\x0f", "\x10"
+PARAGRAPH, LINE = "\x11", "\x12"
+IMAGE = "\x14"
 
 # Elements that start and end a block of text.
 BLOCK_TAGS = (
@@ -157,7 +157,7 @@ def replace_tags(
     joined = F.array_join(
         _bind(pieces, lambda all_: F.zip_with(all_, F.transform(all_, name_of), rewritten)), ""
     )
-    return F.replace(F.replace(joined, F.lit(END + ">"), F.lit("")), F.lit(END), F.lit(""))
+    return F.replace(joined, F.lit(END + ">"), F.lit(""))
 
 
 def decode_entities(text: Column) -> Column:
@@ -237,29 +237,45 @@ def _render_tables(text: Column) -> Column:
     return F.array_join(pieces, "")
 
 
+def _where_present(text: Column, mark: str, step: Callable[[Column], Column]) -> Column:
+    """Apply a step only to texts that hold its mark; finding out costs far less."""
+    return _bind(text, lambda t: F.when(F.contains(t, F.lit(mark)), step(t)).otherwise(t))
+
+
+def _drop_boilerplate(text: Column) -> Column:
+    """Cut out closed elements that are left out, two levels of nesting deep.
+
+    One that is never closed keeps its text: a missing end tag must not cost the page.
+    """
+    for _ in range(2):
+        text = F.regexp_replace(text, rf"{DROP}[^{DROP}{DROP_END}]*{DROP_END}", " ")
+    return text
+
+
+def _link_texts(text: Column) -> Column:
+    no_mark = f"[^{LINK}{LINK_TEXT}{LINK_END}]*"
+    text = F.regexp_replace(text, f"{LINK}({no_mark}){LINK_TEXT}({no_mark}){LINK_END}", r"[$2]($1)")
+    return F.regexp_replace(text, f"{LINK}[^{LINK_TEXT}]*{LINK_TEXT}", "")
+
+
 def html_to_markdown(html: Column, config: ConvertConfig | None = None) -> Column:
     """Markdown text of an HTML page."""
     config = config or ConvertConfig()
     text = replace_tags(
         drop_unseen(html), _tag_texts(config), _link, lambda tag: _image(tag, config.image_mode)
     )
-    # Closed elements that are left out, two levels of nesting deep. One that is
-    # never closed keeps its text: a missing end tag must not cost the page.
-    for _ in range(2):
-        text = F.regexp_replace(text, rf"{DROP}[^{DROP}{DROP_END}]*{DROP_END}", " ")
-    text = collapse_blanks(decode_entities(text))
-    no_link = f"[^{LINK}{LINK_TEXT}{LINK_END}]*"
-    text = F.regexp_replace(text, f"{LINK}({no_link}){LINK_TEXT}({no_link}){LINK_END}", r"[$2]($1)")
-    text = F.regexp_replace(text, f"{LINK}[^{LINK_TEXT}]*{LINK_TEXT}", "")
-    if config.tables:
-        text = _render_tables(text)
-    text = F.regexp_replace(text, f" ?[{DROP}{DROP_END}{TABLE_END}{ROW}{CELL}]+ ?", " ")
+    text = _where_present(text, DROP, _drop_boilerplate)
+    text = _where_present(text, "&", decode_entities)
+    text = _where_present(text, LINK, _link_texts)
     text = F.replace(text, F.lit(LINK_END), F.lit(""))
-    text = F.replace(text, F.lit(PARAGRAPH), F.lit("\n\n"))
-    text = F.replace(text, F.lit(LINE), F.lit("\n"))
-    text = F.replace(text, F.lit(IMAGE), F.lit(IMAGE_PLACEHOLDER))
-    # Blanks at line ends, empty list markers, surplus empty lines, both ends.
-    text = F.regexp_replace(text, " ?\n ?", "\n")
-    text = F.regexp_replace(text, "\n- ?\n+", "\n- ")
+    if config.tables:
+        text = _where_present(text, TABLE, _render_tables)
+    # Markers without a partner. From here on no two blanks stand side by side.
+    text = collapse_blanks(F.regexp_replace(text, f"[{DROP}-{END}]", " "))
+    # Blanks at line ends, empty list items, surplus empty lines, both ends.
+    for old, new in ((PARAGRAPH, "\n\n"), (LINE, "\n"), (" \n", "\n"), ("\n ", "\n")):
+        text = F.replace(text, F.lit(old), F.lit(new))
+    text = F.regexp_replace(text, "\n-\n+", "\n- ")
     text = F.regexp_replace(text, "\n{3,}", "\n\n")
+    text = F.replace(text, F.lit(IMAGE), F.lit(IMAGE_PLACEHOLDER))
     return F.btrim(text, F.lit(" \n"))

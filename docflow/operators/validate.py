@@ -51,9 +51,11 @@ def ends_with(tail: str) -> Rule:
     return Rule("truncated", F.lower(F.rtrim(F.col("content").cast("string"))).endswith(tail))
 
 
-def file_rules(*extensions: str) -> list[Rule]:
+def file_rules(*extensions: str, max_bytes: int | None = None) -> list[Rule]:
     """The usual rules for files of a folder."""
-    return [exists(), is_file(), has_suffix(*(extensions or (".pdf",))), not_empty(), readable()]
+    size = [] if max_bytes is None else [max_size(max_bytes)]
+    suffixes = extensions or (".pdf",)
+    return [exists(), is_file(), has_suffix(*suffixes), not_empty(), *size, readable()]
 
 
 def validate(df: DataFrame, rules: list[Rule]) -> DataFrame:

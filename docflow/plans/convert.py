@@ -10,7 +10,7 @@ from docflow.config import ConvertConfig
 from docflow.operators.convert import convert_documents, convert_html
 from docflow.operators.results import flatten_results
 from docflow.operators.validate import Rule, ends_with, file_rules, validate
-from docflow.sources.content import read_content
+from docflow.sources.content import content_limit, read_content
 from docflow.sources.listing import documents_from_paths
 from docflow.sources.tables import documents_from_table
 
@@ -46,10 +46,12 @@ def convert_directory(
     extensions: tuple[str, ...] = (".pdf",),
     recursive: bool = False,
     num_partitions: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Every matching entry of a folder to one flat result."""
-    documents = read_content(spark, path, pattern, recursive)
-    return convert_valid(documents, file_rules(*extensions), converter, config, num_partitions)
+    documents = read_content(spark, path, pattern, recursive, max_bytes)
+    rules = file_rules(*extensions, max_bytes=content_limit(spark, max_bytes))
+    return convert_valid(documents, rules, converter, config, num_partitions)
 
 
 def convert_one(

@@ -40,6 +40,7 @@ def run_job(
     extensions: tuple[str, ...] = (".pdf",),
     recursive: bool = False,
     num_partitions: int | None = None,
+    max_bytes: int | None = None,
     single_file: bool = False,
 ) -> JobReport:
     """Convert a folder and write one JSON line per document.
@@ -49,7 +50,15 @@ def run_job(
     that holds them. No content reaches the driver.
     """
     results = convert_directory(
-        spark, input_path, converter, config, pattern, extensions, recursive, num_partitions
+        spark,
+        input_path,
+        converter,
+        config,
+        pattern,
+        extensions,
+        recursive,
+        num_partitions,
+        max_bytes,
     )
     status = Observation("status")
     write_results(results.observe(status, *status_counts()), output_path, single_file)
@@ -83,6 +92,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--extension", action="append", help="accepted suffix, repeatable")
     parser.add_argument("--recursive", action="store_true")
     parser.add_argument("--num-partitions", type=int, default=None)
+    parser.add_argument("--max-bytes", type=int, default=None, help="larger files are invalid")
     parser.add_argument("--timeout", type=float, default=300.0, help="seconds per document")
     parser.add_argument("--image-mode", choices=IMAGE_MODES, default="embedded")
     parser.add_argument("--isolate", action="store_true", help="survive crashes of the converter")
@@ -115,6 +125,7 @@ def main(argv: list[str] | None = None) -> int:
             extensions=tuple(args.extension or ([".html", ".htm"] if native else [".pdf"])),
             recursive=args.recursive,
             num_partitions=args.num_partitions,
+            max_bytes=args.max_bytes,
             single_file=single_file,
         )
     finally:

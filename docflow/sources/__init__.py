@@ -1,6 +1,6 @@
 """Where documents come from: folders, path lists, tables."""
 
-from docflow.sources.content import read_content
+from docflow.sources.content import content_limit, read_content
 from docflow.sources.listing import (
     InputNotFound,
     NoDocuments,
@@ -13,6 +13,7 @@ __all__ = [
     "InputNotFound",
     "NoDocuments",
     "balance",
+    "content_limit",
     "documents_from_paths",
     "documents_from_table",
     "list_documents",

@@ -9,8 +9,18 @@ from docflow.functions.paths import file_name
 from docflow.sources.listing import binary_files, list_documents
 
 
+def content_limit(spark: SparkSession, max_bytes: int | None = None) -> int:
+    """Bytes a document may have: ``max_bytes``, and never more than the source can load."""
+    source = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength"))
+    return source if max_bytes is None else min(max_bytes, source)
+
+
 def read_content(
-    spark: SparkSession, path: str, pattern: str = "*.pdf", recursive: bool = False
+    spark: SparkSession,
+    path: str,
+    pattern: str = "*.pdf",
+    recursive: bool = False,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """The listing of a folder with a ``content`` column; null where nothing can be read.
 
@@ -19,9 +29,13 @@ def read_content(
     documents are never shuffled. The scan of paths opens no file. The join is
     asked to merge because Spark estimates the paths from the size of the files,
     and would broadcast any number of paths if the files are small enough.
+
+    Files above ``content_limit`` count as unreadable. The scan checks the size
+    before it opens a file, so a huge one costs nothing and fails no task.
     """
     listing = list_documents(spark, path, pattern, recursive)
-    files = binary_files(spark, path, pattern, recursive)
+    small_enough = F.col("length") <= content_limit(spark, max_bytes)
+    files = binary_files(spark, path, pattern, recursive).filter(small_enough)
     readable = files.select(
         F.col("path").alias("document_path"),
         file_name(F.col("path")).alias("file_name"),

@@ -55,7 +55,7 @@ TABLE = (
 
 def test_tables(md):
     assert md(TABLE) == (
-        "a\n\nCap\n\n| A\\|B | C |\n|---|---|\n| 1 | 2 x y |  |\n\nb"
+        "a\n\nCap\n\n| A\\|B | C |\n|---|---|\n| 1 | 2 x y | |\n\nb"
     )
     assert md(TABLE, tables=False) == "a\n\nCap\n\nA|B\n\nC\n\n1 2 x\ny\n\nb"
     assert md("a | b") == "a | b"

@@ -2,6 +2,7 @@ import os
 
 import pytest
 from conftest import plan
+from docflow.operators import file_rules, validate
 from docflow.plans.convert import convert_directory, convert_one
 from docflow.schemas import LISTING_SCHEMA
 from docflow.sources import (
@@ -76,7 +77,18 @@ def test_bytes_are_not_shuffled_and_paths_need_no_bytes(spark, folder):
     text = plan(read_content(spark, folder))
     exchanges = [part for part in text.split("\n\n") if "Exchange" in part.split("\n")[0]]
     assert exchanges and not any("content" in part for part in exchanges)
-    assert "ReadSchema: struct<path:string>" in text
+    assert "ReadSchema: struct<path:string,length:bigint>\n" in text
+
+
+def test_too_large_a_file_is_not_opened(spark, folder):
+    content = read_content(spark, folder, max_bytes=15)
+    rows = {r.file_name: r for r in content.collect()}
+    assert set(rows) == PDFS and rows["b c%20é.pdf"].content is None and rows["a.pdf"].content
+    assert "LessThanOrEqual(length,15)" in plan(content)
+    checked = validate(content, file_rules(max_bytes=15))
+    assert {r.file_name: r.failed_rule for r in checked.collect()}["b c%20é.pdf"] == "max_size"
+    results = convert_directory(spark, folder, well_behaved, max_bytes=3)
+    assert results.count() == 6 and not results.filter("success").count()
 
 
 def test_directory_one_result_per_entry(spark, folder):
