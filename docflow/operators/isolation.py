@@ -43,6 +43,7 @@ def time_limit(seconds: float | None):
 
 
 def failure_text(path: str, message: str, trace: str | None = None) -> str:
+    # Fixed value: the format of the error text of a failed conversion.
     text = f"Error processing {path}: {message}"
     return f"{text}\nTraceback: {trace}" if trace else text
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docflow.functions.paths import suffix
 
+# Fixed value: the error text of every document that fails validation.
 INVALID_FILE = "Invalid file"
 
 

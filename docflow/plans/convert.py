@@ -14,6 +14,9 @@ from docflow.sources.content import content_limit, read_content
 from docflow.sources.listing import documents_from_paths
 from docflow.sources.tables import documents_from_table
 
+# Types the built-in converter reads.
+HTML_SUFFIXES = frozenset({".html", ".htm", ".xhtml"})
+
 
 def convert_valid(
     documents: DataFrame,
@@ -49,6 +52,8 @@ def convert_directory(
     max_bytes: int | None = None,
 ) -> DataFrame:
     """Every matching entry of a folder to one flat result."""
+    if converter is None and not HTML_SUFFIXES.issuperset(extensions):
+        raise ValueError(f"files of type {', '.join(extensions)} need a converter")
     documents = read_content(spark, path, pattern, recursive, max_bytes)
     rules = file_rules(*extensions, max_bytes=content_limit(spark, max_bytes))
     return convert_valid(documents, rules, converter, config, num_partitions)

@@ -9,22 +9,27 @@ from docflow.functions.paths import file_name, url_path
 
 
 def documents_from_table(
-    df: DataFrame, path_col: str, content_col: str, *keep: str, size: Column | None = None
+    df: DataFrame, path_col: str, content_col: str | None = None, size: Column | None = None
 ) -> DataFrame:
-    """A table of documents in the form of a listing with content.
+    """A table of documents in the form of a listing, with content if it has any.
 
-    ``size`` defaults to the bytes of the content. Columns named in ``keep`` stay.
+    ``size`` defaults to the bytes of the content. Without ``content_col`` a plug-in
+    opens each document by its path, in its task, so a work list of any length stays
+    a table.
     """
-    path, content = F.col(path_col), F.col(content_col)
-    return df.select(
+    path = F.col(path_col)
+    if size is None:
+        size = F.lit(None) if content_col is None else F.octet_length(content_col)
+    documents = [
         path.alias("document_path"),
         file_name(url_path(path)).alias("file_name"),
-        (F.octet_length(content) if size is None else size).cast("long").alias("file_size"),
+        size.cast("long").alias("file_size"),
         F.lit(True).alias("is_file"),
         F.lit(True).alias("exists"),
-        content.alias("content"),
-        *keep,
-    )
+    ]
+    if content_col is not None:
+        documents.append(F.col(content_col).alias("content"))
+    return df.select(*documents)
 
 
 def balance(df: DataFrame, num_partitions: int | None = None) -> DataFrame:

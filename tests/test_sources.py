@@ -2,14 +2,15 @@ import os
 
 import pytest
 from conftest import plan
-from docflow.operators import file_rules, validate
-from docflow.plans.convert import convert_directory, convert_one
+from docflow.operators import file_rules, has_suffix, validate
+from docflow.plans.convert import convert_directory, convert_one, convert_valid
 from docflow.schemas import LISTING_SCHEMA
 from docflow.sources import (
     InputNotFound,
     NoDocuments,
     balance,
     documents_from_paths,
+    documents_from_table,
     list_documents,
     listing,
     read_content,
@@ -103,6 +104,19 @@ def test_directory_one_result_per_entry(spark, folder):
         convert_directory(spark, folder + "/none", well_behaved)
 
 
+def test_pdfs_need_a_converter(spark, folder):
+    with pytest.raises(ValueError, match="need a converter"):
+        convert_directory(spark, folder)
+
+
+def test_table_of_paths(spark, folder):
+    table = spark.createDataFrame([(f"{folder}/a.pdf",), (f"{folder}/gone.pdf",)], "p string")
+    df = convert_valid(documents_from_table(table, "p"), [has_suffix(".pdf")], opens_path)
+    rows = {os.path.basename(r.document_path): r for r in df.collect()}
+    assert rows["a.pdf"].content == "14"
+    assert "No such file" in rows["gone.pdf"].error_message
+
+
 def test_one_document_by_path(spark, folder):
     row = convert_one(spark, f"{folder}/a.pdf", opens_path).first()
     assert row.success and row.content == "14"
