@@ -49,7 +49,10 @@ def max_size(limit: int) -> Rule:
 
 def ends_with(tail: str) -> Rule:
     """The text ends with ``tail``, whatever its case and the blanks after it."""
-    return Rule("truncated", F.lower(F.rtrim(F.col("content").cast("string"))).endswith(tail))
+    text = F.rtrim(F.col("content").cast("string"))
+    # Only the end is put into lower case, not a copy of the whole text.
+    end = F.substring(text, -len(tail), len(tail))
+    return Rule("truncated", F.lower(end) == tail)
 
 
 def file_rules(*extensions: str, max_bytes: int | None = None) -> list[Rule]:

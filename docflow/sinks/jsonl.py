@@ -54,10 +54,10 @@ def _join_parts(spark: SparkSession, folder: str, path: str, limit: int) -> None
     written = [s.getPath() for s in fs.listStatus(joined) if s.getPath().getName().startswith("part-")]
     if fs.exists(target):
         fs.delete(target, True)
-    if written:
-        fs.rename(written[0], target)
-    else:
+    if not written:
         fs.create(target, True).close()
+    elif not fs.rename(written[0], target):
+        raise OSError(f"cannot rename {written[0].toString()} to {path}")
     for leftover in (joined, parts):
         fs.delete(leftover, True)
 
