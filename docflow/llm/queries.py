@@ -9,9 +9,15 @@ from pyspark.sql import functions as F
 
 from docflow.llm.common import in_fold, table
 from docflow.llm.language import fit_language_model, identify_language
+from docflow.llm.near_dedup import near_duplicates
 from docflow.session import ship_package
 
 
+def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    ship_package(spark)
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     ship_package(spark)
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -20,9 +26,42 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return labelled.select("doc_id", in_fold(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+#: Links by counting the shingles that two documents share, then the smallest id reachable.
+NEAR_DUPLICATES_SQL = r"""
+WITH RECURSIVE words AS MATERIALIZED (
+    SELECT doc_id,
+           list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+    FROM documents
+), shingles AS MATERIALIZED (
+    SELECT DISTINCT doc_id, unnest(CASE
+               WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+               WHEN len(w) > 0 THEN [array_to_string(w, ' ')]
+               ELSE [] END) AS s
+    FROM words
+), sizes AS MATERIALIZED (
+    SELECT doc_id, count(s) AS n FROM documents LEFT JOIN shingles USING (doc_id) GROUP BY doc_id
+), shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS MATERIALIZED (
+    SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+    WHERE 100 * c >= 75 * (p.n + q.n - c)
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
+)
+SELECT s.doc_id, s.n AS n_shingles, min(r.other) AS component_id, s.doc_id = min(r.other) AS kept
+FROM sizes s JOIN reach r USING (doc_id) GROUP BY s.doc_id, s.n
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op10_language_id": op10_language_id,
 }
 
 #: The same in SQL, where SQL can express it.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_minhash_near_dedup": NEAR_DUPLICATES_SQL,
+}
