@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docflow.llm.common import in_fold, table
 from docflow.llm.language import fit_language_model, identify_language
+from docflow.llm.line_dedup import drop_recurring_lines
 from docflow.llm.near_dedup import near_duplicates
 from docflow.session import ship_package
 
@@ -18,6 +19,11 @@ def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return drop_recurring_lines(docs)
+
+
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     ship_package(spark)
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -31,11 +37,11 @@ NEAR_DUPLICATES_SQL = r"""
 WITH RECURSIVE words AS MATERIALIZED (
     SELECT doc_id,
            list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                          '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+                                          '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
     FROM documents
 ), shingles AS MATERIALIZED (
     SELECT DISTINCT doc_id, unnest(CASE
-               WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+               WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
                WHEN len(w) > 0 THEN [array_to_string(w, ' ')]
                ELSE [] END) AS s
     FROM words
@@ -56,12 +62,52 @@ SELECT s.doc_id, s.n AS n_shingles, min(r.other) AS component_id, s.doc_id = min
 FROM sizes s JOIN reach r USING (doc_id) GROUP BY s.doc_id, s.n
 """
 
+#: Leaves, templates and first places as text instead of hashes.
+RECURRING_LINES_SQL = r"""
+WITH lines AS MATERIALIZED (
+    SELECT doc_id, text, line_no, line,
+           list_filter(string_split(regexp_replace(translate(lower(line), chr(9) || chr(13) || chr(12) || chr(11), '    '),
+                                                   '(^| )[^ ]*[0-9][^ ]*', '\1<*>', 'g'), ' '), lambda t: t <> '') AS tokens
+    FROM (SELECT doc_id, text, unnest(range(len(string_split(text, chr(10))))) AS line_no,
+                 unnest(string_split(text, chr(10))) AS line FROM documents)
+), leaved AS MATERIALIZED (
+    SELECT *, {'n': len(tokens), 'lead': tokens[1:3]} AS leaf FROM lines WHERE len(tokens) > 0
+), counted AS MATERIALIZED (
+    SELECT leaf, tokens, count(DISTINCT {'d': doc_id, 't': text}) AS documents FROM leaved GROUP BY ALL
+), placed AS MATERIALIZED (
+    SELECT leaf, tokens, documents, unnest(range(1, len(tokens) + 1)) AS pos, unnest(tokens) AS token FROM counted
+), support AS (
+    SELECT leaf, pos, token, sum(documents) AS s FROM placed GROUP BY ALL
+), merged AS MATERIALIZED (
+    SELECT leaf, tokens,
+           count(*) FILTER (s >= 5 AND token <> '<*>') AS fixed,
+           list(CASE WHEN s >= 5 THEN token ELSE '<*>' END ORDER BY pos) AS words
+    FROM placed JOIN support USING (leaf, pos, token) GROUP BY leaf, tokens
+), named AS MATERIALIZED (
+    SELECT doc_id, text, line_no, leaf,
+           CASE WHEN fixed >= 0.75 * len(tokens) THEN {'own': false, 'w': words} ELSE {'own': true, 'w': tokens} END AS template
+    FROM leaved JOIN merged USING (leaf, tokens)
+), recurring AS MATERIALIZED (
+    SELECT leaf, template, min({'d': doc_id, 'l': line_no}) AS first FROM named
+    GROUP BY ALL HAVING count(DISTINCT {'d': doc_id, 't': text}) >= 5
+), dropped AS MATERIALIZED (
+    SELECT DISTINCT doc_id, text, line_no FROM named JOIN recurring USING (leaf, template)
+    WHERE {'d': doc_id, 'l': line_no} <> first
+)
+SELECT l.doc_id, coalesce(string_agg(l.line, chr(10) ORDER BY l.line_no) FILTER (d.line_no IS NULL), '') AS text,
+       count(d.line_no)::INTEGER AS dropped_lines
+FROM lines l LEFT JOIN dropped d ON l.doc_id = d.doc_id AND l.text = d.text AND l.line_no = d.line_no
+GROUP BY l.doc_id, l.text
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op8_line_dedup": op8_line_dedup,
     "op10_language_id": op10_language_id,
 }
 
 #: The same in SQL, where SQL can express it.
 ORACLE: dict[str, str] = {
     "op4_minhash_near_dedup": NEAR_DUPLICATES_SQL,
+    "op8_line_dedup": RECURRING_LINES_SQL,
 }
