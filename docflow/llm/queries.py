@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 from docflow.llm.common import in_fold, table
 from docflow.llm.language import fit_language_model, identify_language
 from docflow.llm.line_dedup import drop_recurring_lines
+from docflow.llm.mixing import mixed
 from docflow.llm.near_dedup import near_duplicates
 from docflow.session import ship_package
 
 
+def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixed(table(spark, folder, "documents"))[0]
+
+
 def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     ship_package(spark)
     return near_duplicates(table(spark, folder, "documents"))
@@ -62,6 +67,36 @@ SELECT s.doc_id, s.n AS n_shingles, min(r.other) AS component_id, s.doc_id = min
 FROM sizes s JOIN reach r USING (doc_id) GROUP BY s.doc_id, s.n
 """
 
+#: Every source takes its stream's words up to its target: the slots only order them.
+SOURCE_MIXING_SQL = r"""
+WITH sized AS MATERIALIZED (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), sources AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+           [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INTEGER] AS weight
+    FROM sized GROUP BY source
+), ordered AS (
+    SELECT *, 2 * source_size AS room,
+           (3 * sum(source_size) OVER () - 2 * coalesce(sum(2 * source_size) OVER w, 0))::DOUBLE / 2
+           / (sum(weight) OVER () - coalesce(sum(weight) OVER w, 0))::DOUBLE AS level
+    FROM sources
+    WINDOW w AS (ORDER BY 2 * source_size / weight::DOUBLE, weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), levelled AS (
+    SELECT *, (SELECT arg_min(level, room / weight) FROM ordered WHERE room > weight * level) AS final FROM ordered
+), targets AS MATERIALIZED (
+    SELECT source, source_size, least(room::DOUBLE, coalesce(weight * final, room::DOUBLE)) AS target FROM levelled
+), streams AS (
+    SELECT doc_id, size, source_size, target, floor(target)::BIGINT AS most,
+           coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY md5('mix|' || doc_id), doc_id, size
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       (greatest(0, least(before + size, most) - before)
+        + greatest(0, least(before + source_size + size, most) - before - source_size))::BIGINT AS taken
+FROM streams
+"""
+
 #: Leaves, templates and first places as text instead of hashes.
 RECURRING_LINES_SQL = r"""
 WITH lines AS MATERIALIZED (
@@ -101,6 +136,7 @@ GROUP BY l.doc_id, l.text
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_source_mixing": op3_source_mixing,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op10_language_id": op10_language_id,
@@ -108,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: The same in SQL, where SQL can express it.
 ORACLE: dict[str, str] = {
+    "op3_source_mixing": SOURCE_MIXING_SQL,
     "op4_minhash_near_dedup": NEAR_DUPLICATES_SQL,
     "op8_line_dedup": RECURRING_LINES_SQL,
 }
