@@ -6,7 +6,7 @@ Classes with a common prefix of ``DEPTH`` components are a region of a tree. In
 region, and at greater depths in those that remain large, all members are compared
 with the region's first one. What these links connect needs no further comparison;
 only members of one region that are still apart are compared with each other, in
-blocks, by their signatures. Every candidate is confirmed on the full sets.
+blocks. Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ TREES, DEPTH, TAIL = 24, 3, 4
 #: Deeper prefixes compared in regions of more than two members, as components of the tail.
 DEEPER = (2, 4)
 #: Members of a region that meet in one block.
-BLOCK = 512
+BLOCK = 256
 #: Pairs below this estimate are no candidates: 4.5 standard deviations below 0.75.
 LEAST_ESTIMATE = 0.52
 _FACTOR = np.random.default_rng(13).integers(1, 1 << 63, DEPTH + 1, np.uint64) | np.uint64(1)
@@ -102,10 +102,11 @@ def _forest(classes: DataFrame) -> DataFrame:
                 for j in at[DEPTH:]:
                     tail = tail << np.uint64(16) | sig[:, j] & np.uint64(0xFFFF)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(mix(region).view(np.int64)), pa.array(tail.view(np.int64)), batch.column("node")], ["region", "tail", "node"]
+                    [pa.array(np.full(len(sig), t, np.int32)), pa.array(mix(region).view(np.int64)), pa.array(tail.view(np.int64)), batch.column("node")],
+                    ["tree", "region", "tail", "node"],
                 )
 
-    return classes.select("node", "signature").mapInArrow(plant, "region long, tail long, node binary")
+    return classes.select("node", "signature").mapInArrow(plant, "tree int, region long, tail long, node binary")
 
 
 def _to_first(rows: DataFrame, *keys) -> tuple[DataFrame, DataFrame]:
@@ -133,11 +134,15 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return both.mapInArrow(compare, "a binary, b binary")
 
 
-def _apart(members: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """Pairs of one region in different components whose signatures are similar.
+def _links_apart(members: DataFrame, classes: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Confirmed links (``a, b``) that join what is apart within the regions of ``members``.
 
-    ``members`` has ``region, node, component``. A region's members are dealt into
-    blocks, and every two blocks meet in one group of bounded size.
+    ``members`` has ``tree, region, node, component``. A region's members are dealt into
+    blocks, and every two blocks meet in one group of bounded size. There, pairs of
+    different components are compared: first by signature, then on their full sets, each
+    pair in the first tree that brings it together. Pairs that a link of the same group
+    has already connected need no comparison, so a group of n members gives n - 1 links
+    at most.
     """
     mixed = members.groupBy("region").agg(
         F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high")
@@ -147,31 +152,44 @@ def _apart(members: DataFrame, classes: DataFrame, least: float) -> DataFrame:
         members.join(mixed.select("region", blocks.alias("blocks")), "region")
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .join(classes.select("node", "signature"), "node")
+        .join(sets, "node")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component", "signature")
+        .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+        .select("tree", "region", "i", "j", "block", "node", "component", "signature", "shingles")
     )
 
-    def pairs(run: pa.Table) -> pa.RecordBatch | None:
+    def links(run: pa.Table) -> list[tuple[int, int]]:
         sig = _signatures(run.column("signature").combine_chunks())
-        block = run.column("block").to_numpy()
+        by_tree = sig.reshape(len(sig), TREES, DEPTH)
+        shingles = [np.frombuffer(s.as_buffer(), np.uint64) for s in run.column("shingles")]
+        sizes = np.array([len(s) for s in shingles])
         _, component = np.unique(np.array(run.column("component").to_pylist(), object), return_inverse=True)
+        block, tree = run.column("block").to_numpy(), run.column("tree")[0].as_py()
         i, j = run.column("i")[0].as_py(), run.column("j")[0].as_py()
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         found = []
-        for x in left:
-            others = right[(component[right] != component[x]) & ((i != j) | (right > x))]
-            near = (sig[others] == sig[x]).mean(1) >= least
-            found += [(x, y) for y in others[near]]
-        if not found:
-            return None
-        node = run.column("node").combine_chunks()
-        x, y = np.array(found).T
-        return pa.RecordBatch.from_arrays([node.take(pa.array(x)), node.take(pa.array(y))], ["a", "b"])
+        for x in left.tolist():
+            apart = right[(component[right] != component[x]) & ((i != j) | (right > x))]
+            apart = apart[100 * np.minimum(sizes[apart], sizes[x]) >= similarity * np.maximum(sizes[apart], sizes[x])]
+            apart = apart[(sig[apart] == sig[x]).mean(1) >= LEAST_ESTIMATE * similarity / 75]
+            apart = apart[~(by_tree[apart, :tree] == by_tree[x, :tree]).all(2).any(1)]
+            if not len(apart):
+                continue
+            theirs = np.concatenate([shingles[y] for y in apart])
+            at = np.minimum(np.searchsorted(shingles[x], theirs), sizes[x] - 1)
+            bounds = np.concatenate([[0], np.cumsum(sizes[apart])[:-1]])
+            shared = np.add.reduceat((shingles[x][at] == theirs).astype(np.int64), bounds)
+            for y in apart[100 * shared >= similarity * (sizes[apart] + sizes[x] - shared)].tolist():
+                if component[y] != component[x]:
+                    component[component == component[y]] = component[x]
+                    found.append((x, y))
+        return found
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in _runs(batches, ["region", "i", "j"]):
-            if run.num_rows > 1 and (out := pairs(run)) is not None:
-                yield out
+            if found := links(run):
+                node = run.column("node").combine_chunks()
+                yield pa.RecordBatch.from_arrays([node.take(pa.array(end)) for end in zip(*found, strict=True)], ["a", "b"])
 
     return dealt.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j").mapInArrow(scan, "a binary, b binary")
 
@@ -222,8 +240,8 @@ def near_duplicates(docs: DataFrame, similarity: int = 75) -> DataFrame:
     sets = staged(full_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")), "sets")
     links = staged(confirmed(pairs, sets, similarity), "confirmed")
     found = connected_components(links)
-    parts = large.select("region", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    more = confirmed(_apart(parts, classes, LEAST_ESTIMATE * similarity / 75).distinct(), sets, similarity)
+    parts = large.select("tree", "region", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    more = _links_apart(parts, classes, sets, similarity)
     found = connected_components(links.unionByName(more))
     labels = classes.select("node", "doc_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     first = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))
