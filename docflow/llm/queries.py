@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +13,9 @@ from docflow.llm.language import fit_language_model, identify_language
 from docflow.llm.line_dedup import drop_recurring_lines
 from docflow.llm.mixing import mixed
 from docflow.llm.near_dedup import near_duplicates
-from docflow.session import ship_package
+from docflow.llm.packing import pack
+from docflow.llm.token_files import read_token_files, write_token_files
+from docflow.session import scratch_dir, ship_package
 
 
 def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,11 +27,24 @@ def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_sequence_packing(spark: SparkSession, folder: str) -> DataFrame:
+    ship_package(spark)
+    pieces = pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return drop_recurring_lines(docs)
 
 
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    ship_package(spark)
+    path = scratch_dir(spark, "token-files")
+    write_token_files(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     ship_package(spark)
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -138,7 +154,9 @@ GROUP BY l.doc_id, l.text
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_source_mixing": op3_source_mixing,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op6_sequence_packing": op6_sequence_packing,
     "op8_line_dedup": op8_line_dedup,
+    "op9_token_files": op9_token_files,
     "op10_language_id": op10_language_id,
 }
 
