@@ -70,17 +70,19 @@ def shingled(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
-    """``node`` and its whole sorted ``shingles`` (64-bit, little-endian) per document."""
+    """``doc_id, node`` and the whole sorted ``shingles`` (64-bit, little-endian) per document."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
-                    [_binary(_node(sets), 16), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"]
+                    [part.column("doc_id"), _binary(_node(sets), 16), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    ["doc_id", "node", "shingles"],
                 )
 
-    return docs.select("text").mapInArrow(collect, "node binary, shingles binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(collect, "doc_id long, node binary, shingles binary")
 
 
 def _signatures(column: pa.Array) -> np.ndarray:
@@ -237,7 +239,7 @@ def near_duplicates(docs: DataFrame, similarity: int = 75) -> DataFrame:
     # Whoever is in a region with others may have to be compared on its full set.
     members = pairs.select("a").union(pairs.select("b")).union(large.select("node")).distinct().toDF("node")
     wanted = classes.join(members, "node", "left_semi").select("doc_id").distinct()
-    sets = staged(full_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")), "sets")
+    sets = staged(full_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")).drop("doc_id"), "sets")
     links = staged(confirmed(pairs, sets, similarity), "confirmed")
     found = connected_components(links)
     parts = large.select("tree", "region", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))

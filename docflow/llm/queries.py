@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.llm.common import in_fold, table
+from docflow.llm.fingerprints import fingerprints
 from docflow.llm.language import fit_language_model, identify_language
 from docflow.llm.line_dedup import drop_recurring_lines
 from docflow.llm.mixing import mixed
@@ -33,6 +34,11 @@ def op6_sequence_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    ship_package(spark)
+    return fingerprints(table(spark, folder, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return drop_recurring_lines(docs)
@@ -155,6 +161,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_source_mixing": op3_source_mixing,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op6_sequence_packing": op6_sequence_packing,
+    "op7_fingerprints": op7_fingerprints,
     "op8_line_dedup": op8_line_dedup,
     "op9_token_files": op9_token_files,
     "op10_language_id": op10_language_id,
