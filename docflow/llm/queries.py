@@ -15,10 +15,22 @@ from docflow.llm.line_dedup import drop_recurring_lines
 from docflow.llm.mixing import mixed
 from docflow.llm.near_dedup import near_duplicates
 from docflow.llm.packing import pack
+from docflow.llm.quality import fit_quality_model, score_quality
 from docflow.llm.token_files import read_token_files, write_token_files
 from docflow.session import scratch_dir, ship_package
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    ship_package(spark)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = fit_quality_model(docs, labels.where(in_fold(F.col("doc_id"), held_out=False)))
+    scores = score_quality(docs, model)
+    return scores.select(
+        "doc_id", in_fold(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed(table(spark, folder, "documents"))[0]
 
@@ -158,6 +170,7 @@ GROUP BY l.doc_id, l.text
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op3_source_mixing": op3_source_mixing,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op6_sequence_packing": op6_sequence_packing,
