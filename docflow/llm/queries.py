@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.llm.common import in_fold, table
+from docflow.llm.cover_tree import linked_vectors
 from docflow.llm.fingerprints import fingerprints
 from docflow.llm.language import fit_language_model, identify_language
 from docflow.llm.line_dedup import drop_recurring_lines
@@ -40,6 +41,11 @@ def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_cover_tree(spark: SparkSession, folder: str) -> DataFrame:
+    ship_package(spark)
+    return linked_vectors(table(spark, folder, "embeddings"))
+
+
 def op6_sequence_packing(spark: SparkSession, folder: str) -> DataFrame:
     ship_package(spark)
     pieces = pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -131,6 +137,24 @@ SELECT doc_id, size, source_size, target,
 FROM streams
 """
 
+#: All pairs of usable vectors by cosine, then the smallest id reachable.
+LINKED_VECTORS_SQL = r"""
+WITH RECURSIVE usable AS MATERIALIZED (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS MATERIALIZED (
+    SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+    WHERE list_cosine_similarity(x.v, y.v) >= 0.9
+), reach AS (
+    SELECT vec_id, vec_id AS other FROM embeddings
+    UNION
+    SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a
+), counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT r.vec_id, coalesce(any_value(c.n), 0)::BIGINT AS n_links, min(r.other) AS component_id, r.vec_id = min(r.other) AS kept
+FROM reach r LEFT JOIN counted c USING (vec_id) GROUP BY r.vec_id
+"""
+
 #: Leaves, templates and first places as text instead of hashes.
 RECURRING_LINES_SQL = r"""
 WITH lines AS MATERIALIZED (
@@ -173,6 +197,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_source_mixing": op3_source_mixing,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op5_cover_tree": op5_cover_tree,
     "op6_sequence_packing": op6_sequence_packing,
     "op7_fingerprints": op7_fingerprints,
     "op8_line_dedup": op8_line_dedup,
@@ -184,5 +209,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op3_source_mixing": SOURCE_MIXING_SQL,
     "op4_minhash_near_dedup": NEAR_DUPLICATES_SQL,
+    "op5_cover_tree": LINKED_VECTORS_SQL,
     "op8_line_dedup": RECURRING_LINES_SQL,
 }
