@@ -18,6 +18,7 @@ from docflow.llm.near_dedup import near_duplicates
 from docflow.llm.packing import pack
 from docflow.llm.quality import fit_quality_model, score_quality
 from docflow.llm.token_files import read_token_files, write_token_files
+from docflow.llm.url_filters import filter_urls
 from docflow.session import scratch_dir, ship_package
 
 
@@ -32,6 +33,29 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages against lists of the hosts, domains and first path segments that they have.
+
+    The tables hold neither dates nor lists: a page is fetched on a day of the year given
+    by its id, and the lists' history is derived from the table by hashes of the patterns.
+    """
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched", F.expr("date_add(DATE'2024-01-01', cast(page_id % 366 AS int))"))
+    host = F.lower(F.regexp_extract("url", "://([^/?#]+)", 1))
+    section = F.regexp_extract("url", "://[^/?#]+/([^/?#]+)", 1)
+    patterns = pages.select(F.explode(F.array(
+        host, F.concat_ws("/", host, section), F.regexp_extract(host, r"([^.]+\.[^.]+\.[^.]+)$", 1)
+    )).alias("pattern")).where("pattern <> ''").distinct()
+    number = "cast(conv(substring(md5(pattern), {}, 4), 16, 10) AS int)"
+    first = f"date_add(DATE'2024-01-01', {number.format(1)} % 200)"
+    entries = patterns.select("pattern", F.expr(f"concat('list', {number.format(9)} % 3)").alias("list"), F.explode(F.array(
+        F.struct(F.expr(first).alias("day"), F.lit("add").alias("action")),
+        F.struct(F.expr(f"date_add({first}, 1 + {number.format(5)} % 60)").alias("day"), F.lit("remove").alias("action")),
+        F.struct(F.expr(f"date_add({first}, 100 + {number.format(5)} % 60)").alias("day"), F.lit("add").alias("action")),
+    )).alias("e")).where(f"{number.format(13)} % 4 = 0").select("list", "pattern", "e.day", "e.action")
+    return filter_urls(captures, entries)
+
+
 def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed(table(spark, folder, "documents"))[0]
 
@@ -107,6 +131,39 @@ SELECT s.doc_id, s.n AS n_shingles, min(r.other) AS component_id, s.doc_id = min
 FROM sizes s JOIN reach r USING (doc_id) GROUP BY s.doc_id, s.n
 """
 
+#: The state of a pattern on a day is that of its latest entry: no intervals.
+URL_FILTERS_SQL = r"""
+WITH parsed AS MATERIALIZED (
+    SELECT page_id, url, DATE '2024-01-01' + (page_id % 366)::INTEGER AS fetched,
+           lower(regexp_extract(url, '://([^/?#]+)', 1)) AS host,
+           list_filter(string_split(lower(regexp_extract(url, '://[^/?#]+(/[^?#]*)', 1)), '/'), lambda s: s <> '') AS path,
+           regexp_extract(url, '://[^/?#]+/([^/?#]+)', 1) AS section
+    FROM pages
+), patterns AS (
+    SELECT DISTINCT pattern FROM (
+        SELECT unnest([host, concat_ws('/', host, section), regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1)]) AS pattern FROM parsed
+    ) WHERE pattern <> ''
+), hashed AS (
+    SELECT lower(rtrim(pattern, '/')) AS pattern, [('0x' || substring(md5(pattern), p, 4))::INTEGER FOR p IN [1, 5, 9, 13]] AS h FROM patterns
+), listed AS (
+    SELECT 'list' || (h[3] % 3) AS list, pattern, DATE '2024-01-01' + h[1] % 200 AS start, h[2] % 60 AS k FROM hashed WHERE h[4] % 4 = 0
+), entries AS MATERIALIZED (
+    SELECT DISTINCT list, pattern, unnest([start, start + 1 + k, start + 100 + k]) AS day, unnest(['add', 'remove', 'add']) AS action FROM listed
+), asked AS (
+    SELECT DISTINCT url, fetched, unnest(list_concat(
+        list_transform(range(1, len(string_split(host, '.')) + 1), lambda i: array_to_string(string_split(host, '.')[i:], '.')),
+        list_transform(range(1, len(path) + 1), lambda i: host || '/' || array_to_string(path[1:i], '/')))) AS pattern
+    FROM parsed
+), latest AS (
+    SELECT url, fetched, list, pattern, arg_max(action, (day, action)) AS action
+    FROM asked JOIN entries USING (pattern) WHERE day <= fetched GROUP BY ALL
+), hits AS (
+    SELECT url, fetched, string_agg(DISTINCT list, ',' ORDER BY list) AS lists FROM latest WHERE action = 'add' GROUP BY ALL
+)
+SELECT page_id, url, fetched, coalesce(lists, '') AS lists, lists IS NOT NULL AS blocked
+FROM parsed LEFT JOIN hits USING (url, fetched)
+"""
+
 #: Every source takes its stream's words up to its target: the slots only order them.
 SOURCE_MIXING_SQL = r"""
 WITH sized AS MATERIALIZED (
@@ -195,6 +252,7 @@ GROUP BY l.doc_id, l.text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_url_filters": op2_url_filters,
     "op3_source_mixing": op3_source_mixing,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_cover_tree": op5_cover_tree,
@@ -207,6 +265,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: The same in SQL, where SQL can express it.
 ORACLE: dict[str, str] = {
+    "op2_url_filters": URL_FILTERS_SQL,
     "op3_source_mixing": SOURCE_MIXING_SQL,
     "op4_minhash_near_dedup": NEAR_DUPLICATES_SQL,
     "op5_cover_tree": LINKED_VECTORS_SQL,
