@@ -1,22 +1,65 @@
-"""Raw documents to packed sequences: five stages, each one operator."""
+"""Raw documents to packed sequences: five stages, each one operator of ``docflow.llm``."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.llm.common import in_fold, staged, table
 from docflow.llm.language import UNDETERMINED, fit_language_model, identify_language
+from docflow.llm.line_dedup import drop_recurring_lines
+from docflow.llm.mixing import mixed
+from docflow.llm.near_dedup import near_duplicates
+from docflow.llm.packing import pack
 from docflow.session import ship_package
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Leaves out documents without a language: text that is null or has no letter."""
+    ship_package(spark)
     model = fit_language_model(docs.where(in_fold(F.col("doc_id"), held_out=False)))
     return identify_language(docs, model).where(F.col("lang_pred") != UNDETERMINED).select(docs.columns)
 
 
-STAGES = [("language", language_stage)]
+def line_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Takes recurring lines out of the texts; documents of nothing else go with them."""
+    cleaned = drop_recurring_lines(docs).where("dropped_lines = 0 OR trim(text) <> ''")
+    return cleaned.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near-duplicates."""
+    ship_package(spark)
+    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The documents of the mix: of each source as many words as its target.
+
+    A document is in the mix as often as its words are taken, once or twice; one of which
+    a part is taken is in it as a whole, and one of which nothing is taken is not.
+    """
+    taken = mixed(docs)[0].where("taken > 0").select("doc_id", F.ceil(F.col("taken") / F.col("size")).cast("int").alias("times"))
+    # Rows that repeat an id have one entry each: the first decides for all of them.
+    times = taken.groupBy(F.col("doc_id").alias("_id")).agg(F.min("times").alias("times"))
+    return docs.join(times, docs["doc_id"].eqNullSafe(times["_id"])).withColumn("_copy", F.explode(F.expr("sequence(1, times)"))).select(docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Token sequences: one row per piece of a document, with its ids."""
+    ship_package(spark)
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("language", language_stage),
+    ("lines", line_stage),
+    ("near-duplicates", near_dedup_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
+]
 
 #: No SQL can express the learned filters of the first stage.
 ORACLE_SQL = None
@@ -24,7 +67,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
     """The stages one after another over ``documents``, each result written and read back."""
-    ship_package(spark)
     docs = table(spark, folder, "documents")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, folder)
