@@ -49,13 +49,15 @@ def _generalised(docs: DataFrame, distinct: DataFrame, min_documents: int, least
 
     ``distinct`` has ``leaf, line, documents`` and one place (``at``) of each line.
     """
-    wanted = distinct.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.key").alias("key")).agg(
+    wanted = distinct.groupBy(F.col("at.doc_id").alias("_id"), F.col("at.key").alias("_key")).agg(
         F.collect_list(F.struct(F.col("at.line_no").alias("line_no"), "leaf", "line", "documents")).alias("wanted")
     )
-    found = docs.select("doc_id", "text", F.xxhash64("text").alias("key")).join(wanted, ["key", "doc_id"])
+    found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["_id"]) & (F.xxhash64(docs["text"]) == wanted["_key"]))
     texts = found.withColumn("parts", F.split(F.lower("text"), "\n")).select("parts", F.explode("wanted").alias("w"))
     tokens = _tokens(_masked(F.expr("parts[w.line_no]")))
-    lines = staged(texts.select("w.leaf", "w.line", "w.documents", tokens.alias("tokens")), "leaf-lines")
+    # Rows that repeat a document bring its lines again.
+    lines = texts.select("w.leaf", "w.line", "w.documents", tokens.alias("tokens")).dropDuplicates(["leaf", "line"])
+    lines = staged(lines, "leaf-lines")
     placed = lines.select("leaf", "line", "documents", F.posexplode("tokens").alias("position", "token"))
     support = placed.groupBy("leaf", "position", "token").agg(F.sum("documents").alias("support"))
     fixed = support.where((F.col("support") >= min_documents) & (F.col("token") != ANY)).drop("support").withColumn("fixed", F.lit(True))
@@ -97,7 +99,7 @@ def drop_recurring_lines(docs: DataFrame, min_documents: int = 5, least_fixed: f
     own. A column ``dropped_lines`` of the input is replaced.
     """
     drops = recurring_lines(docs, min_documents, least_fixed)
-    sorted_drops = drops.groupBy("doc_id", "key").agg(F.sort_array(F.collect_list("line_no")).alias("gone"))
+    sorted_drops = drops.groupBy("doc_id", "key").agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
     # One byte per line up to the last one dropped, so that a line is looked up in constant time.
     marks = F.expr("cast(array_join(transform(gone, (x, i) -> concat(repeat('0', x - if(i = 0, 0, gone[i - 1] + 1)), '1')), '') AS binary)")
     marked = sorted_drops.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), marks.alias("_marks"), F.size("gone").alias("_count"))
