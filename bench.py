@@ -30,7 +30,6 @@ HEADLINE = [
     "failures_report",
     "preview",
     "jsonl_roundtrip",
-    "jsonl_single_file",
     "list_documents",
     "read_content",
     "convert_directory",

@@ -30,6 +30,9 @@ class ConvertConfig:
     isolate
         Run a plug-in converter in a child process, so that a native crash or
         hang costs one document and not the job.
+    build_timeout_s
+        Seconds a child process may take to build the converter; then the task
+        fails and is tried elsewhere. ``None`` or 0 switches the limit off.
     """
 
     timeout_s: float | None = 300.0
@@ -37,6 +40,7 @@ class ConvertConfig:
     tables: bool = True
     drop_boilerplate: bool = True
     isolate: bool = False
+    build_timeout_s: float | None = 600.0
 
     def __post_init__(self) -> None:
         if self.image_mode not in IMAGE_MODES:

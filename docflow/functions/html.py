@@ -17,7 +17,7 @@ characters; the first step turns those of the input into blanks.
 from __future__ import annotations
 
 from collections.abc import Callable
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,10 +41,13 @@ BLOCK_TAGS = (
 
 IMAGE_PLACEHOLDER = "<!-- image -->"
 
-# Entities looked up first; the other HTML 4 names follow in the library's order.
-COMMON_ENTITIES = "amp quot lt gt nbsp copy middot".split()
+# Entities looked up first; the other names of HTML 5 follow in the library's order.
+COMMON_ENTITIES = "amp quot lt gt nbsp copy middot apos".split()
 # ---------------------------------------------------------------------------
 
+# Levels of <nav> in <nav> that are left out; deeper ones keep the text around them.
+NESTING = 8
+
 # Length that takes the rest of any text.
 _ALL = 2**31 - 1
 
@@ -161,23 +164,26 @@ def replace_tags(
 
 
 def decode_entities(text: Column) -> Column:
-    names = COMMON_ENTITIES + [name for name in name2codepoint if name not in COMMON_ENTITIES]
-    # A no-break space becomes a blank, as all white space does.
-    chars = _map({n: " " if n == "nbsp" else chr(name2codepoint[n]) for n in names})
+    named = {n[:-1]: c for n, c in html5.items() if n.endswith(";")}
+    names = COMMON_ENTITIES + [name for name in named if name not in COMMON_ENTITIES]
+    # White space of any kind becomes a blank, as a no-break space does.
+    chars = _map({n: " " if named[n].isspace() else named[n] for n in names})
+    # What browsers show for the numbers of control characters: those of Windows-1252.
+    western = _map({str(n): bytes([n]).decode("cp1252", "replace") for n in range(128, 160)})
 
     def entity_of(piece: Column, i: Column) -> Column:
         # Null for what precedes the first &, '' for an & that starts no entity.
-        pattern = "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,7});"
+        pattern = "^(#0*[0-9]{1,7}|#[xX]0*[0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,40});"
         return F.when(i > 0, F.regexp_extract(piece, pattern, 1))
 
     def char(entity: Column) -> Column:
         number = F.when(
-            entity.rlike("^#[xX]"), F.conv(F.substring(entity, F.lit(3), F.lit(8)), 16, 10)
-        ).otherwise(F.substring(entity, F.lit(2), F.lit(8)))
-        code = number.cast("int")
+            entity.rlike("^#[xX]"), F.conv(F.regexp_extract(entity, "^#[xX]0*([0-9a-fA-F]+)", 1), 16, 10)
+        ).otherwise(F.regexp_extract(entity, "^#0*([0-9]+)", 1))
+        code = number.try_cast("int")
         # Control characters could be taken for markers; halves of a surrogate
         # pair and numbers beyond the last character have no text form.
-        printable = F.when(code < 32, F.lit(" ")).when(
+        printable = F.when(code < 32, F.lit(" ")).when(code.between(128, 159), F.element_at(western, code.cast("string"))).when(
             (code < 0xD800) | code.between(0xE000, 0x10FFFF),
             F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"),
         )
@@ -243,11 +249,11 @@ def _where_present(text: Column, mark: str, step: Callable[[Column], Column]) ->
 
 
 def _drop_boilerplate(text: Column) -> Column:
-    """Cut out closed elements that are left out, two levels of nesting deep.
+    """Cut out closed elements that are left out, ``NESTING`` levels deep.
 
     One that is never closed keeps its text: a missing end tag must not cost the page.
     """
-    for _ in range(2):
+    for _ in range(NESTING):
         text = F.regexp_replace(text, rf"{DROP}[^{DROP}{DROP_END}]*{DROP_END}", " ")
     return text
 

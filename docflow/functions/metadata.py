@@ -35,6 +35,7 @@ def stringify_metadata(values: Mapping[str, Column] | Column) -> Column:
 
 def file_metadata(path: Column, size: Column, name: Column | None = None) -> dict[str, Column]:
     """The four entries known without opening the document, in output order."""
+    # These keys and those of ``build_metadata``.
     name = file_name(path) if name is None else name
     return {
         "file_name": name,

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 
 def url_path(url: Column) -> Column:
-    """A URL without its query and its fragment."""
-    return F.regexp_replace(url, r"(?s)[?#].*\z", "")
+    """A web address without its query and its fragment; any other path as it is.
+
+    In paths of files and objects ``?`` and ``#`` are characters like others.
+    """
+    return F.when(url.rlike("(?i)^https?://"), F.regexp_replace(url, r"(?s)[?#].*\z", "")).otherwise(url)
 
 
 def file_name(path: Column) -> Column:

@@ -18,9 +18,7 @@ from docflow.operators.validate import (
     file_rules,
     has_suffix,
     is_file,
-    max_size,
     not_empty,
-    readable,
     validate,
 )
 
@@ -39,10 +37,8 @@ __all__ = [
     "flatten_results",
     "has_suffix",
     "is_file",
-    "max_size",
     "not_empty",
     "preview",
-    "readable",
     "result_struct",
     "status_counts",
     "successes",

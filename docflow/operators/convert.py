@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 from typing import Any, NamedTuple
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 from docflow.config import ConvertConfig
 from docflow.functions.html import html_to_markdown
 from docflow.functions.metadata import build_metadata, empty_metadata
-from docflow.operators.isolation import InChild, InProcess, failure_text
+from docflow.operators.isolation import failure_text, worker_converter
 
 # Bytes of converted text a task collects before it hands them to Spark.
 FLUSH_BYTES = 16 << 20
@@ -27,8 +28,7 @@ FLUSH_BYTES = 16 << 20
 class Converted(NamedTuple):
     """What a converter returns when it knows more than the text.
 
-    ``confidence`` may be a number, an object with ``mean_score`` or a dict with
-    that key. ``document_metadata`` is kept as its ``str``.
+    ``confidence`` is a number. ``document_metadata`` is kept as its ``str``.
     """
 
     content: str
@@ -61,6 +61,7 @@ def convert_html(df: DataFrame, config: ConvertConfig | None = None) -> DataFram
     step reads it: counting or listing failures converts nothing.
     """
     path, text = F.col("document_path"), F.make_valid_utf8(F.col("content").cast("string"))
+    text = F.regexp_replace(text, "^\ufeff", "")  # a byte-order mark
     return df.withColumn(
         "result",
         result_struct(
@@ -73,16 +74,6 @@ def convert_html(df: DataFrame, config: ConvertConfig | None = None) -> DataFram
     )
 
 
-def _score(confidence: Any) -> Any:
-    if hasattr(confidence, "mean_score"):
-        return confidence.mean_score
-    if isinstance(confidence, dict):
-        return confidence.get("mean_score", 0.0)
-    if isinstance(confidence, (int, float)):
-        return confidence
-    return 0.0
-
-
 def _clean(text: str) -> str:
     """Text that can be stored: halves of surrogate pairs are written out."""
     return text.encode("utf-8", "backslashreplace").decode("utf-8")
@@ -96,7 +87,7 @@ def _fields(path: str, result: Any, error: str | None) -> tuple:
                 result = Converted(result)
             if not isinstance(result, Converted) or not isinstance(result.content, str):
                 raise TypeError(f"converter returned {type(result).__name__}, not text")
-            pages, score = result.num_pages, _score(result.confidence)
+            pages, score = result.num_pages, result.confidence
             extra = result.document_metadata
             return (
                 True,
@@ -136,10 +127,11 @@ _ARROW = pa.schema([
 
 
 def _task(factory: Callable[[], Converter], config: ConvertConfig) -> Callable:
-    """The function one task runs: one converter for all its documents."""
+    """The function one task runs, with the converter of its Python worker."""
+    pickled = cloudpickle.dumps(factory)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        convert = (InChild if config.isolate else InProcess)(factory, config.timeout_s)
+        convert = worker_converter(pickled, config)
         rows: list[tuple] = []
         size = 0
 
@@ -147,24 +139,21 @@ def _task(factory: Callable[[], Converter], config: ConvertConfig) -> Callable:
             columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)]
             return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
-        try:
-            for batch in batches:
-                for row in range(batch.num_rows):
-                    path, name, length, valid, error, content = (c[row].as_py() for c in batch.columns)
-                    if valid:
-                        fields = _fields(path, *convert(path, content))
-                    else:
-                        fields = False, "", None, None, None, error
-                    rows.append((path, name, length, *fields))
-                    size += len(fields[1])
-                    if size >= FLUSH_BYTES:
-                        yield flush()
-                        rows, size = [], 0
-                if rows:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                path, name, length, valid, error, content = (c[row].as_py() for c in batch.columns)
+                if valid:
+                    fields = _fields(path, *convert(path, content))
+                else:
+                    fields = False, "", None, None, None, error
+                rows.append((path, name, length, *fields))
+                size += sum(len(text.encode()) for text in fields if isinstance(text, str))
+                if size >= FLUSH_BYTES:
                     yield flush()
                     rows, size = [], 0
-        finally:
-            convert.close()
+            if rows:
+                yield flush()
+                rows, size = [], 0
 
     return run
 
@@ -179,9 +168,11 @@ def convert_documents(
 
     ``converter`` takes no argument and returns a function of path and content
     (bytes, text, or null when the document is to be opened by its path) that
-    returns a ``str`` or a ``Converted``. It is built once per task, on an
-    executor. Whatever it does to one document - raise, run over time or, with
-    ``isolate``, crash the process - ends up in that document's row.
+    returns a ``str`` or a ``Converted``. It is built once per Python worker of an
+    executor and serves all tasks of the worker. Whatever it does to one document -
+    raise, run over time or, with ``isolate``, crash the process - ends up in that
+    document's row. A converter that cannot be built fails the task, which Spark then
+    tries elsewhere.
 
     The rows pass through one Arrow operator, which Spark never evaluates twice;
     the bytes of invalid documents are not sent to it. ``num_partitions`` deals

@@ -9,12 +9,10 @@ import contextlib
 import multiprocessing
 import signal
 import traceback
-from collections.abc import Callable
-
 from pyspark import cloudpickle
 
-# Seconds a child process may take to build its converter, such as to load models.
-BUILD_LIMIT_S = 600
+from docflow.config import ConvertConfig
+
 
 class DocumentTimeout(BaseException):
     """Raised inside a converter whose time is up.
@@ -48,26 +46,27 @@ def failure_text(path: str, message: str, trace: str | None = None) -> str:
     return f"{text}\nTraceback: {trace}" if trace else text
 
 
+class ConverterNotBuilt(RuntimeError):
+    """The converter cannot be built here; the task fails, and Spark tries it elsewhere."""
+
+
 class InProcess:
     """Builds the converter on first use and calls it in this process."""
 
-    def __init__(self, factory: Callable, timeout_s: float | None) -> None:
-        self._factory, self._timeout_s = factory, timeout_s
+    def __init__(self, pickled: bytes, config: ConvertConfig) -> None:
+        self._pickled, self._timeout_s = pickled, config.timeout_s
         self._converter = None
-        self._build_error: tuple[str, str] | None = None
 
     def build(self) -> None:
-        if self._converter is None and self._build_error is None:
+        if self._converter is None:
             try:
-                self._converter = self._factory()
+                self._converter = cloudpickle.loads(self._pickled)()
             except (Exception, SystemExit) as error:
-                self._build_error = f"cannot build converter: {error}", traceback.format_exc()
+                raise ConverterNotBuilt(f"cannot build converter: {error}") from error
 
     def __call__(self, path: str, content) -> tuple[object, str | None]:
         """``(result, None)`` or ``(None, error text)``."""
         self.build()
-        if self._build_error is not None:
-            return None, failure_text(path, *self._build_error)
         try:
             with time_limit(self._timeout_s):
                 return self._converter(path, content), None
@@ -83,9 +82,13 @@ class InProcess:
 def _serve(connection, pickled: bytes) -> None:
     """Body of the child process: convert what comes in until the pipe closes."""
     # The parent keeps the time and ends the child, so no limit here.
-    convert = InProcess(cloudpickle.loads(pickled), None)
-    convert.build()
-    connection.send_bytes(b"ready")
+    convert = InProcess(pickled, ConvertConfig(timeout_s=None))
+    try:
+        convert.build()
+    except ConverterNotBuilt as error:
+        connection.send_bytes(str(error).encode("utf-8", "backslashreplace"))
+        return
+    connection.send_bytes(b"")
     while True:
         try:
             path, content = connection.recv()
@@ -103,14 +106,13 @@ def _serve(connection, pickled: bytes) -> None:
 class InChild:
     """Calls the converter in a child process, replaced after a crash or a timeout."""
 
-    def __init__(self, factory: Callable, timeout_s: float | None) -> None:
-        self._pickled, self._timeout_s = cloudpickle.dumps(factory), timeout_s
+    def __init__(self, pickled: bytes, config: ConvertConfig) -> None:
+        self._pickled, self._timeout_s, self._build_s = pickled, config.timeout_s, config.build_timeout_s
         # Children are forked from a clean server process, one per Python worker:
         # replacing a child takes milliseconds and inherits nothing from the worker.
         self._context = multiprocessing.get_context("forkserver")
         self._context.set_forkserver_preload([__name__])
         self._child = self._connection = None
-        self._build_error: str | None = None
 
     def _start(self) -> None:
         """Start a child and wait until its converter is built, outside any document's time."""
@@ -121,23 +123,23 @@ class InChild:
         self._child.start()
         remote.close()
         try:
-            if self._connection.poll(BUILD_LIMIT_S):
-                self._connection.recv_bytes()
-                return
-            self._build_error = f"cannot build converter: timed out after {BUILD_LIMIT_S} s"
+            if self._connection.poll(self._build_s or None):
+                problem = self._connection.recv_bytes().decode()
+            else:
+                problem = f"cannot build converter: timed out after {self._build_s:g} s"
         except (EOFError, OSError):
-            self._build_error = f"cannot build converter: {self._exit_text()}"
-        self.close()
+            problem = f"cannot build converter: {self._exit_text()}"
+        if problem:
+            self.close()
+            raise ConverterNotBuilt(problem)
 
     def _exit_text(self) -> str:
         self._child.join(5)
         return f"converter process ended with exit code {self._child.exitcode}"
 
     def __call__(self, path: str, content) -> tuple[object, str | None]:
-        if self._child is None and self._build_error is None:
+        if self._child is None:
             self._start()
-        if self._build_error is not None:
-            return None, failure_text(path, self._build_error)
         try:
             self._connection.send((path, content))
             if self._connection.poll(self._timeout_s or None):
@@ -154,3 +156,20 @@ class InChild:
             self._child.join()
             self._connection.close()
             self._child = self._connection = None
+
+
+_held: tuple[tuple, InProcess | InChild] | None = None
+
+
+def worker_converter(pickled: bytes, config: ConvertConfig) -> InProcess | InChild:
+    """The converter of this Python worker, kept from task to task.
+
+    A worker holds one; another factory or other options replace it.
+    """
+    global _held
+    key = (pickled, config)
+    if _held is None or _held[0] != key:
+        if _held is not None:
+            _held[1].close()
+        _held = key, (InChild if config.isolate else InProcess)(pickled, config)
+    return _held[1]

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 def flatten_results(df: DataFrame) -> DataFrame:
     """The five output columns; the metadata map becomes JSON text."""
+    # Names and order of the columns.
     return df.select(
         "document_path",
         F.col("result.success").alias("success"),

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +20,7 @@ from docflow.functions.html import (
     drop_unseen,
     replace_tags,
 )
-
-_SEPARATOR = "\x13"
+from docflow.session import ship_package
 
 
 def block_kind(text: Column) -> Column:
@@ -40,47 +43,32 @@ def document_blocks(df: DataFrame) -> DataFrame:
     )
 
 
-def _tables_of(marked: Column) -> Column:
+def _split_tables(marked: str) -> list[str]:
     """Text of each table with its row and cell markers, in the order the tables start.
 
-    A table inside a cell is a table of its own, and the cell keeps the text
-    around it. One pass over the pieces between table tags keeps a stack of open
-    tables, so any depth of nesting comes out right.
+    A table inside a cell is a table of its own, and the cell keeps the text around
+    it. One pass keeps a stack of open tables, so any depth of nesting comes out right.
     """
-    for tag in (TABLE, TABLE_END):
-        marked = F.replace(marked, F.lit(tag), F.lit(_SEPARATOR + tag))
-
-    start = F.expr(
-        "named_struct('n', 0, 'open', cast(array() AS array<int>),"
-        " 'parts', cast(array() AS array<struct<owner: int, text: string>>))"
-    )
-
-    def step(state: Column, piece: Column) -> Column:
-        n, opened = state["n"], state["open"]
-        begins, ends = piece.startswith(TABLE), piece.startswith(TABLE_END)
-        now_open = (
-            F.when(begins, F.concat(opened, F.array(n + 1)))
-            .when(ends & (F.size(opened) > 0), F.slice(opened, F.lit(1), F.size(opened) - 1))
-            .otherwise(opened)
-        )
-        part = F.struct(
-            F.coalesce(F.try_element_at(now_open, F.lit(-1)), F.lit(0)).alias("owner"),
-            F.ltrim(piece, F.lit(TABLE + TABLE_END)).alias("text"),
-        )
-        return F.struct(
-            F.when(begins, n + 1).otherwise(n).alias("n"),
-            now_open.alias("open"),
-            F.concat(state["parts"], F.array(part)).alias("parts"),
-        )
-
-    def joined(state: Column) -> Column:
-        def text(number: Column) -> Column:
-            own = F.filter(state["parts"], lambda part: part["owner"] == number)
-            return F.array_join(F.transform(own, lambda part: part["text"]), "")
-
-        return F.when(state["n"] > 0, F.transform(F.sequence(F.lit(1), state["n"]), text))
-
-    return F.aggregate(F.split(marked, _SEPARATOR), start, step, joined)
+    tables: list[list[str]] = []
+    opened: list[list[str]] = []
+    for piece in re.split(f"([{TABLE}{TABLE_END}])", marked):
+        if piece == TABLE:
+            tables.append([])
+            opened.append(tables[-1])
+        elif piece == TABLE_END:
+            del opened[-1:]
+        elif opened:
+            opened[-1].append(piece)
+    return ["".join(parts) for parts in tables]
+
+
+def _explode_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``document_path, table, table_text`` per table; one batch per document."""
+    for batch in batches:
+        for path, marked in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            tables = _split_tables(marked)
+            columns = [pa.array([path.as_py()] * len(tables), path.type), pa.array(range(len(tables)), pa.int32()), pa.array(tables, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["document_path", "table", "table_text"])
 
 
 def document_tables(df: DataFrame, path_col: str = "document_path", html_col: str = "content") -> DataFrame:
@@ -94,10 +82,11 @@ def document_tables(df: DataFrame, path_col: str = "document_path", html_col: st
         return F.filter(rows, lambda row: F.contains(row, F.lit(CELL)))
 
     cells = F.split("row_text", CELL)
+    ship_package(df.sparkSession)
     return (
         df.filter(html.rlike(r"(?i)<table[\s/>]"))
         .select(F.col(path_col).alias("document_path"), marked.alias("marked"))
-        .select("document_path", F.posexplode(_tables_of(F.col("marked"))).alias("table", "table_text"))
+        .mapInArrow(_explode_tables, f"document_path {df.schema[path_col].dataType.simpleString()}, table int, table_text string")
         .select(
             "document_path",
             "table",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -37,29 +38,16 @@ def not_empty() -> Rule:
     return Rule("empty", F.col("file_size") > 0)
 
 
-def readable() -> Rule:
-    """The scan delivered bytes; hidden and underscore files have none."""
-    return Rule("hidden", F.col("content").isNotNull())
-
-
-def max_size(limit: int) -> Rule:
-    """At most this many bytes; one document cannot be split over tasks."""
-    return Rule("max_size", F.col("file_size") <= limit)
+def ends_with(tail: str) -> Rule:
+    """The text ends with ``tail`` in either case; white space and comments may follow."""
+    # Atomic groups: only what follows the last occurrence is looked at, and once.
+    end = rf"(?is)\A(?>.*{re.escape(tail)})(?:\s++|<!--(?>.*?-->))*+\z"
+    return Rule("truncated", F.col("content").cast("string").rlike(end))
 
 
-def ends_with(tail: str) -> Rule:
-    """The text ends with ``tail``, whatever its case and the blanks after it."""
-    text = F.rtrim(F.col("content").cast("string"))
-    # Only the end is put into lower case, not a copy of the whole text.
-    end = F.substring(text, -len(tail), len(tail))
-    return Rule("truncated", F.lower(end) == tail)
-
-
-def file_rules(*extensions: str, max_bytes: int | None = None) -> list[Rule]:
-    """The usual rules for files of a folder."""
-    size = [] if max_bytes is None else [max_size(max_bytes)]
-    suffixes = extensions or (".pdf",)
-    return [exists(), is_file(), has_suffix(*suffixes), not_empty(), *size, readable()]
+def file_rules(*extensions: str) -> list[Rule]:
+    """The rules for files: there, a file, of one of these types."""
+    return [exists(), is_file(), has_suffix(*(extensions or (".pdf",)))]
 
 
 def validate(df: DataFrame, rules: list[Rule]) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docflow.config import ConvertConfig
 from docflow.operators.convert import convert_documents, convert_html
 from docflow.operators.results import flatten_results
 from docflow.operators.validate import Rule, ends_with, file_rules, validate
-from docflow.sources.content import content_limit, read_content
+from docflow.sources.content import read_content
 from docflow.sources.listing import documents_from_paths
 from docflow.sources.tables import documents_from_table
 
@@ -34,10 +35,16 @@ def convert_valid(
     return flatten_results(converted)
 
 
-def convert_pages(pages: DataFrame, config: ConvertConfig | None = None) -> DataFrame:
-    """A table of web pages (``url, html``) to flat results; cut-off pages are invalid."""
+def convert_pages(
+    pages: DataFrame, config: ConvertConfig | None = None, complete_only: bool = False
+) -> DataFrame:
+    """A table of web pages (``url, html``) to flat results.
+
+    A page that was cut off is converted as far as it goes, unless ``complete_only`` asks
+    for pages that end with ``</html>``; others are then invalid.
+    """
     documents = documents_from_table(pages, "url", "html")
-    return convert_valid(documents, [ends_with("</html>")], config=config)
+    return convert_valid(documents, [ends_with("</html>")] if complete_only else [], config=config)
 
 
 def convert_directory(
@@ -49,14 +56,19 @@ def convert_directory(
     extensions: tuple[str, ...] = (".pdf",),
     recursive: bool = False,
     num_partitions: int | None = None,
-    max_bytes: int | None = None,
 ) -> DataFrame:
-    """Every matching entry of a folder to one flat result."""
+    """Every matching entry of a folder to one flat result.
+
+    Files are opened in the tasks, hidden and empty ones, too. A plug-in gets the bytes,
+    or null if they are too many for one value, and then opens the file by its path.
+    """
     if converter is None and not HTML_SUFFIXES.issuperset(extensions):
         raise ValueError(f"files of type {', '.join(extensions)} need a converter")
-    documents = read_content(spark, path, pattern, recursive, max_bytes)
-    rules = file_rules(*extensions, max_bytes=content_limit(spark, max_bytes))
-    return convert_valid(documents, rules, converter, config, num_partitions)
+    documents = read_content(spark, path, pattern, recursive, num_partitions)
+    rules = file_rules(*extensions)
+    if converter is None:
+        rules.append(Rule("unreadable", F.col("content").isNotNull()))
+    return convert_valid(documents, rules, converter, config)
 
 
 def convert_one(
@@ -67,6 +79,4 @@ def convert_one(
     extensions: tuple[str, ...] = (".pdf",),
 ) -> DataFrame:
     """One document, which the converter opens by its path."""
-    documents = documents_from_paths(spark, [path])
-    rules = [rule for rule in file_rules(*extensions) if rule.name not in ("hidden", "empty")]
-    return convert_valid(documents, rules, converter, config)
+    return convert_valid(documents_from_paths(spark, [path]), file_rules(*extensions), converter, config)

@@ -19,10 +19,6 @@ from docflow.sinks.jsonl import write_results
 
 log = logging.getLogger("docflow")
 
-# Failures that are logged; all of them are in the output.
-LOGGED_FAILURES = 20
-
-
 class JobReport(NamedTuple):
     total: int
     succeeded: int
@@ -40,8 +36,6 @@ def run_job(
     extensions: tuple[str, ...] = (".pdf",),
     recursive: bool = False,
     num_partitions: int | None = None,
-    max_bytes: int | None = None,
-    single_file: bool = False,
 ) -> JobReport:
     """Convert a folder and write one JSON line per document.
 
@@ -58,22 +52,20 @@ def run_job(
         extensions,
         recursive,
         num_partitions,
-        max_bytes,
     )
     status = Observation("status")
-    write_results(results.observe(status, *status_counts()), output_path, single_file)
+    write_results(results.observe(status, *status_counts()), output_path)
     counts = status.get
 
     written = spark.read.schema(OUTPUT_SCHEMA)
-    if single_file or not counts["failed"]:
+    if not counts["failed"]:
         failed = failures_report(written.json(output_path))
     else:
         failed = failures_report(written.json(f"{output_path.rstrip('/')}/status=failed"))
     report = JobReport(counts["total"], counts["succeeded"], counts["failed"], failed)
     log.info("documents: %d, succeeded: %d, failed: %d", *report[:3])
     if report.failed:
-        for row in failed.limit(LOGGED_FAILURES).collect():
-            log.warning("%s: %s", row.document_path, row.error_message)
+        log.warning("all failures are in %s/status=failed", output_path.rstrip("/"))
     return report
 
 
@@ -85,14 +77,12 @@ def _load(name: str) -> Callable:
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="docflow", description="Convert a folder of documents.")
     parser.add_argument("--input", "--input-dir", default="assets", help="folder, any Hadoop URI")
-    parser.add_argument("--output", default=None, help="folder for JSON-lines part files")
-    parser.add_argument("--output-file", default=None, help="one JSON-lines file instead")
+    parser.add_argument("--output", "--output-file", default="output/results.jsonl", help="folder for JSON-lines part files")
     parser.add_argument("--converter", default="html", help="'html', or module:factory of a plug-in")
     parser.add_argument("--pattern", default=None, help="glob of file names")
     parser.add_argument("--extension", action="append", help="accepted suffix, repeatable")
     parser.add_argument("--recursive", action="store_true")
     parser.add_argument("--num-partitions", type=int, default=None)
-    parser.add_argument("--max-bytes", type=int, default=None, help="larger files are invalid")
     parser.add_argument("--timeout", type=float, default=300.0, help="seconds per document")
     parser.add_argument("--image-mode", choices=IMAGE_MODES, default="embedded")
     parser.add_argument("--isolate", action="store_true", help="survive crashes of the converter")
@@ -106,17 +96,13 @@ def main(argv: list[str] | None = None) -> int:
     args = _arguments(argv)
     native = args.converter == "html"
     converter = None if native else _load(args.converter)
-    single_file = args.output is None
-    output = args.output or args.output_file or "output/results.jsonl"
-    # A plug-in spends seconds on a document, so its splits hold few of them.
-    splits = {} if native else {"spark__sql__files__maxPartitionBytes": "16m"}
-    spark = build_session("docflow", **splits)
+    spark = build_session("docflow")
     try:
         ship_package(spark)
         run_job(
             spark,
             args.input,
-            output,
+            args.output,
             converter,
             ConvertConfig(
                 timeout_s=args.timeout, image_mode=args.image_mode, isolate=args.isolate
@@ -125,8 +111,6 @@ def main(argv: list[str] | None = None) -> int:
             extensions=tuple(args.extension or ([".html", ".htm"] if native else [".pdf"])),
             recursive=args.recursive,
             num_partitions=args.num_partitions,
-            max_bytes=args.max_bytes,
-            single_file=single_file,
         )
     finally:
         spark.stop()

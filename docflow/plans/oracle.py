@@ -54,21 +54,27 @@ _NAME = r"regexp_extract(regexp_replace({0}, '[?#].*$', ''), '([^/]*)/*$', 1)"
 _SUFFIX = r"regexp_extract({0}, '^.+(\.[^.]+)$', 1)"
 URL_NAME = _NAME.format("url")
 URL_SUFFIX = _SUFFIX.format(URL_NAME)
-COMPLETE = "lower(rtrim(html)) LIKE '%</html>'"
+COMPLETE = r"regexp_matches(html, '(?is)</html>(\s|<!--.*?-->)*\z')"
 
 PAGE_METADATA = f"""to_json(map(
     ['file_name', 'file_size', 'file_extension', 'file_path', 'num_pages', 'confidence_score'],
     [{URL_NAME}, CAST(octet_length(encode(html)) AS VARCHAR), {URL_SUFFIX}, url, '0', '0.0']))"""
 
-RESULTS = f"""
+
+
+def _page_results(complete: str) -> str:
+    return f"""
 SELECT url AS document_path,
-       {COMPLETE} AS success,
-       CASE WHEN {COMPLETE} THEN {_markdown("html")} ELSE '' END AS content,
-       CASE WHEN {COMPLETE} THEN CAST({PAGE_METADATA} AS VARCHAR) ELSE '{{}}' END AS metadata,
-       CASE WHEN NOT {COMPLETE} THEN 'Invalid file' END AS error_message
+       {complete} AS success,
+       CASE WHEN {complete} THEN {_markdown("html")} ELSE '' END AS content,
+       CASE WHEN {complete} THEN CAST({PAGE_METADATA} AS VARCHAR) ELSE '{{}}' END AS metadata,
+       CASE WHEN NOT ({complete}) THEN 'Invalid file' END AS error_message
 FROM pages"""
 
 
+RESULTS = _page_results(COMPLETE)
+
+
 def _cut(column: str) -> str:
     return f"CASE WHEN length({column}) > 50 THEN left({column}, 47) || '...' ELSE {column} END AS {column}"
 
@@ -102,11 +108,13 @@ def _order_image(mode: str) -> str:
     return f"'## Order ' || o_orderkey || chr(10) || chr(10) || {images}"
 
 
-_FILES = f"read_blob('{FOLDER}/*.parquet')"
+# Tables are files, or folders of part files.
+_FILES = f"read_blob('{FOLDER}/**/*.parquet')"
 _FILE_NAME = "regexp_extract(filename, '([^/]*)$', 1)"
 
 ORACLE: dict[str, str] = {
     "convert_pages": RESULTS,
+    "convert_all_pages": _page_results("true"),
     "html_to_markdown": f"SELECT page_id, {_markdown('html')} AS content FROM pages",
     "html_to_markdown_full": (
         f"SELECT page_id, {_markdown('html', boilerplate=False)} AS content FROM pages"
@@ -197,13 +205,16 @@ SELECT url AS document_path, 'Invalid file' AS error_message FROM pages WHERE NO
 SELECT {_cut("document_path")}, CAST(success AS VARCHAR) AS success, {_cut("content")},
        {_cut("metadata")}, {_cut("error_message")}
 FROM ({RESULTS} ORDER BY url LIMIT 20)""",
+    "preview_uncut": f"""
+SELECT document_path, CAST(success AS VARCHAR) AS success, content, metadata, error_message
+FROM ({RESULTS} ORDER BY url LIMIT 40)""",
     "convert_python": _text_results(
         "length(text) >= 100",
         "CAST(1 + length(text) // 1000 AS VARCHAR)",
         "0.5",
         "'only ' || length(text) || ' characters'",
     ),
-    "convert_timeout": _text_results("length(text) >= 100", "'0'", "0.0", "'timed out after 0.25 s'"),
+    "convert_timeout": _text_results("length(text) >= 30", "'0'", "0.0", "'timed out after 3 s'"),
     "convert_isolated": _text_results(
         "length(text) >= 100", "'0'", "0.0", "'converter process ended with exit code -9'"
     ),
@@ -211,13 +222,21 @@ FROM ({RESULTS} ORDER BY url LIMIT 20)""",
     "read_content": f"""
 SELECT {_FILE_NAME} AS file_name, size AS file_size,
        CAST(octet_length(content) AS BIGINT) AS content_bytes FROM {_FILES}""",
+    "check_paths": """
+WITH paths AS (
+    SELECT CASE doc_id % 3 WHEN 0 THEN 'file' WHEN 1 THEN 'folder' ELSE 'missing ' || doc_id END AS path, doc_id % 3 AS k FROM documents)
+SELECT k <> 2 AS "exists", CASE k WHEN 1 THEN 'is_file' WHEN 2 THEN 'exists' END AS failed_rule,
+       count(*) AS documents, count(DISTINCT path) AS paths
+FROM paths GROUP BY k""",
+    "job_failures": f"""
+SELECT {_FILE_NAME} AS file_name, size || ' bytes' AS reason FROM {_FILES} WHERE size > 10000""",
     "convert_directory": f"""
 SELECT {_FILE_NAME} AS file_name, true AS success, CAST(size AS VARCHAR) AS content,
        CAST(NULL AS VARCHAR) AS error_message
 FROM {_FILES}""",
     "jsonl_roundtrip": RESULTS,
-    "jsonl_single_file": RESULTS,
     "stream_convert": RESULTS,
     "stream_documents": f"""
-SELECT {_FILE_NAME} AS file_name, true AS success, CAST(size AS VARCHAR) AS content FROM {_FILES}""",
+SELECT {_FILE_NAME} AS file_name, true AS success, CAST(size AS VARCHAR) AS content FROM {_FILES}
+WHERE regexp_extract(filename, '/(pages[.]parquet(/[^/]*)?)$', 1) <> ''""",
 }

@@ -20,25 +20,32 @@ from docflow.functions.metadata import file_metadata as file_entries
 from docflow.functions.paths import file_name, suffix, url_path
 from docflow.operators import results, structure
 from docflow.operators.convert import Converted
-from docflow.operators.validate import Rule, ends_with, has_suffix, not_empty, validate
+from docflow.operators.validate import Rule, ends_with, file_rules, has_suffix, not_empty, validate
 from docflow.plans import convert as plans
 from docflow.plans.job import run_job
 from docflow.schemas import OUTPUT_SCHEMA
 from docflow.session import scratch_dir, ship_package
 from docflow.sinks import write_jsonl
-from docflow.sources import balance, documents_from_table, read_content
+from docflow.sources import balance, checked_documents, documents_from_table, read_content
 from docflow.sources import list_documents as listing
 from docflow.streaming import stream_documents as document_stream
 from docflow.streaming import stream_results
 
 # Documents below this length make the example converters fail.
 SHORT = 100
+# Below this length the hanging one hangs: few documents, so that the limit can be seconds.
+TINY = 30
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _dealt(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table dealt out over the cores; the tables of the checks have few splits."""
+    return balance(_table(spark, folder, name), spark.sparkContext.defaultParallelism)
+
+
 def _first_line(df: DataFrame) -> DataFrame:
     """Results without traceback, which names lines of code."""
     return df.withColumn("error_message", F.substring_index("error_message", "\n", 1))
@@ -48,25 +55,31 @@ def _first_line(df: DataFrame) -> DataFrame:
 
 
 def convert_pages(spark: SparkSession, folder: str) -> DataFrame:
-    return plans.convert_pages(balance(_table(spark, folder, "pages")))
+    """Complete pages only, so that some rows are failures."""
+    return plans.convert_pages(_dealt(spark, folder, "pages"), complete_only=True)
+
+
+def convert_all_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page, also one that was cut off."""
+    return plans.convert_pages(_dealt(spark, folder, "pages"))
 
 
 def html_to_markdown(spark: SparkSession, folder: str) -> DataFrame:
-    pages = balance(_table(spark, folder, "pages"))
+    pages = _dealt(spark, folder, "pages")
     return pages.select("page_id", markdown(F.col("html")).alias("content"))
 
 
 def html_to_markdown_full(spark: SparkSession, folder: str) -> DataFrame:
     """With navigation and footer, and so with links."""
     config = ConvertConfig(drop_boilerplate=False)
-    pages = balance(_table(spark, folder, "pages"))
+    pages = _dealt(spark, folder, "pages")
     return pages.select("page_id", markdown(F.col("html"), config).alias("content"))
 
 
 def _order_pages(spark: SparkSession, folder: str) -> DataFrame:
     """One page per order, with a table and two images, made from the order's columns."""
     cells = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
-    return balance(_table(spark, folder, "orders")).select(
+    return _dealt(spark, folder, "orders").select(
         F.concat(F.lit("order/"), F.col("o_orderkey"), F.lit(".html")).alias("document_path"),
         F.concat(
             F.lit("<html><body><h2>Order "),
@@ -172,7 +185,7 @@ def metadata_stringify(spark: SparkSession, folder: str) -> DataFrame:
 
 def _page_results(spark: SparkSession, folder: str) -> DataFrame:
     """Not balanced: where no text is read, there is nothing to spread."""
-    return plans.convert_pages(_table(spark, folder, "pages"))
+    return plans.convert_pages(_table(spark, folder, "pages"), complete_only=True)
 
 
 def status_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -201,16 +214,16 @@ def length_converter() -> Callable:
     def convert(path, text):
         if len(text) < SHORT:
             raise ValueError(f"only {len(text)} characters")
-        return Converted(str(len(text)), num_pages=1 + len(text) // 1000, confidence={"mean_score": 0.5})
+        return Converted(str(len(text)), num_pages=1 + len(text) // 1000, confidence=0.5)
 
     return convert
 
 
 def hanging_converter() -> Callable:
-    """Never returns for short texts."""
+    """Never returns for texts of hardly any length."""
 
     def convert(path, text):
-        while len(text) < SHORT:
+        while len(text) < TINY:
             time.sleep(1)
         return str(len(text))
 
@@ -232,11 +245,22 @@ def byte_count_converter() -> Callable:
     return lambda path, content: str(len(content))
 
 
+def refusing_converter() -> Callable:
+    """Refuses files of more than 10,000 bytes."""
+
+    def convert(path, content):
+        if len(content) > 10_000:
+            raise ValueError(f"{len(content)} bytes")
+        return str(len(content))
+
+    return convert
+
+
 def _text_results(
     spark: SparkSession, folder: str, converter: Callable, **options
 ) -> DataFrame:
     ship_package(spark)
-    documents = balance(_table(spark, folder, "documents")).withColumn(
+    documents = _dealt(spark, folder, "documents").withColumn(
         "path", F.concat("source", F.lit("/"), F.col("doc_id"), F.lit(".txt"))
     )
     return plans.convert_valid(
@@ -252,7 +276,7 @@ def convert_python(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def convert_timeout(spark: SparkSession, folder: str) -> DataFrame:
-    return _first_line(_text_results(spark, folder, hanging_converter, timeout_s=0.25))
+    return _first_line(_text_results(spark, folder, hanging_converter, timeout_s=3))
 
 
 def convert_isolated(spark: SparkSession, folder: str) -> DataFrame:
@@ -262,16 +286,33 @@ def convert_isolated(spark: SparkSession, folder: str) -> DataFrame:
 # --- folders, files, streams ---------------------------------------------------
 
 
+def _part_files(documents: DataFrame) -> DataFrame:
+    """Names relative to the folder of tables: tables may be files or folders of parts."""
+    return documents.filter("is_file AND NOT startswith(file_name, '_') AND NOT startswith(file_name, '.')")
+
+
 def list_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return listing(spark, folder, "*.parquet").select("file_name", "file_size")
+    """All part files of the tables; each table is a file or a folder."""
+    return _part_files(listing(spark, folder, "*.parquet", recursive=True)).select("file_name", "file_size")
 
 
 def read_file_content(spark: SparkSession, folder: str) -> DataFrame:
-    return read_content(spark, folder, "*.parquet").select(
+    return _part_files(read_content(spark, folder, "*.parquet", recursive=True)).select(
         "file_name", "file_size", F.octet_length("content").cast("long").alias("content_bytes")
     )
 
 
+def check_paths(spark: SparkSession, folder: str) -> DataFrame:
+    """A table of paths, a third of them files, a third folders, a third missing."""
+    n = F.col("doc_id") % 3
+    path = F.when(n == 0, F.lit(f"{folder}/region.parquet")).when(n == 1, F.lit(f"{folder}/.")).otherwise(
+        F.concat(F.lit(f"{folder}/missing-"), F.col("doc_id"), F.lit(".parquet"))
+    )
+    paths = _table(spark, folder, "documents").select("doc_id", path.alias("document_path"))
+    checked = validate(checked_documents(paths), file_rules(".parquet"))
+    return checked.groupBy("exists", "failed_rule").agg(F.count("*").alias("documents"), F.countDistinct("document_path").alias("paths"))
+
+
 def convert_directory(spark: SparkSession, folder: str) -> DataFrame:
     """The whole batch job over the folder of tables: list, convert, write, read back."""
     ship_package(spark)
@@ -283,10 +324,34 @@ def convert_directory(spark: SparkSession, folder: str) -> DataFrame:
         byte_count_converter,
         pattern="*.parquet",
         extensions=(".parquet",),
+        recursive=True,
     )
-    return spark.read.schema(OUTPUT_SCHEMA).json(output).select(
+    converted = spark.read.schema(OUTPUT_SCHEMA).json(output).select(
         file_name(F.col("document_path")).alias("file_name"), "success", "content", "error_message"
     )
+    return converted.filter("success")
+
+
+def job_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """The job's report on failures: files that the converter refuses."""
+    ship_package(spark)
+    report = run_job(
+        spark,
+        folder,
+        scratch_dir(spark, "results"),
+        refusing_converter,
+        pattern="*.parquet",
+        extensions=(".parquet",),
+        recursive=True,
+    )
+    name = file_name(F.col("document_path"))
+    return _first_line(report.failures).filter(F.col("error_message") != "Invalid file").select(
+        name.alias("file_name"), F.regexp_extract("error_message", ": ([^:]*)$", 1).alias("reason")
+    )
+
+
+def preview_uncut(spark: SparkSession, folder: str) -> DataFrame:
+    return results.preview(_page_results(spark, folder), n=40, width=None)
 
 
 def jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -295,26 +360,23 @@ def jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(OUTPUT_SCHEMA).json(output)
 
 
-def jsonl_single_file(spark: SparkSession, folder: str) -> DataFrame:
-    output = f"{scratch_dir(spark, 'jsonl')}/results.jsonl"
-    write_jsonl(convert_pages(spark, folder), output, single_file=True)
-    return spark.read.schema(OUTPUT_SCHEMA).json(output)
-
-
 def stream_convert(spark: SparkSession, folder: str) -> DataFrame:
-    """The table of pages as a stream of arriving Parquet files."""
+    """The table of pages as a stream of arriving Parquet files.
+
+    It is a file or a folder of parts: a stream takes either if its path is a pattern.
+    """
     work = scratch_dir(spark, "stream")
-    pages = (
-        spark.readStream.schema(_table(spark, folder, "pages").schema)
-        .option("pathGlobFilter", "pages*.parquet")
-        .parquet(folder)
-    )
-    stream_results(pages, f"{work}/out", f"{work}/checkpoint", plans.convert_pages).awaitTermination()
+    pages = spark.readStream.schema(_table(spark, folder, "pages").schema).parquet(f"{folder}/pages.parque[t]")
+
+    def convert(arrived: DataFrame) -> DataFrame:
+        return plans.convert_pages(arrived, complete_only=True)
+
+    stream_results(pages, f"{work}/out", f"{work}/checkpoint", convert).awaitTermination()
     return spark.read.schema(OUTPUT_SCHEMA).json(f"{work}/out")
 
 
 def stream_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Files of the folder as a stream, through a plug-in."""
+    """The files of the pages as a stream, through a plug-in."""
     ship_package(spark)
     work = scratch_dir(spark, "stream")
 
@@ -323,7 +385,7 @@ def stream_documents(spark: SparkSession, folder: str) -> DataFrame:
             documents, [has_suffix(".parquet"), not_empty()], byte_count_converter
         )
 
-    files = document_stream(spark, folder, "*.parquet")
+    files = document_stream(spark, f"{folder}/pages.parque[t]", "*.parquet")
     stream_results(files, f"{work}/out", f"{work}/checkpoint", convert).awaitTermination()
     return spark.read.schema(OUTPUT_SCHEMA).json(f"{work}/out").select(
         file_name(F.col("document_path")).alias("file_name"), "success", "content"
@@ -332,6 +394,7 @@ def stream_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "convert_pages": convert_pages,
+    "convert_all_pages": convert_all_pages,
     "html_to_markdown": html_to_markdown,
     "html_to_markdown_full": html_to_markdown_full,
     "table_markdown": table_markdown,
@@ -347,14 +410,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "failures_report": failures_report,
     "successes": successes,
     "preview": preview,
+    "preview_uncut": preview_uncut,
     "convert_python": convert_python,
     "convert_timeout": convert_timeout,
     "convert_isolated": convert_isolated,
     "list_documents": list_documents,
     "read_content": read_file_content,
+    "check_paths": check_paths,
     "convert_directory": convert_directory,
+    "job_failures": job_failures,
     "jsonl_roundtrip": jsonl_roundtrip,
-    "jsonl_single_file": jsonl_single_file,
     "stream_convert": stream_convert,
     "stream_documents": stream_documents,
 }

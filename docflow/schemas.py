@@ -4,11 +4,11 @@ from pyspark.sql import types as T
 
 # One row per listed file, whether or not its bytes can be read.
 LISTING_SCHEMA = T.StructType([
-    T.StructField("document_path", T.StringType(), False),
-    T.StructField("file_name", T.StringType(), False),
+    T.StructField("document_path", T.StringType(), True),
+    T.StructField("file_name", T.StringType(), True),
     T.StructField("file_size", T.LongType(), True),
-    T.StructField("is_file", T.BooleanType(), False),
-    T.StructField("exists", T.BooleanType(), False),
+    T.StructField("is_file", T.BooleanType(), True),
+    T.StructField("exists", T.BooleanType(), True),
 ])
 
 RESULT_SCHEMA = T.StructType([
@@ -19,7 +19,7 @@ RESULT_SCHEMA = T.StructType([
     T.StructField("file_path", T.StringType(), False),
 ])
 
-# The flat form of a result, as written to JSON lines.
+# Names and order of the fields. The flat form of a result, as written to JSON lines.
 OUTPUT_SCHEMA = T.StructType([
     T.StructField("document_path", T.StringType(), True),
     T.StructField("success", T.BooleanType(), True),

@@ -1,5 +1,5 @@
 """Where results go."""
 
-from docflow.sinks.jsonl import ResultTooLarge, write_jsonl, write_results
+from docflow.sinks.jsonl import write_jsonl, write_results
 
-__all__ = ["ResultTooLarge", "write_jsonl", "write_results"]
+__all__ = ["write_jsonl", "write_results"]

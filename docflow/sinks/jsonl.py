@@ -2,75 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docflow.sources.listing import _hadoop
-
-# Largest result that may be turned into one file. One file is written by one
-# task; beyond this size the part files are the result.
-SINGLE_FILE_LIMIT = 4 << 30
-
 STATUS = "status"
 
 
-class ResultTooLarge(ValueError):
-    """The result is too large for one file."""
-
-
-def write_jsonl(
-    df: DataFrame,
-    path: str,
-    single_file: bool = False,
-    partition_by: str | None = None,
-    limit: int = SINGLE_FILE_LIMIT,
-) -> None:
+def write_jsonl(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Write rows as JSON lines, with null fields and without escaping non-ASCII text.
 
-    ``path`` becomes a folder of part files, written by all tasks at once. With
-    ``single_file`` it becomes one file: the parts are written first, so that the
-    work above runs in parallel, then measured, then joined. If they exceed
-    ``limit`` bytes, ``ResultTooLarge`` names the folder that holds them.
-    Either form replaces what was there and creates missing folders.
+    ``path`` becomes a folder of part files, written by all tasks at once. It replaces
+    what was there.
     """
-    folder = f"{path}.parts" if single_file else path
     writer = df.write.mode("overwrite").option("ignoreNullFields", "false")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.json(folder)
-    if single_file:
-        _join_parts(df.sparkSession, folder, path, limit)
-
-
-def _join_parts(spark: SparkSession, folder: str, path: str, limit: int) -> None:
-    fs, parts = _hadoop(spark, folder)
-    size = fs.getContentSummary(parts).getLength()
-    if size > limit:
-        raise ResultTooLarge(f"{size} bytes are too many for one file; the parts are in {folder}")
-    _, target = _hadoop(spark, path)
-    _, joined = _hadoop(spark, f"{path}.joined")
-    lines = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(folder)
-    lines.coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(joined.toString())
-    written = [s.getPath() for s in fs.listStatus(joined) if s.getPath().getName().startswith("part-")]
-    if fs.exists(target):
-        fs.delete(target, True)
-    if not written:
-        fs.create(target, True).close()
-    elif not fs.rename(written[0], target):
-        raise OSError(f"cannot rename {written[0].toString()} to {path}")
-    for leftover in (joined, parts):
-        fs.delete(leftover, True)
+    writer.json(path)
 
 
-def write_results(df: DataFrame, path: str, single_file: bool = False) -> None:
+def write_results(df: DataFrame, path: str) -> None:
     """Write flat results as JSON lines.
 
-    As a folder, succeeded and failed documents lie in folders of their own, so
-    that a report on failures reads no converted text. Every line still holds all
-    five fields.
+    Succeeded and failed documents lie in folders of their own, so that a report on
+    failures reads no converted text. Every line still holds all five fields.
     """
-    if single_file:
-        write_jsonl(df, path, single_file=True)
-    else:
-        status = F.when(F.col("success"), "succeeded").otherwise("failed")
-        write_jsonl(df.withColumn(STATUS, status), path, partition_by=STATUS)
+    status = F.when(F.col("success"), "succeeded").otherwise("failed")
+    write_jsonl(df.withColumn(STATUS, status), path, partition_by=STATUS)

@@ -1,9 +1,10 @@
 """Where documents come from: folders, path lists, tables."""
 
-from docflow.sources.content import content_limit, read_content
+from docflow.sources.content import read_content, with_content
 from docflow.sources.listing import (
     InputNotFound,
     NoDocuments,
+    checked_documents,
     documents_from_paths,
     list_documents,
 )
@@ -13,9 +14,10 @@ __all__ = [
     "InputNotFound",
     "NoDocuments",
     "balance",
-    "content_limit",
+    "checked_documents",
     "documents_from_paths",
     "documents_from_table",
     "list_documents",
     "read_content",
+    "with_content",
 ]

@@ -2,17 +2,47 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from docflow.schemas import LISTING_SCHEMA
+from docflow.session import ship_package
+from docflow.sources.filesystem import read_file
+from docflow.sources.listing import list_documents
+
+# Fixed value: the most bytes that one value of a Spark column can have.
+LONGEST_VALUE = 2**31 - 16
+
+_CONTENT = T.StructType([*LISTING_SCHEMA.fields, T.StructField("content", T.BinaryType(), True)])
 
-from docflow.functions.paths import file_name
-from docflow.sources.listing import binary_files, list_documents
 
+def with_content(documents: DataFrame, longest: int = LONGEST_VALUE) -> DataFrame:
+    """A listing with a ``content`` column, read by path in the tasks.
 
-def content_limit(spark: SparkSession, max_bytes: int | None = None) -> int:
-    """Bytes a document may have: ``max_bytes``, and never more than the source can load."""
-    source = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength"))
-    return source if max_bytes is None else min(max_bytes, source)
+    Null for folders, for missing and unreadable files, and for files of more than
+    ``longest`` bytes, by default what a column can hold; a plug-in opens those by their path. Each file is
+    handed over on its own, so a task holds one.
+    """
+    ship_package(documents.sparkSession)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                one = batch.slice(row, 1)
+                path, size, is_file = (one.column(c)[0].as_py() for c in ("document_path", "file_size", "is_file"))
+                content = None
+                if is_file and (size or 0) <= longest:
+                    try:
+                        content = read_file(path)
+                    except OSError:
+                        content = None
+                yield pa.RecordBatch.from_arrays([*one.columns, pa.array([content], pa.binary())], [*one.schema.names, "content"])
+
+    names = [f.name for f in LISTING_SCHEMA]
+    return documents.select(*names).mapInArrow(read, _CONTENT)
 
 
 def read_content(
@@ -20,32 +50,12 @@ def read_content(
     path: str,
     pattern: str = "*.pdf",
     recursive: bool = False,
-    max_bytes: int | None = None,
+    num_partitions: int | None = None,
 ) -> DataFrame:
-    """The listing of a folder with a ``content`` column; null where nothing can be read.
-
-    Readable files come straight from the scan. The few others are the listing's
-    rows that the scan does not show: an anti-join of paths, so the bytes of the
-    documents are never shuffled. The scan of paths opens no file. The join is
-    asked to merge because Spark estimates the paths from the size of the files,
-    and would broadcast any number of paths if the files are small enough.
+    """The listing of a folder with a ``content`` column.
 
-    Files above ``content_limit`` count as unreadable. The scan checks the size
-    before it opens a file, so a huge one costs nothing and fails no task.
+    ``num_partitions`` deals the names out before the files are opened; by default to
+    one task per core. The bytes of documents are never shuffled.
     """
     listing = list_documents(spark, path, pattern, recursive)
-    small_enough = F.col("length") <= content_limit(spark, max_bytes)
-    files = binary_files(spark, path, pattern, recursive).filter(small_enough)
-    readable = files.select(
-        F.col("path").alias("document_path"),
-        file_name(F.col("path")).alias("file_name"),
-        F.col("length").alias("file_size"),
-        F.lit(True).alias("is_file"),
-        F.lit(True).alias("exists"),
-        F.col("content"),
-    )
-    shown = files.select(F.col("path").alias("document_path"))
-    others = listing.join(shown.hint("merge"), "document_path", "left_anti").withColumn(
-        "content", F.lit(None).cast("binary")
-    )
-    return readable.unionByName(others)
+    return with_content(listing.repartition(num_partitions or spark.sparkContext.defaultParallelism))

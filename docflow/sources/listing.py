@@ -1,4 +1,4 @@
-"""Complete listings of document folders.
+"""Complete listings of document folders, made in tasks.
 
 The ``binaryFile`` source silently leaves out hidden, underscore and empty files
 and folders, so it cannot say how many documents there are. The listing can: it
@@ -8,10 +8,11 @@ row later instead of vanishing.
 
 from __future__ import annotations
 
+import fnmatch
+import os
 import re
-import warnings
 from collections.abc import Iterable, Iterator
-from itertools import chain, islice
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -19,18 +20,18 @@ from pyspark.sql import functions as F
 
 from docflow.functions.paths import file_name
 from docflow.schemas import LISTING_SCHEMA
-from docflow.session import scratch_dir
+from docflow.session import ship_package
+from docflow.sources.filesystem import entries, file_status, split_path
 
-# Rows of a listing the driver holds at a time. A longer listing is written to
-# shared storage piece by piece, so the driver's memory does not grow with it.
-CHUNK_ROWS = 50_000
+# Rows of an Arrow batch that a task hands over.
+BATCH_ROWS = 10_000
 
 _ARROW_SCHEMA = pa.schema([
-    pa.field("document_path", pa.string(), False),
-    pa.field("file_name", pa.string(), False),
+    pa.field("document_path", pa.string()),
+    pa.field("file_name", pa.string()),
     pa.field("file_size", pa.int64()),
-    pa.field("is_file", pa.bool_(), False),
-    pa.field("exists", pa.bool_(), False),
+    pa.field("is_file", pa.bool_()),
+    pa.field("exists", pa.bool_()),
 ])
 
 
@@ -42,45 +43,29 @@ class NoDocuments(ValueError):
     """The input folder holds no matching document."""
 
 
-def _hadoop(spark: SparkSession, path: str):
-    """The Hadoop file system and path object for a URI of any scheme."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    while chunk := list(islice(rows, BATCH_ROWS)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*chunk), schema)], schema=schema)
 
 
-def _row(status) -> tuple:
-    path = status.getPath()
-    return path.toString(), path.getName(), status.getLen(), status.isFile(), True
+def full_path(path: str) -> str:
+    """A path with scheme; one without is a local path."""
+    root, rest = split_path(path)
+    return f"{root}{rest}" if root not in ("", "file:") else f"file:{os.path.abspath(rest)}"
 
 
-def _walk(fs, folder, matches, recursive: bool) -> Iterator[tuple]:
-    folders = [folder]
-    while folders:
-        entries = fs.listStatusIterator(folders.pop())
-        while entries.hasNext():
-            status = entries.next()
-            if recursive and status.isDirectory():
-                folders.append(status.getPath())
-            if matches(status.getPath().getName()):
-                yield _row(status)
+def _compiled(pattern: str) -> re.Pattern:
+    """A glob of names: ``*``, ``?``, ``[a-z]``, ``[^a-z]`` and ``{one,other}``."""
+    alternatives = [""]
+    for part in re.split(r"(\{[^{}]*\})", pattern):
+        options = part[1:-1].split(",") if part.startswith("{") and part.endswith("}") else [part]
+        alternatives = [a + o for a in alternatives for o in options]
+    return re.compile("|".join(fnmatch.translate(a.replace("[^", "[!")) for a in alternatives), re.DOTALL)
 
 
-def _to_frame(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
-    """Rows to a DataFrame, through shared storage if there are many."""
-
-    def frame(chunk: list[tuple]) -> DataFrame:
-        columns = [list(column) for column in zip(*chunk)] or [[] for _ in _ARROW_SCHEMA]
-        return spark.createDataFrame(pa.table(columns, schema=_ARROW_SCHEMA))
-
-    rows = iter(rows)
-    chunk = list(islice(rows, CHUNK_ROWS))
-    if len(chunk) < CHUNK_ROWS:
-        return frame(chunk)
-    folder = scratch_dir(spark, "listing")
-    while chunk:
-        frame(chunk).write.mode("append").parquet(folder)
-        chunk = list(islice(rows, CHUNK_ROWS))
-    return spark.read.schema(LISTING_SCHEMA).parquet(folder)
+def _is_folder(folder: str) -> bool:
+    exists, is_file, _ = file_status(folder)
+    return exists and not is_file
 
 
 def list_documents(
@@ -89,65 +74,63 @@ def list_documents(
     """One row per entry of a folder whose name matches a glob pattern.
 
     Includes hidden, underscore and empty files and folders of a matching name.
-    Works for every URI the cluster's Hadoop configuration knows. The pattern is
-    case-sensitive; ``*.[pP][dD][fF]`` takes both cases. Only names and sizes
-    pass the driver, as they do for any file scan.
+    The pattern is case-sensitive; ``*.[pP][dD][fF]`` takes both cases. A task lists
+    one folder; with ``recursive``, the folders of a level are listed in parallel and
+    each task goes on below its own. The driver holds the names of the first level's
+    folders, never those of files. Works for local folders and for every store that
+    Arrow's file systems know; others can be given as a table of paths.
     """
-    if getattr(spark, "_jvm", None) is None:
-        return _list_readable(spark, path, pattern, recursive)
-    fs, folder = _hadoop(spark, path)
-    if not fs.exists(folder) or not fs.getFileStatus(folder).isDirectory():
+    root = full_path(path)
+    if not _is_folder(root):
         raise InputNotFound(f"no such folder: {path}")
-    glob = spark._jvm.org.apache.hadoop.fs.GlobPattern.compile(pattern).pattern()
-    compiled = re.compile(glob, re.DOTALL)
-    rows = _walk(fs, folder, compiled.fullmatch, recursive)
-    first = list(islice(rows, 1))
-    if not first:
+    ship_package(spark)
+    matches = _compiled(pattern).match
+    below = [e[0] for e in entries(root) if not e[3]] if recursive else []
+    seeds = spark.createDataFrame([(root, False), *((folder, True) for folder in below)], "folder string, deep boolean")
+
+    def walk(folder: str, deep: bool) -> Iterator[tuple]:
+        todo = [folder]
+        while todo:
+            for entry_path, name, size, is_file in entries(todo.pop()):
+                if deep and not is_file:
+                    todo.append(entry_path)
+                if matches(name):
+                    yield entry_path, name, size, is_file, True
+
+    def list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder, deep in zip(*(c.to_pylist() for c in batch.columns)):
+                yield from _batches(walk(folder, deep), _ARROW_SCHEMA)
+
+    found = seeds.repartition(len(below) + 1).mapInArrow(list_folders, LISTING_SCHEMA)
+    if found.isEmpty():
         raise NoDocuments(f"no file matches {pattern} in {path}")
-    return _to_frame(spark, chain(first, rows))
-
+    return found
 
-def _list_readable(spark: SparkSession, path: str, pattern: str, recursive: bool) -> DataFrame:
-    """The listing without a JVM gateway: only what a file scan shows."""
-    warnings.warn(
-        "no JVM gateway: hidden, underscore and empty files are missing from the listing",
-        stacklevel=3,
-    )
-    return binary_files(spark, path, pattern, recursive).select(
-        F.col("path").alias("document_path"),
-        file_name(F.col("path")).alias("file_name"),
-        F.col("length").alias("file_size"),
-        F.lit(True).alias("is_file"),
-        F.lit(True).alias("exists"),
-    )
 
+def checked_documents(paths: DataFrame, path_col: str = "document_path") -> DataFrame:
+    """A table of paths in the form of a listing; each is looked up in a task.
 
-def binary_files(
-    spark: SparkSession, path: str, pattern: str = "*.pdf", recursive: bool = False
-) -> DataFrame:
-    """The ``binaryFile`` scan of a folder; selecting no ``content`` reads no bytes."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", str(recursive).lower())
-        .load(path)
-    )
-
+    A path that does not exist stays, marked by ``exists``; its text stays as given.
+    A null path is one that does not exist.
+    """
+    ship_package(paths.sparkSession)
 
-def documents_from_paths(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """A work list from path strings, in the listing's form.
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for path in batch.column(0).to_pylist():
+                exists, is_file, size = file_status(path) if path is not None else (False, False, None)
+                rows.append((path, None, size, is_file, exists))
+            yield from _batches(iter(rows), _ARROW_SCHEMA)
 
-    Takes any iterable and holds a bounded part of it at a time. A path that does
-    not exist stays in the list, marked by ``exists``. The path text is kept as given.
-    """
+    found = paths.select(F.col(path_col).cast("string").alias("document_path")).mapInArrow(look_up, LISTING_SCHEMA)
+    return found.withColumn("file_name", file_name(F.col("document_path")))
 
-    def rows() -> Iterator[tuple]:
-        for path in paths:
-            fs, hadoop_path = _hadoop(spark, path)
-            if fs.exists(hadoop_path):
-                _, name, size, is_file, exists = _row(fs.getFileStatus(hadoop_path))
-                yield path, name, size, is_file, exists
-            else:
-                yield path, hadoop_path.getName(), None, False, False
 
-    return _to_frame(spark, rows())
+def documents_from_paths(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """A work list from path strings, looked up in tasks; for long lists use a table."""
+    rows = [(p,) for p in paths]
+    table = spark.createDataFrame(rows, "document_path string")
+    slots = spark.sparkContext.defaultParallelism
+    return checked_documents(table.repartition(max(1, min(slots, len(rows)))))

@@ -32,19 +32,11 @@ def documents_from_table(
     return df.select(*documents)
 
 
-def balance(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Spread documents over the cluster before a costly conversion.
-
-    A large input has more scan splits than the cluster has cores and is left
-    alone: shuffling the bytes of every document would cost more than it gains.
-    Only an input of at most one split per core - a small table, or a file with
-    one row group - is dealt out evenly, so at most one split's bytes per core are
-    shuffled. Rows are dealt out in turn, so a key that many documents share
-    cannot make one task large. Call it on a plain scan, before joins.
+def balance(df: DataFrame, num_partitions: int) -> DataFrame:
+    """Deal documents out evenly over tasks before a costly conversion.
+
+    For inputs with fewer splits than the cluster has cores, such as a file with one row
+    group; it shuffles every document's bytes, so larger inputs are better left alone.
+    Rows are dealt out in turn: no key that many documents share makes one task large.
     """
-    if num_partitions is not None:
-        return df.repartition(num_partitions)
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() > slots:
-        return df
-    return df.repartition(slots)
+    return df.repartition(num_partitions)

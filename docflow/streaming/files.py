@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docflow.functions.paths import file_name
 from docflow.schemas import BINARY_FILE_SCHEMA
+from docflow.sources.content import with_content
 
 
 def stream_documents(
@@ -17,8 +18,9 @@ def stream_documents(
 ) -> DataFrame:
     """Each newly arrived file of a folder once, in the form of a listing with content.
 
-    Like every file stream it never sees hidden, underscore or empty files;
-    ``missing_documents`` finds those.
+    The stream brings the paths; the tasks open the files, so one that cannot be read
+    is a row and does not end the stream. Like every file stream it never sees hidden,
+    underscore or empty files; ``missing_documents`` finds those.
     """
     files = (
         spark.readStream.format("binaryFile")
@@ -27,14 +29,14 @@ def stream_documents(
         .option("maxFilesPerTrigger", max_files_per_batch)
         .load(path)
     )
-    return files.select(
+    listed = files.select(
         F.col("path").alias("document_path"),
         file_name(F.col("path")).alias("file_name"),
         F.col("length").alias("file_size"),
         F.lit(True).alias("is_file"),
         F.lit(True).alias("exists"),
-        "content",
     )
+    return with_content(listed)
 
 
 def stream_results(

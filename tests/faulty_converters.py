@@ -8,12 +8,8 @@ import time
 from docflow.operators.convert import Converted
 
 
-class Score:
-    mean_score = 0.93
-
-
 def well_behaved():
-    return lambda path, content: Converted(content.upper(), 3, Score(), {"k": 1})
+    return lambda path, content: Converted(content.upper(), 3, 0.93, {"k": 1})
 
 
 def misbehaving():
@@ -35,7 +31,7 @@ def misbehaving():
         if content == "surrogate":
             return "a\ud800b"
         if content == "nulls":
-            return Converted("n", None, {"mean_score": None}, None)
+            return Converted("n", None, None, None)
         return content
 
     return convert

@@ -42,6 +42,18 @@ def test_pieces(md, html, expected):
     assert md(html) == expected
 
 
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ("&apos;&check;&hellip;", "'✓…"),
+        ("&#150;&#x96;&#0065;", "––A"),
+        ("<nav>a<nav>b<nav>c</nav></nav></nav>x", "x"),
+    ],
+)
+def test_entities_and_nesting(md, html, expected):
+    assert md(html) == expected
+
+
 def test_boilerplate_can_stay(md):
     html = "<head>h</head><nav><a href=/x>x</a></nav>y<footer>z</footer>"
     assert md(html, drop_boilerplate=False) == "[x](/x)\n\ny\n\nz"

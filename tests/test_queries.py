@@ -5,10 +5,11 @@ import duckdb
 import pytest
 from conftest import plan
 from docflow.plans import queries as q
-from docflow.plans.oracle import FOLDER
+from docflow.plans.oracle import FOLDER, ORACLE
 
 DATA = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+# Those of optional parts have tests of their own.
+QUERIES = q.QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +36,24 @@ def test_query(spark, sql, name):
     assert sorted(actual, key=repr) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("name", ["stream_convert", "list_documents", "read_content", "convert_directory", "stream_documents", "convert_pages"])
+def test_tables_may_be_folders_of_parts(spark, tmp_path, name):
+    for table in ("pages", "documents"):
+        spark.read.parquet(f"{DATA}/{table}.parquet").repartition(3).write.parquet(f"{tmp_path}/{table}.parquet")
+    files = {p.name: p.stat().st_size for p in tmp_path.rglob("*.parquet") if p.is_file()}
+    rows = QUERIES[name](spark, str(tmp_path)).collect()
+    if name in ("stream_convert", "convert_pages"):
+        assert len(rows) == 50
+    elif name == "stream_documents":
+        assert {r.file_name for r in rows} == {p.name for p in tmp_path.glob("pages.parquet/*.parquet")}
+    else:
+        assert {r.file_name for r in rows} == set(files) and len(rows) == 6
+
+
+def test_every_query_is_registered():
+    assert entry.queries().keys() >= QUERIES.keys() and entry.oracle_sql().keys() >= ORACLE.keys()
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 50
 

@@ -5,7 +5,7 @@ import os
 import pytest
 from docflow.operators import failures, failures_report, preview, successes, summarize
 from docflow.schemas import OUTPUT_SCHEMA
-from docflow.sinks import ResultTooLarge, write_jsonl, write_results
+from docflow.sinks import write_jsonl, write_results
 
 ROWS = [
     ("a/ü.pdf", True, 'line\nnext "q" é', '{"k":"v"}', None),
@@ -53,24 +53,6 @@ def test_json_lines(flat, spark, tmp_path):
     assert sorted(spark.read.schema(OUTPUT_SCHEMA).json(path).collect()) == sorted(flat.collect())
 
 
-def test_single_file(flat, tmp_path):
-    path = str(tmp_path / "deep" / "results.jsonl")
-    for df in (flat, flat.repartition(3)):
-        write_jsonl(df, path, single_file=True)
-        assert os.path.isfile(path)
-        assert sorted(tuple(json.loads(x).values()) for x in lines(path)) == sorted(ROWS)
-    assert [n for n in os.listdir(tmp_path / "deep") if not n.startswith(".")] == ["results.jsonl"]
-    write_jsonl(flat.limit(0), path, single_file=True)
-    assert lines(path) == []
-
-
-def test_single_file_has_a_limit(flat, tmp_path):
-    path = str(tmp_path / "results.jsonl")
-    with pytest.raises(ResultTooLarge):
-        write_jsonl(flat, path, single_file=True, limit=10)
-    assert len(lines(path + ".parts")) == 3
-
-
 def test_results_are_split_by_status(flat, spark, tmp_path):
     path = str(tmp_path / "out")
     write_results(flat, path)

@@ -9,11 +9,12 @@ from docflow.sources import (
     InputNotFound,
     NoDocuments,
     balance,
+    checked_documents,
     documents_from_paths,
     documents_from_table,
     list_documents,
-    listing,
     read_content,
+    with_content,
 )
 from faulty_converters import opens_path, well_behaved
 from pyspark.sql import functions as F
@@ -39,14 +40,23 @@ def test_listing_pattern_and_uri(spark, folder):
     assert "s.pdf" in names(list_documents(spark, folder, recursive=True))
 
 
-def test_long_listing_goes_through_storage(spark, folder, monkeypatch):
-    monkeypatch.setattr(listing, "CHUNK_ROWS", 2)
-    long = list_documents(spark, folder)
-    assert names(long) == PDFS and long.count() == 6
-    assert "parquet" in plan(long)
+def test_long_listing_stays_in_tasks(spark, tmp_path):
+    for i in range(3000):
+        (tmp_path / f"{i}.pdf").touch()
+    long = list_documents(spark, str(tmp_path))
+    assert long.count() == 3000 and "MapInArrow" in plan(long)
     assert long.schema.fieldNames() == LISTING_SCHEMA.fieldNames()
 
 
+def test_recursive_listing_finds_all_levels(spark, tmp_path):
+    deep = tmp_path / "x" / "y" / "z"
+    deep.mkdir(parents=True)
+    for place in (tmp_path, tmp_path / "x", deep):
+        (place / "f.pdf").touch()
+    rows = list_documents(spark, str(tmp_path), recursive=True).collect()
+    assert len(rows) == 3 and len({r.document_path for r in rows}) == 3
+
+
 def test_missing_and_empty_folder(spark, folder, tmp_path):
     with pytest.raises(InputNotFound):
         list_documents(spark, str(tmp_path / "nope"))
@@ -67,29 +77,26 @@ def test_paths(spark, folder):
 
 
 def test_content_has_the_rows_of_the_listing(spark, folder):
-    content = read_content(spark, folder)
-    rows = {r.file_name: r for r in content.collect()}
-    assert set(rows) == PDFS and content.count() == 6
+    found = read_content(spark, folder)
+    rows = {r.file_name: r for r in found.collect()}
+    assert set(rows) == PDFS and found.count() == 6
     assert bytes(rows["b c%20é.pdf"].content) == "bytes of b c%20é.pdf".encode()
-    assert {n for n, r in rows.items() if r.content is None} == PDFS - {"a.pdf", "b c%20é.pdf"}
+    assert {n for n, r in rows.items() if r.content is None} == {"dir.pdf"}
 
 
-def test_bytes_are_not_shuffled_and_paths_need_no_bytes(spark, folder):
+def test_bytes_are_not_shuffled(spark, folder):
     text = plan(read_content(spark, folder))
     exchanges = [part for part in text.split("\n\n") if "Exchange" in part.split("\n")[0]]
     assert exchanges and not any("content" in part for part in exchanges)
-    assert "ReadSchema: struct<path:string,length:bigint>\n" in text
 
 
-def test_too_large_a_file_is_not_opened(spark, folder):
-    content = read_content(spark, folder, max_bytes=15)
-    rows = {r.file_name: r for r in content.collect()}
-    assert set(rows) == PDFS and rows["b c%20é.pdf"].content is None and rows["a.pdf"].content
-    assert "LessThanOrEqual(length,15)" in plan(content)
-    checked = validate(content, file_rules(max_bytes=15))
-    assert {r.file_name: r.failed_rule for r in checked.collect()}["b c%20é.pdf"] == "max_size"
-    results = convert_directory(spark, folder, well_behaved, max_bytes=3)
-    assert results.count() == 6 and not results.filter("success").count()
+def test_too_large_a_file_reaches_the_plug_in_by_path(spark, folder):
+    read = with_content(list_documents(spark, folder), longest=20)
+    rows = {r.file_name: r for r in read.collect()}
+    assert rows["b c%20é.pdf"].content is None and rows["a.pdf"].content
+    converted = convert_valid(read, file_rules(), lambda: lambda path, data: "by path" if data is None else "bytes")
+    found = {os.path.basename(r.document_path): r.content for r in converted.filter("success").collect()}
+    assert found.pop("b c%20é.pdf") == "by path" and set(found.values()) == {"bytes"}
 
 
 def test_directory_one_result_per_entry(spark, folder):
@@ -98,7 +105,7 @@ def test_directory_one_result_per_entry(spark, folder):
         for r in convert_directory(spark, folder, lambda: lambda p, c: c.decode()).collect()
     }
     assert set(rows) == PDFS
-    assert {n for n, r in rows.items() if r.success} == {"a.pdf", "b c%20é.pdf"}
+    assert {n for n, r in rows.items() if r.success} == PDFS - {"dir.pdf"}
     assert {r.error_message for r in rows.values() if not r.success} == {"Invalid file"}
     with pytest.raises(InputNotFound):
         convert_directory(spark, folder + "/none", well_behaved)
@@ -109,6 +116,19 @@ def test_pdfs_need_a_converter(spark, folder):
         convert_directory(spark, folder)
 
 
+def test_paths_of_files_keep_their_marks(spark):
+    table = spark.createDataFrame([("s3a://b/C# intro.pdf",), ("https://h/x.pdf?a=1#b",)], "p string")
+    checked = validate(documents_from_table(table, "p"), [has_suffix(".pdf")])
+    assert [r.file_name for r in checked.collect()] == ["C# intro.pdf", "x.pdf"]
+    assert checked.filter("is_valid").count() == 2
+
+
+def test_table_of_paths_is_looked_up_in_tasks(spark, folder):
+    table = spark.createDataFrame([(f"{folder}/a.pdf",), (f"{folder}/gone.pdf",), (f"{folder}/dir.pdf",), (None,)], "p string")
+    checked = validate(checked_documents(table, "p"), file_rules())
+    assert [r.failed_rule for r in checked.collect()] == [None, "exists", "is_file", "exists"]
+
+
 def test_table_of_paths(spark, folder):
     table = spark.createDataFrame([(f"{folder}/a.pdf",), (f"{folder}/gone.pdf",)], "p string")
     df = convert_valid(documents_from_table(table, "p"), [has_suffix(".pdf")], opens_path)
@@ -126,10 +146,7 @@ def test_one_document_by_path(spark, folder):
 
 def test_balance(spark):
     few = spark.range(100, numPartitions=2)
-    assert balance(few).rdd.getNumPartitions() == 4
-    many = spark.range(100, numPartitions=5)
-    assert balance(many) is many
-    assert balance(many, 7).rdd.getNumPartitions() == 7
+    assert balance(few, 7).rdd.getNumPartitions() == 7
     hot = few.select(F.lit("same").alias("document_path"))
-    sizes = balance(hot).rdd.glom().map(len).collect()
+    sizes = balance(hot, 4).rdd.glom().map(len).collect()
     assert max(sizes) <= 30

@@ -1,3 +1,4 @@
+import time
 import random
 from html.parser import HTMLParser
 
@@ -74,3 +75,14 @@ def test_blocks(spark):
     blocks = [(r.pos, r.kind, r.text) for r in document_blocks(df).collect()]
     assert [b[1] for b in blocks] == ["heading", "list", "paragraph", "table", "image", "image", "paragraph"]
     assert blocks[2] == (2, "paragraph", "text\nmore")
+
+
+def test_time_of_tables_grows_with_their_number_only(spark):
+    def seconds(n):
+        df = spark.createDataFrame([("p", "<table><tr><td>x</td></tr></table>" * n)], "document_path string, content string")
+        begun = time.perf_counter()
+        assert document_tables(df).count() == n
+        return time.perf_counter() - begun
+
+    seconds(100)
+    assert seconds(20_000) < 20 * max(seconds(2_000), 0.5)
