@@ -1,68 +1,118 @@
-"""Token ids of whole texts by a public tokenizer, one document per row of a batch.
+"""Token ids of whole texts by a public tokenizer, a batch of documents at a time.
 
 A text is cut at white space where that cannot change its ids, and the ids of each
-piece are kept, as bytes, for the next time it occurs. So only pieces that a worker
-has not met before reach the tokenizer, a whole batch of them at a time.
+piece are kept, as bytes, for the next time it occurs. A piece not met before is cut
+into what the tokenizer's pattern would cut it into, and only parts that are new, too,
+reach the tokenizer's model. Pieces with characters beyond Latin-1, whose classes and
+normal forms depend on tables of Unicode, and texts that cannot be cut go through the
+whole tokenizer.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 from functools import lru_cache
 
 import numpy as np
+import regex
 from tokenizers import Tokenizer
 
-#: Pieces whose ids a worker keeps, about 200 bytes each. Later ones are encoded anew.
-MOST_KEPT = 800_000
-#: White space next to a blank: cutting there could move white space between tokens.
-_UNSAFE = re.compile(r"\s \S|\s \s|^ | $|\S \s")
+#: Pieces, and parts of pieces, whose ids a worker keeps, about 200 bytes each. Later
+#: ones are encoded anew: this bounds memory only.
+MOST_KEPT = 600_000
+#: A blank next to white space: cutting there could move white space between tokens.
+_UNSAFE = re.compile(r" (?:(?=\s)|(?<=\s ))")
 #: White space to Python, but not to the tokenizers.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+# The patterns by which the two kinds of tokenizers cut texts.
+_CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+_WITH_BLANKS = regex.compile(_CONTRACTIONS + r"| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_WITHOUT_BLANKS = regex.compile(_CONTRACTIONS + r"|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+
+
+def _byte_characters() -> list[str]:
+    """The characters that stand for bytes: visible ones themselves, others from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return [chr(b) if b in visible else chr(256 + hidden.index(b)) for b in range(256)]
+
+
+def _bytes(ids: list[int]) -> bytes:
+    packed = array("H", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 class CachedTokenizer:
-    """Ids as little-endian bytes of ``dtype``, the same as the tokenizer's for whole texts."""
+    """Ids as bytes, 16 bits each and little-endian, the same as the tokenizer's for whole texts.
+
+    ``blanks_count`` tells byte-level vocabularies, in which a blank belongs to the next
+    word, from lower-case ones that leave white space out.
+    """
 
-    def __init__(self, path: str, blanks_count: bool, dtype: type = np.uint16):
+    dtype = np.dtype("<u2")
+
+    def __init__(self, path: str, blanks_count: bool):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        if self.tokenizer.get_vocab_size() > np.iinfo(dtype).max + 1:
-            raise ValueError("the ids need a wider type")
+        if self.tokenizer.get_vocab_size() > np.iinfo(self.dtype).max + 1:
+            raise ValueError("the ids need more than 16 bits")
         self.blanks_count = blanks_count
-        self.dtype = np.dtype(dtype).newbyteorder("<")
+        self.pattern = _WITH_BLANKS if blanks_count else _WITHOUT_BLANKS
+        self.characters = _byte_characters()
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
-        return [np.array(x.ids, self.dtype).tobytes() for x in done]
+        return [_bytes(x.ids) for x in done]
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            letters = "".join([self.characters[b] for b in part.encode()])
+            ids = _bytes([t.id for t in self.tokenizer.model.tokenize(letters)])
+            if len(self.parts) < MOST_KEPT:
+                self.parts[part] = ids
+        return ids
 
-    def _pieces(self, text: str) -> list[str] | None:
-        """Pieces whose ids, joined, are those of the text; None if it has to stay whole."""
-        if not self.blanks_count:
-            return text.split(" ") if _SEPARATORS.search(text) else text.split()
-        if _UNSAFE.search(text):
-            return None
-        first, *rest = text.split(" ")
-        return [first, *[f" {piece}" for piece in rest]]
+    def _learn(self, pieces: list[str]) -> list[str]:
+        """Adds the ids of new pieces; returns those that are not to be kept."""
+        rare = [p for p in pieces if not p.isascii() and max(p) > "\xff"]
+        lead = " " if self.blanks_count else ""
+        self.known.update(zip(rare, self._whole([lead + p for p in rare]), strict=True))
+        cut = self.pattern.findall
+        for piece in pieces if not rare else set(pieces).difference(rare):
+            self.known[piece] = b"".join(map(self._part, cut(lead + piece if self.blanks_count else piece.lower())))
+        return pieces if len(self.known) > MOST_KEPT else []
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; a null text has none."""
-        cut = [self._pieces(t or "") for t in texts]
-        known = self.known
-        new = list({p for pieces in cut if pieces is not None for p in pieces if p not in known})
-        known.update(zip(new, self._ids(new), strict=True))
-        whole = iter(self._ids([t for t, pieces in zip(texts, cut, strict=True) if pieces is None]))
-        ids = [next(whole) if pieces is None else b"".join([known[p] for p in pieces]) for pieces in cut]
-        for piece in new if len(known) > MOST_KEPT else ():
-            del known[piece]
-        return ids
+        out: list[bytes] = []
+        for text in texts:
+            text = text or ""
+            if self.blanks_count and (text[:1] == " " or text[-1:] == " " or _UNSAFE.search(text)):
+                out += self._whole([text])
+                continue
+            # Of a text whose blanks count, the first piece has none before it.
+            if self.blanks_count:
+                first, *pieces = text.split(" ")
+                start = self._whole([first])[0] if first else b""
+            else:
+                pieces, start = text.split(" ") if _SEPARATORS.search(text) else text.split(), b""
+            forget = self._learn(list(new)) if (new := set(pieces).difference(self.known)) else []
+            out.append(start + b"".join(map(self.known.__getitem__, pieces)))
+            for piece in forget:
+                del self.known[piece]
+        return out
 
 
 @lru_cache(2)
 def tokenizer(path: str, blanks_count: bool) -> CachedTokenizer:
     """One per Python worker, whatever the number of its tasks."""
     return CachedTokenizer(path, blanks_count)
-
