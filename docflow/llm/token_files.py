@@ -48,10 +48,19 @@ def encode(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarr
     ends = np.minimum(np.arange(n) // block * block + block, n)
     selector = np.zeros(n, np.int8)
     selector[bits > 60] = ESCAPE
+    # Selectors wide enough for every id fit wherever enough ids follow.
+    always = [s for s in range(len(COUNTS)) if n and WIDTHS[s] >= bits.max()]
+    left = ends - np.arange(n)
+    for s in always:
+        selector[left >= COUNTS[s]] = s
+    count = int(COUNTS[always[-1]]) if always else 1
+    at = np.flatnonzero((left >= count) & (bits <= 60))
+    within = bits.copy()
+    for k in range(1, count):
+        np.maximum(within[:-k], bits[k:], out=within[:-k])
+    widest = within[at]
     # Where more ids fit with fewer bits each, fewer ids fit, too: candidates only shrink.
-    at = np.flatnonzero(bits <= 60)
-    widest, count = bits[at], 1
-    for s in range(1, len(COUNTS)):
+    for s in range(len(always) or 1, len(COUNTS)):
         few = widest <= WIDTHS[s]
         at, widest = at[few], widest[few]
         while count < COUNTS[s] and len(at):
