@@ -93,7 +93,11 @@ def test_fingerprints_against_the_definition(spark, texts):
         assert row.near_next == same / 64
         by_text[text].add(row.fingerprint)
     assert all(len(prints) == 1 for prints in by_text.values())
-    shingles = lambda t: {tuple((w := t.encode().lower().split())[i : i + 5]) for i in range(len(w) - 4)}
+
+    def shingles(t):
+        words = t.encode().lower().split()
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
     wrong = []
     for doc, after in zip(ids, ids[1:], strict=False):
         text, half = texts[doc], len(texts[doc]) // 2
