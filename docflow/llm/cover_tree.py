@@ -22,8 +22,9 @@ from docflow.llm.common import staged
 from docflow.llm.components import connected_components
 from docflow.llm.near_dedup import _runs as runs
 
-#: Radii of the levels below the root, whose radius is 2.
-RADII = (1.0, 0.5, 0.25)
+#: Radii of the levels within a block. The first one is well below the distance of
+#: unrelated vectors, about 1.4, less that at the threshold: larger nodes prune nothing.
+RADII = (0.5, 0.25, 0.125)
 #: Classes of a block, and the most cells (their centers are what the driver holds).
 BLOCK, CELLS = 4096, 256
 #: Pairs of points compared at once.
