@@ -3,8 +3,9 @@
 A line's leaf is its number of tokens and its first ``LEADING`` tokens; tokens with a
 digit count as ``<*>``. Within a leaf, a token that few documents have at its position
 is a variable field, too. Lines that agree in all that remains are one template, if
-enough of it is fixed; other lines stand for themselves. A template that occurs in
-several documents is dropped from all places but its first.
+enough of it is fixed. Other lines stand for themselves: with their numbers, unless they
+are mostly words. A template that occurs in several documents is dropped from all places
+but its first.
 """
 
 from __future__ import annotations
@@ -24,19 +25,30 @@ def _tokens(masked):
     return F.array_remove(F.split(masked, " "), "")
 
 
-def _masked(line):
-    """A lower-case line with blanks for other white space and without numbers."""
-    plain = F.trim(F.translate(line, "\t\r\f\v", "    "))
+def _plain(line):
+    """A line with blanks for other white space."""
+    return F.trim(F.translate(line, "\t\r\f\v", "    "))
+
+
+def _masked(plain):
+    """A plain lower-case line without numbers."""
     return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, _NUMBERED, ANY)).otherwise(plain)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, key, line_no, leaf, line`` (a hash) of every line that has a token."""
+    """``doc_id, key, line_no, leaf, line`` (a hash) of every line that has a token.
+
+    ``own`` is a hash of the line with its numbers, where words are no more than half of
+    it: such lines are data, and null where the numbers are fields of a text.
+    """
     lines = docs.select("doc_id", F.xxhash64("text").alias("key"), F.posexplode(F.split(F.lower("text"), "\n")).alias("line_no", "raw"))
-    masked = lines.select("doc_id", "key", "line_no", _masked(F.col("raw")).alias("masked")).where("masked <> ''")
-    tokens = masked.withColumn("tokens", _tokens(F.col("masked")))
+    plain = lines.select("doc_id", "key", "line_no", _plain(F.col("raw")).alias("plain")).where("plain <> ''")
+    tokens = plain.withColumn("tokens", _tokens(_masked(F.col("plain"))))
     leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, LEADING))
-    return tokens.select("doc_id", "key", "line_no", leaf.alias("leaf"), F.xxhash64("tokens").alias("line"))
+    words = F.size(F.filter("tokens", lambda t: t.rlike(r"\p{L}")))
+    is_data = F.col("plain").rlike("[0-9]") & (2 * words <= F.size("tokens"))
+    own = F.when(is_data, F.xxhash64(_tokens(F.col("plain"))))
+    return tokens.select("doc_id", "key", "line_no", leaf.alias("leaf"), F.xxhash64("tokens").alias("line"), own.alias("own"))
 
 
 def _documents(rows: DataFrame, *keys: str) -> DataFrame:
@@ -54,7 +66,7 @@ def _generalised(docs: DataFrame, distinct: DataFrame, min_documents: int, least
     )
     found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["_id"]) & (F.xxhash64(docs["text"]) == wanted["_key"]))
     texts = found.withColumn("parts", F.split(F.lower("text"), "\n")).select("parts", F.explode("wanted").alias("w"))
-    tokens = _tokens(_masked(F.expr("parts[w.line_no]")))
+    tokens = _tokens(_masked(_plain(F.expr("parts[w.line_no]"))))
     # Rows that repeat a document bring its lines again.
     lines = texts.select("w.leaf", "w.line", "w.documents", tokens.alias("tokens")).dropDuplicates(["leaf", "line"])
     lines = staged(lines, "leaf-lines")
@@ -79,7 +91,7 @@ def recurring_lines(docs: DataFrame, min_documents: int = 5, least_fixed: float
     distinct = _documents(lines, "leaf", "line").join(lines.groupBy("leaf", "line").agg(F.min(place).alias("at")), ["leaf", "line"])
     templates = _generalised(docs, distinct, min_documents, least_fixed)
     named = lines.join(templates, ["leaf", "line"], "left").select(
-        "doc_id", "key", "line_no", F.coalesce("template", F.xxhash64("leaf", "line")).alias("template")
+        "doc_id", "key", "line_no", F.coalesce("template", "own", F.xxhash64("leaf", "line")).alias("template")
     )
     named = staged(named, "named-lines")
     firsts = named.groupBy("template").agg(F.min(place).alias("first"))
@@ -91,8 +103,9 @@ def drop_recurring_lines(docs: DataFrame, min_documents: int = 5, least_fixed: f
     """``docs`` with recurring lines taken out of ``text``, and ``dropped_lines``, their number.
 
     Lines end at a line feed. A template recurs if it occurs in ``min_documents``
-    documents; it has at least ``least_fixed`` of its tokens fixed. The first place (by
-    doc_id, hash of the text, line) keeps it, so no content is lost altogether. Case and
+    documents; it has at least ``least_fixed`` of its tokens fixed, or differs in numbers
+    only and is mostly words. Rows of numbers, dates and sums are one template only if
+    they are equal. The first place (by doc_id, hash of the text, line) keeps it. Case and
     white space other than between tokens don't matter; blank lines stay. Null texts
     stay null, all rows stay, also those whose text becomes empty. Rows with the same id
     and text count as one document and get the same result; a null id is an id of its

@@ -112,6 +112,15 @@ def test_line_dedup_leaves_prose_with_the_same_beginning(spark):
     assert drop_recurring_lines(df, least_fixed=0.9).where("dropped_lines > 0").count() == 0
 
 
+def test_line_dedup_keeps_lines_that_differ_in_numbers_only(spark):
+    shapes = ["{0} 7 2020", "0.{0} 0.4 0.5", "q: 12 + {0} = 47", "| {0} | 35 | 47 |", "{0}", "1{0}:30 total"]
+    texts = [(i, "\n".join(s.format(i) for s in shapes)) for i in range(6)]
+    found = drop_recurring_lines(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in found) == texts
+    same = spark.createDataFrame([(i, f"12 7 2020\nwords {'abcdef'[i]}") for i in range(6)], "doc_id long, text string")
+    assert sorted(r.dropped_lines for r in drop_recurring_lines(same).collect()) == [0, 1, 1, 1, 1, 1]
+
+
 @pytest.mark.parametrize("hostile", ["a" * 200_000, "a1" * 100_000, "\n" * 100_000, "x \n" * 60_000])
 def test_line_dedup_of_long_texts(spark, hostile):
     df = spark.createDataFrame([(1, hostile), (2, "b")], "doc_id long, text string")
