@@ -75,10 +75,14 @@ def _generalised(docs: DataFrame, distinct: DataFrame, min_documents: int, least
     fixed = support.where((F.col("support") >= min_documents) & (F.col("token") != ANY)).drop("support").withColumn("fixed", F.lit(True))
     marked = placed.join(fixed, ["leaf", "position", "token"], "left")
     word = F.when(F.col("fixed"), F.col("token")).otherwise(F.lit(ANY))
+    after = F.col("position") >= LEADING
     merged = marked.groupBy("leaf", "line").agg(
-        F.count("fixed").alias("fixed"), F.count("*").alias("length"), F.sort_array(F.collect_list(F.struct("position", word.alias("word")))).alias("words")
+        F.count("fixed").alias("fixed"), F.count("*").alias("length"),
+        F.count(F.when(after, F.col("fixed"))).alias("fixed_after"), F.count(F.when(after, True)).alias("length_after"), F.sort_array(F.collect_list(F.struct("position", word.alias("word")))).alias("words")
     )
-    return merged.where(F.col("fixed") >= least_fixed * F.col("length")).select("leaf", "line", F.xxhash64("leaf", "words.word").alias("template"))
+    # The leading tokens are alike in all lines of a leaf: they say nothing about the rest.
+    enough = (F.col("fixed") >= least_fixed * F.col("length")) & (F.col("fixed_after") >= least_fixed * F.col("length_after"))
+    return merged.where(enough).select("leaf", "line", F.xxhash64("leaf", "words.word").alias("template"))
 
 
 def recurring_lines(docs: DataFrame, min_documents: int = 5, least_fixed: float = 0.75) -> DataFrame:
@@ -103,8 +107,8 @@ def drop_recurring_lines(docs: DataFrame, min_documents: int = 5, least_fixed: f
     """``docs`` with recurring lines taken out of ``text``, and ``dropped_lines``, their number.
 
     Lines end at a line feed. A template recurs if it occurs in ``min_documents``
-    documents; it has at least ``least_fixed`` of its tokens fixed, or differs in numbers
-    only and is mostly words. Rows of numbers, dates and sums are one template only if
+    documents; it has at least ``least_fixed`` of its tokens fixed, and of those after the
+    leading ones, or differs in numbers only and is mostly words. Rows of numbers, dates and sums are one template only if
     they are equal. The first place (by doc_id, hash of the text, line) keeps it. Case and
     white space other than between tokens don't matter; blank lines stay. Null texts
     stay null, all rows stay, also those whose text becomes empty. Rows with the same id

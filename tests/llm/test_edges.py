@@ -121,6 +121,17 @@ def test_line_dedup_keeps_lines_that_differ_in_numbers_only(spark):
     assert sorted(r.dropped_lines for r in drop_recurring_lines(same).collect()) == [0, 1, 1, 1, 1, 1]
 
 
+def test_line_dedup_keeps_sentences_with_the_same_beginning(spark):
+    towns, things = ["paris", "rome", "oslo", "bern", "wien", "prag"], ["cats", "dogs", "owls", "bees", "cows", "hens"]
+    texts = [(i, f"I live in {towns[i]}\nwe all saw {things[i]} near old {towns[i]} today") for i in range(6)]
+    found = drop_recurring_lines(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in found) == texts
+    # One field of eight tokens, five of them after the leading ones, is a template.
+    texts = [(i, f"this page was written by {towns[i]} last week") for i in range(6)]
+    found = drop_recurring_lines(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert sorted(r.dropped_lines for r in found) == [0, 1, 1, 1, 1, 1]
+
+
 @pytest.mark.parametrize("hostile", ["a" * 200_000, "a1" * 100_000, "\n" * 100_000, "x \n" * 60_000])
 def test_line_dedup_of_long_texts(spark, hostile):
     df = spark.createDataFrame([(1, hostile), (2, "b")], "doc_id long, text string")
