@@ -19,7 +19,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docflow.llm.common import minhash, shingle_sets, slices, staged
-from docflow.llm.near_dedup import confirmed, full_sets
+from docflow.llm.components import connected_components
+from docflow.llm.near_dedup import confirmed, full_sets, links_apart, shingled
 
 PERMUTATIONS = 64
 #: Rows of a band: 16 bands of 4 find similarities of 0.75 and more with 0.997.
@@ -116,31 +117,33 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def similar_documents(docs: DataFrame, similarity: int = 75) -> DataFrame:
     """Links ``doc_id, near_id`` of similar documents that share a band of their signatures.
 
-    In each band every document is compared with the smallest id of its bucket, so that
-    a bucket of n documents gives n - 1 candidates; candidates are confirmed on the full
-    sets. Meant to look up copies; ``near_dedup`` finds whole groups.
+    In each band every document is compared with the smallest id of its bucket. Members
+    of a bucket that these links leave apart are then compared with each other, in blocks
+    of bounded size, so that documents whose smallest id is another one are found, too.
+    Every link is confirmed on the full sets. Links connect all that is similar in a
+    bucket; those between documents already connected may be left out. Documents with
+    the same shingles are compared once, and each has a link of its own.
     """
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                has_words = np.array([bool(t.strip(" \t\n\r\f\v")) for t in texts], bool)
-                bands = signatures(texts).reshape(len(texts), -1, BAND)
-                for b in range(bands.shape[1]):
-                    keys = pa.array([bytes([b]) + row.tobytes() for row in bands[:, b]], pa.binary())
-                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), keys], ["doc_id", "band"]).filter(pa.array(has_words))
-
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    bands = staged(rows.mapInArrow(sign, "doc_id long, band binary"), "bands")
-    smallest = bands.groupBy("band").agg(F.min("doc_id").alias("near_id"))
-    pairs = staged(bands.join(smallest, "band").where("doc_id <> near_id").select("doc_id", "near_id").distinct(), "band-pairs")
-    wanted = pairs.select("doc_id").union(pairs.select("near_id")).distinct()
-
-    def named(part: DataFrame) -> DataFrame:
-        return part.select(F.col("doc_id").cast("string").cast("binary").alias("node"), "shingles")
-
-    sets = staged(named(full_sets(rows.join(wanted, "doc_id", "left_semi"))), "band-sets")
-    ends = [F.col(c).cast("string").cast("binary").alias(a) for c, a in (("near_id", "a"), ("doc_id", "b"))]
-    linked = confirmed(pairs.select(*ends), sets, similarity)
-    return linked.select(F.col("b").cast("string").cast("long").alias("doc_id"), F.col("a").cast("string").cast("long").alias("near_id")).distinct()
+    signed = staged(shingled(rows, PERMUTATIONS).where("node IS NOT NULL"), "signed")
+    by_node = signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min_by("signature", "doc_id").alias("signature"))
+    classes = staged(by_node, "signed-classes")
+    bands = classes.select("doc_id", "node", "signature", F.explode(F.sequence(F.lit(0), F.lit(PERMUTATIONS // BAND - 1))).alias("tree"))
+    key = F.xxhash64("tree", F.expr(f"substring(signature, tree * {4 * BAND} + 1, {4 * BAND})"))
+    bands = staged(bands.select("doc_id", "node", "tree", key.alias("region")), "bands")
+    buckets = bands.groupBy("region").agg(F.count("*").alias("size"), F.min(F.struct("doc_id", "node")).alias("first")).where("size > 1")
+    buckets = buckets.select("region", "size", F.col("first.node").alias("a"))
+    members = staged(bands.join(buckets, "region"), "band-members")
+    pairs = staged(members.where("a <> node").select("a", F.col("node").alias("b")).distinct(), "band-pairs")
+    wanted = members.select("doc_id").distinct()
+    sets = staged(full_sets(rows.join(wanted, "doc_id", "left_semi")).drop("doc_id"), "band-sets")
+    links = staged(confirmed(pairs, sets, similarity), "band-links")
+    found = connected_components(links)
+    parts = members.where("size > 2").select("tree", "region", "node").join(found, "node", "left")
+    parts = parts.withColumn("component", F.coalesce("component", "node"))
+    links = links.unionByName(links_apart(parts, classes, sets, similarity, BAND, 0.0))
+    ids = classes.select("node", F.col("doc_id").alias("id"))
+    ends = links.join(ids.toDF("a", "id_a"), "a").join(ids.toDF("b", "id_b"), "b")
+    linked = ends.select(F.when(F.col("id_a") <= F.col("id_b"), F.col("b")).otherwise(F.col("a")).alias("node"), F.least("id_a", "id_b").alias("near_id"))
+    near = linked.unionByName(ids.withColumnRenamed("id", "near_id"))
+    return signed.select("doc_id", "node").join(near, "node").where("doc_id <> near_id").select("doc_id", "near_id").distinct()

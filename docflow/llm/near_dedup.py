@@ -45,8 +45,11 @@ def _node(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def shingled(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, node, signature``; node and signature null for an empty set."""
+def shingled(docs: DataFrame, count: int = TREES * DEPTH) -> DataFrame:
+    """``doc_id, n_shingles, node, signature``; node and signature null for an empty set.
+
+    A signature has ``count`` minima of 32 bits.
+    """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -59,7 +62,7 @@ def shingled(docs: DataFrame) -> DataFrame:
                         part.column("doc_id"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.compute.if_else(empty, null, _binary(_node(sets), 16)),
-                        pa.compute.if_else(empty, null, _binary(minhash(sets, TREES * DEPTH), 4 * TREES * DEPTH)),
+                        pa.compute.if_else(empty, null, _binary(minhash(sets, count), 4 * count)),
                     ],
                     ["doc_id", "n_shingles", "node", "signature"],
                 )
@@ -136,15 +139,18 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return both.mapInArrow(compare, "a binary, b binary")
 
 
-def _links_apart(members: DataFrame, classes: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+def links_apart(
+    members: DataFrame, classes: DataFrame, sets: DataFrame, similarity: int, depth: int = DEPTH, least_estimate: float = LEAST_ESTIMATE
+) -> DataFrame:
     """Confirmed links (``a, b``) that join what is apart within the regions of ``members``.
 
-    ``members`` has ``tree, region, node, component``. A region's members are dealt into
+    ``members`` has ``tree, region, node, component``; a tree's regions are those of its
+    ``depth`` components of the signature. A region's members are dealt into
     blocks, and every two blocks meet in one group of bounded size. There, pairs of
     different components are compared: first by signature, then on their full sets, each
     pair in the first tree that brings it together. Pairs that a link of the same group
     has already connected need no comparison, so a group of n members gives n - 1 links
-    at most.
+    at most. With a ``least_estimate`` of 0 no pair is left out for its signature.
     """
     mixed = members.groupBy("region").agg(
         F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high")
@@ -162,7 +168,7 @@ def _links_apart(members: DataFrame, classes: DataFrame, sets: DataFrame, simila
 
     def links(run: pa.Table) -> list[tuple[int, int]]:
         sig = _signatures(run.column("signature").combine_chunks())
-        by_tree = sig.reshape(len(sig), TREES, DEPTH)
+        by_tree = sig.reshape(len(sig), -1, depth)
         shingles = [np.frombuffer(s.as_buffer(), np.uint64) for s in run.column("shingles")]
         sizes = np.array([len(s) for s in shingles])
         _, component = np.unique(np.array(run.column("component").to_pylist(), object), return_inverse=True)
@@ -173,7 +179,7 @@ def _links_apart(members: DataFrame, classes: DataFrame, sets: DataFrame, simila
         for x in left.tolist():
             apart = right[(component[right] != component[x]) & ((i != j) | (right > x))]
             apart = apart[100 * np.minimum(sizes[apart], sizes[x]) >= similarity * np.maximum(sizes[apart], sizes[x])]
-            apart = apart[(sig[apart] == sig[x]).mean(1) >= LEAST_ESTIMATE * similarity / 75]
+            apart = apart[(sig[apart] == sig[x]).mean(1) >= least_estimate * similarity / 75]
             apart = apart[~(by_tree[apart, :tree] == by_tree[x, :tree]).all(2).any(1)]
             if not len(apart):
                 continue
@@ -243,7 +249,7 @@ def near_duplicates(docs: DataFrame, similarity: int = 75) -> DataFrame:
     links = staged(confirmed(pairs, sets, similarity), "confirmed")
     found = connected_components(links)
     parts = large.select("tree", "region", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    more = _links_apart(parts, classes, sets, similarity)
+    more = links_apart(parts, classes, sets, similarity)
     found = connected_components(links.unionByName(more))
     labels = classes.select("node", "doc_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     first = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))

@@ -244,6 +244,33 @@ def test_fingerprints(odd, none, spark):
     assert links == {(2, 1), (3, 1), (8, 7)}
 
 
+def test_similar_documents_behind_a_smaller_id(spark):
+    """All buckets of a pair begin with other documents, which are similar to neither of the two."""
+    draw = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(400)]
+
+    def changed(places):
+        return " ".join(f"x{draw.integers(10**9)}" if i in places else w for i, w in enumerate(base))
+
+    texts = {i: changed(set(draw.choice(80, 14, replace=False) * 5)) for i in range(60)}
+    texts |= {100: " ".join(base), 101: changed({7, 300}), 102: changed({7, 300}), 103: changed({50})}
+
+    def shingles(t):
+        words = t.split()
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    sets = {i: shingles(t) for i, t in texts.items()}
+    ids = sorted(sets)
+    true = {(b, a) for a in ids for b in ids if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert {(101, 100), (102, 100), (103, 100)} <= true and all(a >= 100 for _, a in true)
+    found = {(r.doc_id, r.near_id) for r in similar_documents(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert found <= true
+    reached = {100}
+    for _ in range(4):
+        reached |= {x for link in found if reached & set(link) for x in link}
+    assert reached == {100, 101, 102, 103}
+
+
 def test_language(spark, odd, none):
     model = fit_language_model(odd)
     assert model.languages == ["de", "en"]
