@@ -16,7 +16,11 @@ from docflow.session import ship_package
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Leaves out documents without a language: text that is null or has no letter."""
+    """Leaves out documents without a language: text that is null or has no letter.
+
+    Only those: text with letters stays, also if no language was learned that has its
+    n-grams (keys, base64, other languages). The predicted language decides nothing.
+    """
     ship_package(spark)
     model = fit_language_model(docs.where(in_fold(F.col("doc_id"), held_out=False)))
     return identify_language(docs, model).where(F.col("lang_pred") != UNDETERMINED).select(docs.columns)
