@@ -19,6 +19,8 @@ from docflow.llm.packing import pack
 from docflow.llm.quality import fit_quality_model, score_quality
 from docflow.llm.token_files import read_token_files, write_token_files
 from docflow.llm.url_filters import filter_urls
+from docflow.llm.vector_codes import compress
+from docflow.llm.whitening import whiten
 from docflow.session import scratch_dir, ship_package
 
 
@@ -101,6 +103,16 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return labelled.select("doc_id", in_fold(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    ship_package(spark)
+    return whiten(table(spark, folder, "embeddings"))
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    ship_package(spark)
+    return compress(table(spark, folder, "embeddings"))
+
+
 #: Links by counting the shingles that two documents share, then the smallest id reachable.
 NEAR_DUPLICATES_SQL = r"""
 WITH RECURSIVE words AS MATERIALIZED (
@@ -261,6 +273,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_token_files": op9_token_files,
     "op10_language_id": op10_language_id,
+    "op11_whitening": op11_whitening,
+    "op12_vector_codes": op12_vector_codes,
 }
 
 #: The same in SQL, where SQL can express it.
