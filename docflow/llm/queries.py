@@ -18,6 +18,7 @@ from docflow.llm.near_dedup import near_duplicates
 from docflow.llm.packing import pack
 from docflow.llm.quality import fit_quality_model, score_quality
 from docflow.llm.token_files import read_token_files, write_token_files
+from docflow.llm.toxicity import score_toxicity
 from docflow.llm.url_filters import filter_urls
 from docflow.llm.vector_codes import compress
 from docflow.llm.whitening import whiten
@@ -113,6 +114,15 @@ def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return compress(table(spark, folder, "embeddings"))
 
 
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    ship_package(spark)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("label"))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    scores = score_toxicity(docs, labels.where(~held_out))
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 #: Links by counting the shingles that two documents share, then the smallest id reachable.
 NEAR_DUPLICATES_SQL = r"""
 WITH RECURSIVE words AS MATERIALIZED (
@@ -275,6 +285,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
     "op11_whitening": op11_whitening,
     "op12_vector_codes": op12_vector_codes,
+    "op13_toxicity": op13_toxicity,
 }
 
 #: The same in SQL, where SQL can express it.
