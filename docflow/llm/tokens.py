@@ -4,8 +4,8 @@ A text is cut at white space where that cannot change its ids, and the ids of ea
 piece are kept, as bytes, for the next time it occurs. A piece not met before is cut
 into what the tokenizer's pattern would cut it into, and only parts that are new, too,
 reach the tokenizer's model. Pieces with characters beyond Latin-1, whose classes and
-normal forms depend on tables of Unicode, and texts that cannot be cut go through the
-whole tokenizer.
+normal forms depend on tables of Unicode, and texts that cannot be cut or that may hold
+a token added to the vocabulary go through the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -57,11 +57,13 @@ class CachedTokenizer:
 
     def __init__(self, path: str, blanks_count: bool):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         if self.tokenizer.get_vocab_size() > np.iinfo(self.dtype).max + 1:
             raise ValueError("the ids need more than 16 bits")
+        # Added tokens are found in the whole text, before it is cut, some of them in any case.
+        added = {t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.added = re.compile("|".join(map(re.escape, sorted(added))) or r"(?!)", re.IGNORECASE)
         self.blanks_count = blanks_count
         self.pattern = _WITH_BLANKS if blanks_count else _WITHOUT_BLANKS
         self.characters = _byte_characters()
@@ -96,6 +98,9 @@ class CachedTokenizer:
         out: list[bytes] = []
         for text in texts:
             text = text or ""
+            if self.added.search(text):
+                out += self._whole([text])
+                continue
             if self.blanks_count and (text[:1] == " " or text[-1:] == " " or _UNSAFE.search(text)):
                 out += self._whole([text])
                 continue

@@ -18,6 +18,7 @@ from docflow.llm.tokens import CachedTokenizer
 from docflow.llm.url_filters import filter_urls, intervals
 from docflow.session import scratch_dir
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, taken string, component string, kept string, node string"
@@ -226,7 +227,11 @@ def test_token_files(spark, odd, none):
 def test_cached_ids_are_those_of_whole_texts(path, blanks):
     cached = CachedTokenizer(path, blanks)
     texts = ["a  b", " x", "x ", "a \n b", "a\n\nb c", "t\t x", "don't  I'll", "x y\x1cz q", "é 1234 5 ²", "ab 　c", "", "<|endoftext|> you"]
-    whole = cached.tokenizer.encode_batch(texts, add_special_tokens=False)
+    texts += ["x <|endoftext|> y", "x <|ENDOFTEXT|>y", "<|startoftext|>", "<|", "a<|endoftext", "<| endoftext |>", "é<|endoftext|><|endoftext|>"]
+    draw = np.random.default_rng(6)
+    pieces = ["<|endoftext|>", "<|startoftext|>", "<|", " ", "\n", "word", "Ünï", "12", "'s", "…", "漢字", "<", "|>"]
+    texts += ["".join(draw.choice(pieces, draw.integers(1, 12))) for _ in range(500)]
+    whole = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
     for _ in range(2):
         assert [np.frombuffer(b, cached.dtype).tolist() for b in cached.encode(texts)] == [e.ids for e in whole]
     assert cached.encode([None]) == [b""]
