@@ -238,12 +238,16 @@ FROM reach r LEFT JOIN counted c USING (vec_id) GROUP BY r.vec_id
 RECURRING_LINES_SQL = r"""
 WITH lines AS MATERIALIZED (
     SELECT doc_id, text, line_no, line,
-           list_filter(string_split(regexp_replace(translate(lower(line), chr(9) || chr(13) || chr(12) || chr(11), '    '),
-                                                   '(^| )[^ ]*[0-9][^ ]*', '\1<*>', 'g'), ' '), lambda t: t <> '') AS tokens
-    FROM (SELECT doc_id, text, unnest(range(len(string_split(text, chr(10))))) AS line_no,
-                 unnest(string_split(text, chr(10))) AS line FROM documents)
+           list_filter(string_split(plain, ' '), lambda t: t <> '') AS raw,
+           list_filter(string_split(regexp_replace(plain, '(^| )[^ ]*[0-9][^ ]*', '\1<*>', 'g'), ' '), lambda t: t <> '') AS tokens
+    FROM (SELECT *, translate(lower(line), chr(9) || chr(13) || chr(12) || chr(11), '    ') AS plain
+          FROM (SELECT doc_id, text, unnest(range(len(string_split(text, chr(10))))) AS line_no,
+                       unnest(string_split(text, chr(10))) AS line FROM documents))
 ), leaved AS MATERIALIZED (
-    SELECT *, {'n': len(tokens), 'lead': tokens[1:3]} AS leaf FROM lines WHERE len(tokens) > 0
+    SELECT *, {'n': len(tokens), 'lead': tokens[1:3]} AS leaf,
+           len(list_filter(raw, lambda t: regexp_matches(t, '[0-9]'))) > 0
+           AND 2 * len(list_filter(tokens, lambda t: regexp_matches(t, '\p{L}'))) <= len(tokens) AS is_data
+    FROM lines WHERE len(tokens) > 0
 ), counted AS MATERIALIZED (
     SELECT leaf, tokens, count(DISTINCT {'d': doc_id, 't': text}) AS documents FROM leaved GROUP BY ALL
 ), placed AS MATERIALIZED (
@@ -253,11 +257,14 @@ WITH lines AS MATERIALIZED (
 ), merged AS MATERIALIZED (
     SELECT leaf, tokens,
            count(*) FILTER (s >= 5 AND token <> '<*>') AS fixed,
+           count(*) FILTER (s >= 5 AND token <> '<*>' AND pos > 3) AS fixed_after,
            list(CASE WHEN s >= 5 THEN token ELSE '<*>' END ORDER BY pos) AS words
     FROM placed JOIN support USING (leaf, pos, token) GROUP BY leaf, tokens
 ), named AS MATERIALIZED (
     SELECT doc_id, text, line_no, leaf,
-           CASE WHEN fixed >= 0.75 * len(tokens) THEN {'own': false, 'w': words} ELSE {'own': true, 'w': tokens} END AS template
+           CASE WHEN fixed >= 0.75 * len(tokens) AND fixed_after >= 0.75 * greatest(0, len(tokens) - 3) THEN {'kind': 'template', 'w': words}
+                WHEN is_data THEN {'kind': 'data', 'w': raw}
+                ELSE {'kind': 'line', 'w': tokens} END AS template
     FROM leaved JOIN merged USING (leaf, tokens)
 ), recurring AS MATERIALIZED (
     SELECT leaf, template, min({'d': doc_id, 'l': line_no}) AS first FROM named
