@@ -10,7 +10,7 @@ from docflow.llm.common import in_fold, staged, table
 from docflow.llm.language import UNDETERMINED, fit_language_model, identify_language
 from docflow.llm.line_dedup import drop_recurring_lines
 from docflow.llm.mixing import mixed
-from docflow.llm.near_dedup import near_duplicates
+from docflow.llm.near_dedup import one_of_each
 from docflow.llm.packing import pack
 from docflow.session import ship_package
 
@@ -33,22 +33,34 @@ def line_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near-duplicates."""
+    """Keeps one document of each group of near-duplicates: that with the smallest id.
+
+    Documents are told apart by id and text. Of rows that repeat both, one stays; rows
+    without id and texts without words are in no group and stay. Ties of the same id go by
+    a hash of the text. No rows give no rows.
+    """
     ship_package(spark)
-    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return one_of_each(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The documents of the mix: of each source as many words as its target.
 
     A document is in the mix as often as its words are taken, once or twice; one of which
-    a part is taken is in it as a whole, and one of which nothing is taken is not.
+    a part is taken is in it as a whole, and one of which nothing is taken is not. Rows
+    that repeat id and text are in it as often as all of them are taken; ids, also null
+    ones, with several texts are several documents. No rows give no rows.
     """
-    taken = mixed(docs)[0].where("taken > 0").select("doc_id", F.ceil(F.col("taken") / F.col("size")).cast("int").alias("times"))
-    # Rows that repeat an id have one entry each: the first decides for all of them.
-    times = taken.groupBy(F.col("doc_id").alias("_id")).agg(F.min("times").alias("times"))
-    return docs.join(times, docs["doc_id"].eqNullSafe(times["_id"])).withColumn("_copy", F.explode(F.expr("sequence(1, times)"))).select(docs.columns)
+    times = F.ceil(F.col("taken") / F.col("size")).cast("int")
+    taken = mixed(docs)[0].where("taken > 0").withColumn("times", times)
+    # The rows of one document are alike: one of them stands for all.
+    taken = taken.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.sum("times").cast("int").alias("_times"))
+    joined = docs.join(taken, docs["doc_id"].eqNullSafe(taken["_id"]) & (F.xxhash64(docs["text"]) == taken["_key"]))
+    repeated = docs.groupBy(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key")).count().where("count > 1").drop("count")
+    same = joined["_id"].eqNullSafe(repeated["_id"]) & (joined["_key"] == repeated["_key"])
+    once = joined.join(repeated, same, "left_anti")
+    of_many = joined.join(repeated, same, "left_semi").dropDuplicates(["_id", "_key"])
+    return once.unionByName(of_many).withColumn("_copy", F.explode(F.expr("sequence(1, _times)"))).select(docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -102,8 +102,9 @@ def schedule(spark: SparkSession, quotas: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """The mix as documents and as a schedule.
 
-    First: ``doc_id, size, source_size, target, taken`` per row of ``docs``, where
-    ``taken`` counts the words that the mix takes, repeats included: 0 to twice its size.
+    First: ``doc_id, key, size, source_size, target, taken`` per row of ``docs``, where
+    ``key`` is a hash of the text and ``taken`` counts the words that the mix takes,
+    repeats included: 0 to twice its size.
     Second: ``slot, source, rank, doc_id, start, words``: in slot order, the words from
     ``start`` of a document that the slot takes. A source's words are its target, rounded
     down. Reads ``doc_id``, ``text`` and ``source``; a null text or one without words has
@@ -113,14 +114,14 @@ def mixed(docs: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     order = F.md5(F.concat_ws("|", F.lit(SEED), F.col("doc_id").cast("string")))
-    rows = staged(docs.select("doc_id", "source", size.alias("size"), order.alias("order")), "sizes")
+    rows = staged(docs.select("doc_id", F.xxhash64("text").alias("key"), "source", size.alias("size"), order.alias("order")), "sizes")
     named = staged(targets(rows).withColumn("source_no", F.row_number().over(W.orderBy(F.col("source").asc_nulls_last()))), "targets")
     limits = named.select("source_no", F.floor("target").cast("long").alias("limit"), "source_size")
     quotas = limits.select("source_no", F.ceil(F.col("limit") / block).cast("long").alias("blocks"))
     slots = schedule(spark, quotas)
     numbered = rows.join(named, rows["source"].eqNullSafe(named["source"])).drop(named["source"])
     filled = numbered.where("size > 0").withColumn("part", F.substring("order", 1, 4))
-    streams = _running(filled, "size", ["source_no"], "part", ["order", "doc_id", "size"])
+    streams = _running(filled, "size", ["source_no"], "part", ["order", "doc_id", "size", "key"])
     # Both rounds of the stream, cut at the target, then into blocks.
     rounds = streams.withColumn("round", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("first", F.expr("before + round * source_size"))
     rounds = rounds.withColumn("end", F.expr("least(first + size, cast(floor(target) AS bigint))")).where("end > first")
@@ -130,7 +131,7 @@ def mixed(docs: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     plan = taken.select("slot", "source", "rank", "doc_id", (F.col("from") - F.col("first")).alias("start"), "words")
     # ``before`` is another one for each document with words of a source.
     sums = taken.groupBy("source_no", "before").agg(F.sum("words").alias("taken"))
-    columns = ["doc_id", "size", "source_size", "target"]
+    columns = ["doc_id", "key", "size", "source_size", "target"]
     counted = streams.join(sums, ["source_no", "before"], "left").select(*columns, F.coalesce("taken", F.lit(0)).alias("taken"))
     empty = numbered.where("size = 0").select(*columns, F.lit(0).cast("long").alias("taken"))
     return counted.unionByName(empty), plan

@@ -46,9 +46,9 @@ def _node(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def shingled(docs: DataFrame, count: int = TREES * DEPTH) -> DataFrame:
-    """``doc_id, n_shingles, node, signature``; node and signature null for an empty set.
+    """``doc_id, key, n_shingles, node, signature``; node and signature null for an empty set.
 
-    A signature has ``count`` minima of 32 bits.
+    A signature has ``count`` minima of 32 bits; ``key`` is a hash of the text.
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,15 +60,16 @@ def shingled(docs: DataFrame, count: int = TREES * DEPTH) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
+                        part.column("key"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.compute.if_else(empty, null, _binary(_node(sets), 16)),
                         pa.compute.if_else(empty, null, _binary(minhash(sets, count), 4 * count)),
                     ],
-                    ["doc_id", "n_shingles", "node", "signature"],
+                    ["doc_id", "key", "n_shingles", "node", "signature"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        sign, "doc_id long, n_shingles long, node binary, signature binary"
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text").mapInArrow(
+        sign, "doc_id long, key long, n_shingles long, node binary, signature binary"
     )
 
 
@@ -221,19 +222,17 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
         yield pa.Table.from_batches(held)
 
 
-def near_duplicates(docs: DataFrame, similarity: int = 75) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept``.
+def near_groups(docs: DataFrame, similarity: int = 75) -> DataFrame:
+    """One row per document: ``doc_id, key, n_shingles, component_id, first_key``.
 
-    Reads ``doc_id`` and ``text``; other columns, whatever their names, don't matter.
-    Shingles are five words (one of all words, if there are fewer). Null, empty and
-    blank texts have no shingles and link with nothing. ``component_id`` is the smallest
-    id among the documents reachable by links; ``kept`` marks it. Repeated rows get the
-    same result each. A row without id links with nothing, has no ``component_id`` and
-    is kept. An empty table gives no rows.
+    ``key`` is a hash of the text: an id may have several texts. ``component_id`` and
+    ``first_key`` are the id and key of the first document of the group, in this order.
     """
     rows = staged(shingled(docs), "shingled")
     usable = rows.where("node IS NOT NULL AND doc_id IS NOT NULL")
-    classes = staged(usable.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min_by("signature", "doc_id").alias("signature")), "classes")
+    place = F.struct("doc_id", "key")
+    classes = usable.groupBy("node").agg(F.min(place).alias("at"), F.min_by("signature", place).alias("signature"))
+    classes = staged(classes.select("node", "at.doc_id", "at.key", "signature"), "classes")
     forest = _forest(classes)
     pairs, large = _to_first(forest, "region")
     large = staged(large, "regions")
@@ -244,16 +243,52 @@ def near_duplicates(docs: DataFrame, similarity: int = 75) -> DataFrame:
     pairs = staged(pairs.where("a <> b").distinct(), "pairs")
     # Whoever is in a region with others may have to be compared on its full set.
     members = pairs.select("a").union(pairs.select("b")).union(large.select("node")).distinct().toDF("node")
-    wanted = classes.join(members, "node", "left_semi").select("doc_id").distinct()
-    sets = staged(full_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")).drop("doc_id"), "sets")
+    wanted = classes.join(members, "node", "left_semi").select("doc_id", "key").distinct()
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("key")).join(wanted, ["doc_id", "key"], "left_semi")
+    # Rows that repeat a document have the same set.
+    sets = staged(full_sets(keyed).drop("doc_id").dropDuplicates(["node"]), "sets")
     links = staged(confirmed(pairs, sets, similarity), "confirmed")
     found = connected_components(links)
     parts = large.select("tree", "region", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     more = links_apart(parts, classes, sets, similarity)
     found = connected_components(links.unionByName(more))
-    labels = classes.select("node", "doc_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    first = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    by_node = labels.join(first, "component").select("node", "component_id")
-    linked = usable.select("doc_id", "n_shingles", "node").join(by_node, "node").drop("node")
-    alone = rows.where("node IS NULL OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    labels = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    first = labels.groupBy("component").agg(F.min(place).alias("first"))
+    by_node = labels.join(first, "component").select("node", F.col("first.doc_id").alias("component_id"), F.col("first.key").alias("first_key"))
+    linked = usable.select("doc_id", "key", "n_shingles", "node").join(by_node, "node").drop("node")
+    alone = rows.where("node IS NULL OR doc_id IS NULL")
+    alone = alone.select("doc_id", "key", "n_shingles", F.col("doc_id").alias("component_id"), F.col("key").alias("first_key"))
+    return linked.unionByName(alone)
+
+
+def near_duplicates(docs: DataFrame, similarity: int = 75) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id, kept``.
+
+    Reads ``doc_id`` and ``text``; other columns, whatever their names, don't matter.
+    Shingles are five words (one of all words, if there are fewer). Null, empty and
+    blank texts have no shingles and link with nothing. ``component_id`` is the smallest
+    id among the documents reachable by links; ``kept`` marks it. Repeated rows get the
+    same result each. A row without id links with nothing, has no ``component_id`` and
+    is kept. An empty table gives no rows.
+    """
+    groups = near_groups(docs, similarity).select("doc_id", "n_shingles", "component_id")
+    return groups.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def one_of_each(docs: DataFrame, similarity: int = 75) -> DataFrame:
+    """The rows of ``docs`` that are the first document of their group of near duplicates.
+
+    Documents are told apart by id and text, so an id with several texts is several
+    documents; of rows that repeat both, one stays. Rows without id and texts without words
+    link with nothing, and all rows without id stay. An empty table gives no rows; all columns
+    of ``docs`` stay as they are.
+    """
+    groups = near_groups(docs, similarity).where("doc_id IS NOT NULL").groupBy("doc_id", "key").agg(
+        F.first((F.col("doc_id") == F.col("component_id")) & (F.col("key") == F.col("first_key"))).alias("kept"), F.count("*").alias("rows")
+    )
+    marks = groups.where("NOT kept OR rows > 1").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "kept")
+    same = (docs["doc_id"].cast("long") == F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key"))
+    marked = staged(docs.join(marks, same, "left").where("coalesce(kept, true)"), "first-documents")
+    once = marked.where("_id IS NULL")
+    repeated = marked.where("_id IS NOT NULL").dropDuplicates(["_id", "_key"])
+    return once.unionByName(repeated).select(docs.columns)

@@ -60,7 +60,7 @@ def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mixed(table(spark, folder, "documents"))[0]
+    return mixed(table(spark, folder, "documents"))[0].drop("key")
 
 
 def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

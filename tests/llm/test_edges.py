@@ -394,3 +394,78 @@ def test_pipeline_against_its_stages_in_plain_python(spark):
     assert set(kept["language"]) == set(texts) - {80, 81}
     assert sum("Subscribe" in t for t in kept["lines"].values()) == 1 and set(kept["lines"]) == set(kept["language"])
     assert set(kept["near-duplicates"]) == set(kept["lines"]) - {70, 71}
+
+
+def stage(name):
+    return dict(pipeline.STAGES)[name]
+
+
+def made(spark, rows):
+    texts = [(i, t, "en", s, None if t is None else len(t)) for i, t, s in rows]
+    return spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    other = "quite another text that has nothing of the first one in it at all"
+    edited = PROSE + " thirteen"
+    rows = [(1, PROSE), (1, PROSE), (2, PROSE), (3, other), (3, PROSE), (None, PROSE), (None, "a text of its own without any id to be found"), (None, None),
+            (5, ""), (5, ""), (5, PROSE), (1, edited), (7, "a1 a2 a3 a4 a5 a6 a7 a8 a9"), (7, "a1 a2 a3 a4 a5 a6 a7 a8 a9 a10")]
+    found = stage("near-duplicates")(spark, made(spark, [(*r, "s") for r in rows]), "").collect()
+    kept = sorted(((r.doc_id, r.text) for r in found), key=repr)
+    assert len(kept) == len(set(kept))
+    first = [k for k in kept if k[1] in (PROSE, edited) and k[0] is not None]
+    assert len(first) == 1 and first[0][0] == 1
+    assert {(3, other), (None, PROSE), rows[6], (None, None), (5, "")} < set(kept) and len(kept) == 7
+
+
+def test_mixing_of_repeated_ids(spark):
+    rows = [(1, "a b c", "x"), (1, "a b c", "x"), (1, "other words here", "x"), (None, "p q r s", "x"), (None, "t u", "x"), (9, "one two", "y"), (8, None, "y"), (7, "", "x")]
+    docs = made(spark, rows)
+    found = [(r.doc_id, r.text) for r in stage("mixing")(spark, docs, "").collect()]
+    expected = {}
+    for r in mixed(docs)[0].join(docs.select("doc_id", "text", F.xxhash64("text").alias("key")).distinct(), "key").collect():
+        if r.taken:
+            expected[r.text] = expected.get(r.text, 0) + -(-r.taken // r.size)
+    assert {t: sum(f[1] == t for f in found) for _, t in found} == expected
+    assert set(found) <= {r[:2] for r in rows} and (8, None) not in found and (7, "") not in found
+
+
+def test_mixing_stage_against_plain_streams(spark):
+    """The stage's copies of each document by going through the sources' streams word by word."""
+    import hashlib
+    from fractions import Fraction
+
+    draw = np.random.default_rng(8)
+    rows = [(i, " ".join(["w"] * int(draw.integers(0, 40))), [None, "a", "b", "c", "d"][int(draw.integers(0, 5))]) for i in range(120)]
+    sources = sorted({r[2] for r in rows}, key=lambda s: (s is None, s))
+    weight = {s: [5, 2, 1][k % 3] for k, s in enumerate(sources)}
+    size = {s: sum(len(r[1].split()) for r in rows if r[2] == s) for s in sources}
+    target, free, rest = {}, list(sources), Fraction(3, 2) * sum(size.values())
+    while free:
+        level = rest / sum(weight[s] for s in free)
+        full = [s for s in free if weight[s] * level >= 2 * size[s]]
+        for s in full or free:
+            target[s] = Fraction(2 * size[s]) if full else weight[s] * level
+            rest -= target[s] if full else 0
+        free = [s for s in free if s not in target] if full else []
+    expected = {}
+    for s in sources:
+        stream = sorted((r for r in rows if r[2] == s), key=lambda r: hashlib.md5(f"mix|{r[0]}".encode()).hexdigest())
+        words = [r[0] for _ in range(2) for r in stream for _ in r[1].split()][: int(target[s])]
+        for r in stream:
+            expected[r[0]] = -(-words.count(r[0]) // max(1, len(r[1].split())))
+    found = [r.doc_id for r in stage("mixing")(spark, made(spark, rows), "").collect()]
+    assert {i: found.count(i) for i, *_ in rows} == expected
+
+
+def test_packing_stage_gives_the_tokens_of_every_text(spark):
+    rows = [(i, f"text {i} of some words <|endoftext|> " * (i + 1), "s") for i in range(30)] + [(30, None, "s"), (30, "", "s")]
+    plain_ids = {}
+    tokenizer = Tokenizer.from_file(WORDS)
+    for i, t, _ in rows:
+        plain_ids.setdefault(i, []).append(tokenizer.encode(t or "", add_special_tokens=False).ids + [2])
+    pieces = sorted(stage("packing")(spark, made(spark, rows), "").collect(), key=lambda r: (r.doc_id, r.start))
+    found = {}
+    for r in pieces:
+        found.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, "<u4").tolist())
+    assert found == {i: [x for ids in each for x in ids] for i, each in plain_ids.items()}
