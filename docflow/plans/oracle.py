@@ -219,6 +219,10 @@ FROM ({RESULTS} ORDER BY url LIMIT 40)""",
         "length(text) >= 100", "'0'", "0.0", "'converter process ended with exit code -9'"
     ),
     "list_documents": f"SELECT {_FILE_NAME} AS file_name, size AS file_size FROM {_FILES}",
+    "tree_listing": """
+SELECT coalesce(lang, 'none') AS lang, coalesce(source, 'none') AS source, 'shelf' || doc_id % 5 AS shelf,
+       CAST(sum(length(CAST(doc_id AS VARCHAR)) + 1) AS BIGINT) AS bytes
+FROM documents GROUP BY ALL""",
     "read_content": f"""
 SELECT {_FILE_NAME} AS file_name, size AS file_size,
        CAST(octet_length(content) AS BIGINT) AS content_bytes FROM {_FILES}""",

@@ -296,6 +296,20 @@ def list_documents(spark: SparkSession, folder: str) -> DataFrame:
     return _part_files(listing(spark, folder, "*.parquet", recursive=True)).select("file_name", "file_size")
 
 
+def tree_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents' ids as files in a tree of three levels, listed level by level."""
+    root = scratch_dir(spark, "tree")
+    shelf = F.concat(F.lit("shelf"), F.col("doc_id") % 5)
+    documents = _table(spark, folder, "documents").select(
+        F.coalesce("lang", F.lit("none")).alias("lang"), F.coalesce("source", F.lit("none")).alias("source"), shelf.alias("shelf"),
+        F.col("doc_id").cast("string").alias("value"),
+    )
+    documents.write.partitionBy("lang", "source", "shelf").text(root)
+    part = lambda name: F.regexp_extract("document_path", f"/{name}=([^/]*)/", 1).alias(name)
+    found = listing(spark, root, "*.txt", recursive=True)
+    return found.groupBy(part("lang"), part("source"), part("shelf")).agg(F.sum("file_size").alias("bytes"))
+
+
 def read_file_content(spark: SparkSession, folder: str) -> DataFrame:
     return _part_files(read_content(spark, folder, "*.parquet", recursive=True)).select(
         "file_name", "file_size", F.octet_length("content").cast("long").alias("content_bytes")
@@ -415,6 +429,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "convert_timeout": convert_timeout,
     "convert_isolated": convert_isolated,
     "list_documents": list_documents,
+    "tree_listing": tree_listing,
     "read_content": read_file_content,
     "check_paths": check_paths,
     "convert_directory": convert_directory,

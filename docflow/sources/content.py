@@ -15,6 +15,8 @@ from docflow.sources.listing import list_documents
 
 # Fixed value: the most bytes that one value of a Spark column can have.
 LONGEST_VALUE = 2**31 - 16
+# Bytes of files that a task holds before it hands them over.
+FLUSH_BYTES = 16 << 20
 
 _CONTENT = T.StructType([*LISTING_SCHEMA.fields, T.StructField("content", T.BinaryType(), True)])
 
@@ -23,23 +25,33 @@ def with_content(documents: DataFrame, longest: int = LONGEST_VALUE) -> DataFram
     """A listing with a ``content`` column, read by path in the tasks.
 
     Null for folders, for missing and unreadable files, and for files of more than
-    ``longest`` bytes, by default what a column can hold; a plug-in opens those by their path. Each file is
-    handed over on its own, so a task holds one.
+    ``longest`` bytes, by default what a column can hold; a plug-in opens those by their path.
+    Files are handed over ``FLUSH_BYTES`` at a time, larger ones on their own.
     """
     ship_package(documents.sparkSession)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                one = batch.slice(row, 1)
-                path, size, is_file = (one.column(c)[0].as_py() for c in ("document_path", "file_size", "is_file"))
-                content = None
-                if is_file and (size or 0) <= longest:
-                    try:
-                        content = read_file(path)
-                    except OSError:
-                        content = None
-                yield pa.RecordBatch.from_arrays([*one.columns, pa.array([content], pa.binary())], [*one.schema.names, "content"])
+            columns = (batch.column(c).to_pylist() for c in ("document_path", "file_size", "is_file"))
+            contents: list[bytes | None] = []
+            start = held = 0
+
+            def flush(end: int) -> pa.RecordBatch:
+                some = batch.slice(start, end - start)
+                return pa.RecordBatch.from_arrays([*some.columns, pa.array(contents, pa.binary())], [*some.schema.names, "content"])
+
+            for row, (path, size, is_file) in enumerate(zip(*columns, strict=True)):
+                wanted = is_file and (size or 0) <= longest
+                if contents and wanted and held + (size or 0) > FLUSH_BYTES:
+                    yield flush(row)
+                    contents, start, held = [], row, 0
+                try:
+                    contents.append(read_file(path) if wanted else None)
+                except OSError:
+                    contents.append(None)
+                held += len(contents[-1] or b"")
+            if contents:
+                yield flush(batch.num_rows)
 
     names = [f.name for f in LISTING_SCHEMA]
     return documents.select(*names).mapInArrow(read, _CONTENT)

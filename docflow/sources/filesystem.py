@@ -7,6 +7,7 @@ import re
 import stat
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 from pyarrow import fs
 
@@ -54,19 +55,44 @@ def file_status(path: str) -> tuple[bool, bool, int | None]:
     return info.type != fs.FileType.NotFound, info.type == fs.FileType.File, info.size
 
 
-def entries(folder: str) -> Iterator[tuple[str, str, int, bool]]:
-    """``path, name, size, is_file`` of everything in a folder, hidden or not."""
+class Entry(NamedTuple):
+    """What a folder holds under one name. ``real`` tells folders apart, however they are reached."""
+
+    path: str
+    name: str
+    size: int | None
+    is_file: bool
+    exists: bool
+    is_folder: bool
+    is_link: bool
+    real: str | None
+
+
+def _local_entry(path: str, found: os.DirEntry) -> Entry:
+    link = found.is_symlink()
+    try:
+        status = found.stat()
+    except OSError:
+        # A link to nothing, or one that leads in a circle.
+        return Entry(path, found.name, None, False, False, False, link, None)
+    is_file, is_folder = stat.S_ISREG(status.st_mode), stat.S_ISDIR(status.st_mode)
+    real = os.path.realpath(found.path) if is_folder else None
+    return Entry(path, found.name, status.st_size if is_file else 0, is_file, True, is_folder, link, real)
+
+
+def entries(folder: str) -> Iterator[Entry]:
+    """Everything in a folder, hidden or not; what can't be looked up is an entry, too."""
     system, name = _resolve(folder)
     base = folder.rstrip("/")
     if system is None:
         with os.scandir(name or "/") as found:
             for entry in found:
-                is_file = entry.is_file()
-                yield f"{base}/{entry.name}", entry.name, entry.stat().st_size if is_file else 0, is_file
+                yield _local_entry(f"{base}/{entry.name}", entry)
         return
     for info in system.get_file_info(fs.FileSelector(name)):
-        is_file = info.type == fs.FileType.File
-        yield f"{base}/{info.base_name}", info.base_name, info.size or 0, is_file
+        is_file, is_folder = info.type == fs.FileType.File, info.type == fs.FileType.Directory
+        path = f"{base}/{info.base_name}"
+        yield Entry(path, info.base_name, info.size or 0, is_file, info.type != fs.FileType.NotFound, is_folder, False, path if is_folder else None)
 
 
 def read_file(path: str) -> bytes:

@@ -11,16 +11,17 @@ from __future__ import annotations
 import fnmatch
 import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docflow.functions.paths import file_name
 from docflow.schemas import LISTING_SCHEMA
-from docflow.session import ship_package
+from docflow.session import scratch_dir, ship_package
 from docflow.sources.filesystem import entries, file_status, split_path
 
 # Rows of an Arrow batch that a task hands over.
@@ -68,44 +69,117 @@ def _is_folder(folder: str) -> bool:
     return exists and not is_file
 
 
+# A listing with what the next level needs: matching names, and folders of any name.
+_LEVEL_SCHEMA = T.StructType([
+    *LISTING_SCHEMA.fields,
+    T.StructField("matches", T.BooleanType()),
+    T.StructField("is_folder", T.BooleanType()),
+    T.StructField("is_link", T.BooleanType()),
+    T.StructField("real", T.StringType()),
+])
+_LEVEL_ARROW = pa.schema([
+    *_ARROW_SCHEMA,
+    pa.field("matches", pa.bool_()),
+    pa.field("is_folder", pa.bool_()),
+    pa.field("is_link", pa.bool_()),
+    pa.field("real", pa.string()),
+])
+
+
+def folder_rows(folder: str, matches: Callable[[str], object], deep: bool) -> Iterator[tuple]:
+    """The rows of one folder: matching names and, if ``deep``, its sub-folders.
+
+    A folder that can't be read is a row itself, whatever its name: what it holds is lost.
+    """
+    try:
+        for e in entries(folder):
+            match = bool(matches(e.name))
+            if match or (deep and e.is_folder):
+                yield e.path, e.name, e.size, e.is_file, e.exists, match, e.is_folder, e.is_link, e.real
+    except OSError:
+        name = os.path.basename(folder)
+        if not matches(name):
+            yield folder, name, 0, False, True, True, False, False, None
+
+
+def _write_level(folders: DataFrame, matches: Callable[[str], object], deep: bool, path: str) -> dict:
+    """Lists a table of folders into ``path``; returns how many rows, sub-folders and links to such it has."""
+
+    def list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                yield from _batches(folder_rows(folder, matches, deep), _LEVEL_ARROW)
+
+    counts = Observation(path)
+    level = folders.mapInArrow(list_folders, _LEVEL_SCHEMA).observe(
+        counts,
+        F.count_if("matches").alias("documents"),
+        F.count_if("is_folder").alias("folders"),
+        F.count_if(F.expr("is_folder AND is_link")).alias("links"),
+    )
+    level.write.parquet(path)
+    return counts.get
+
+
+def _next_folders(level: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """The sub-folders of a level. With ``seen``, each real folder once, and none that was listed before."""
+    folders = level.where("is_folder")
+    if seen is None:
+        return folders.select("document_path")
+    first = folders.groupBy("real").agg(F.min(F.struct("is_link", "document_path")).alias("first"))
+    return first.join(seen, "real", "left_anti").select("first.document_path")
+
+
 def list_documents(
     spark: SparkSession, path: str, pattern: str = "*.pdf", recursive: bool = False
 ) -> DataFrame:
     """One row per entry of a folder whose name matches a glob pattern.
 
-    Includes hidden, underscore and empty files and folders of a matching name.
-    The pattern is case-sensitive; ``*.[pP][dD][fF]`` takes both cases. A task lists
-    one folder; with ``recursive``, the folders of a level are listed in parallel and
-    each task goes on below its own. The driver holds the names of the first level's
-    folders, never those of files. Works for local folders and for every store that
-    Arrow's file systems know; others can be given as a table of paths.
+    Includes hidden, underscore and empty files, folders, dead links and pipes of a
+    matching name. The pattern is case-sensitive; ``*.[pP][dD][fF]`` takes both cases.
+
+    With ``recursive`` the tree is listed level by level: the folders of a level are a
+    table, dealt out anew, and a task lists its folders into the next one, so that a tree
+    below a single folder is listed by as many tasks as it has folders. Links to folders
+    are followed; each real folder is listed once, at the level that reaches it first, by
+    its own path before that of a link, so that circles end. A folder that can't be read
+    is a row.
+
+    The levels are written below the scratch folder and read back: a listing is made once,
+    and all that is done with it sees the same names. The driver lists nothing itself.
+    Works for local folders and for every store that Arrow's file systems know; others can
+    be given as a table of paths.
     """
     root = full_path(path)
     if not _is_folder(root):
         raise InputNotFound(f"no such folder: {path}")
     ship_package(spark)
     matches = _compiled(pattern).match
-    below = [e[0] for e in entries(root) if not e[3]] if recursive else []
-    seeds = spark.createDataFrame([(root, False), *((folder, True) for folder in below)], "folder string, deep boolean")
-
-    def walk(folder: str, deep: bool) -> Iterator[tuple]:
-        todo = [folder]
-        while todo:
-            for entry_path, name, size, is_file in entries(todo.pop()):
-                if deep and not is_file:
-                    todo.append(entry_path)
-                if matches(name):
-                    yield entry_path, name, size, is_file, True
-
-    def list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for folder, deep in zip(*(c.to_pylist() for c in batch.columns)):
-                yield from _batches(walk(folder, deep), _ARROW_SCHEMA)
-
-    found = seeds.repartition(len(below) + 1).mapInArrow(list_folders, LISTING_SCHEMA)
-    if found.isEmpty():
+    base = scratch_dir(spark, "listing")
+    levels: list[DataFrame] = []
+    documents, links, slots = 0, 0, spark.sparkContext.defaultParallelism
+    real_root = root if split_path(root)[0] != "file:" else os.path.realpath(split_path(root)[1])
+    seen = spark.range(1).select(F.lit(real_root).alias("real"))
+    folders = spark.range(0, 1, 1, 1).select(F.lit(root).alias("document_path"))
+    while True:
+        written = f"{base}/level-{len(levels)}"
+        counts = _write_level(folders, matches, recursive, written)
+        levels.append(spark.read.schema(_LEVEL_SCHEMA).parquet(written))
+        documents, links = documents + counts["documents"], links + counts["links"]
+        if not (recursive and counts["folders"]):
+            break
+        # Without links no folder can be reached twice.
+        earlier = None
+        if links:
+            earlier = seen
+            for level in levels[:-1]:
+                earlier = earlier.unionByName(level.where("is_folder").select("real"))
+        folders = _next_folders(levels[-1], earlier).repartition(min(counts["folders"], 16 * slots))
+    if not documents:
         raise NoDocuments(f"no file matches {pattern} in {path}")
-    return found
+    names = LISTING_SCHEMA.fieldNames()
+    found = spark.read.schema(_LEVEL_SCHEMA).parquet(*(f"{base}/level-{i}" for i in range(len(levels))))
+    return found.where("matches").select(*names)
 
 
 def checked_documents(paths: DataFrame, path_col: str = "document_path") -> DataFrame:

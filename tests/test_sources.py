@@ -16,6 +16,7 @@ from docflow.sources import (
     read_content,
     with_content,
 )
+from docflow.sources.listing import _compiled, folder_rows
 from faulty_converters import opens_path, well_behaved
 from pyspark.sql import functions as F
 
@@ -44,7 +45,7 @@ def test_long_listing_stays_in_tasks(spark, tmp_path):
     for i in range(3000):
         (tmp_path / f"{i}.pdf").touch()
     long = list_documents(spark, str(tmp_path))
-    assert long.count() == 3000 and "MapInArrow" in plan(long)
+    assert long.count() == 3000 and "LocalTableScan" not in plan(long)
     assert long.schema.fieldNames() == LISTING_SCHEMA.fieldNames()
 
 
@@ -57,6 +58,65 @@ def test_recursive_listing_finds_all_levels(spark, tmp_path):
     assert len(rows) == 3 and len({r.document_path for r in rows}) == 3
 
 
+def test_listing_of_a_tree_with_links_and_pipes(spark, tmp_path):
+    """A deep tree below one folder, with what real folders have: dead links, circles, pipes."""
+    root = tmp_path / "in"
+    for i in range(12):
+        for j in range(3):
+            place = root / "year" / f"m{i}" / f"d{j}"
+            place.mkdir(parents=True)
+            (place / "f.pdf").write_text("x" * i)
+    year = root / "year"
+    os.symlink(root / "gone", year / "dead.pdf")
+    os.symlink(year / "round.pdf", year / "round.pdf")
+    os.symlink(root, year / "m0" / "up")
+    os.symlink(year / "m1", year / "again")
+    os.symlink(year / "m2" / "d0" / "f.pdf", year / "linked.pdf")
+    os.mkfifo(year / "pipe.pdf")
+    outside = tmp_path / "outside"
+    (outside / "sub").mkdir(parents=True)
+    (outside / "sub" / "o.pdf").touch()
+    os.symlink(outside, year / "m3" / "out")
+    os.symlink(outside / "sub", year / "m4" / "sub")
+    found = list_documents(spark, str(root), recursive=True)
+    rows = {r.document_path.removeprefix(f"file:{root}/"): r for r in found.collect()}
+    assert found.count() == len(rows)
+    plain = {f"year/m{i}/d{j}/f.pdf" for i in range(12) for j in range(3)}
+    # The folder that two links lead to is listed at the level that reaches it first.
+    assert set(rows) == plain | {f"year/{n}.pdf" for n in ("dead", "round", "linked", "pipe")} | {"year/m4/sub/o.pdf"}
+    assert [rows[f"year/{n}.pdf"][2:] for n in ("dead", "round", "pipe", "linked")] == [
+        (None, False, False), (None, False, False), (0, False, True), (2, True, True)
+    ]
+    results = convert_directory(spark, str(root), lambda: lambda p, c: str(len(c)), recursive=True).collect()
+    assert len(results) == len(rows) and sum(not r.success for r in results) == 3
+
+
+def test_a_level_is_listed_by_many_tasks(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / "one" / f"f{i}").mkdir(parents=True)
+        (tmp_path / "one" / f"f{i}" / "x.pdf").touch()
+    found = list_documents(spark, str(tmp_path), recursive=True)
+    assert found.count() == 40
+    folders = {os.path.dirname(f) for f in found.inputFiles()}
+    parts = {f: [p for p in found.inputFiles() if os.path.dirname(p) == f] for f in folders}
+    assert len(parts) == 3 and max(map(len, parts.values())) > 10
+
+
+def test_a_listing_is_made_once(spark, tmp_path):
+    (tmp_path / "a.pdf").touch()
+    found = list_documents(spark, str(tmp_path))
+    (tmp_path / "b.pdf").touch()
+    assert names(found) == {"a.pdf"} and found.count() == 1
+    assert names(list_documents(spark, str(tmp_path))) == {"a.pdf", "b.pdf"}
+
+
+def test_a_folder_that_cannot_be_read_is_a_row(tmp_path):
+    rows = list(folder_rows(f"file:{tmp_path}/secret", _compiled("*.pdf").match, True))
+    assert rows == [(f"file:{tmp_path}/secret", "secret", 0, False, True, True, False, False, None)]
+    # Its parent has listed one whose name matches.
+    assert list(folder_rows(f"file:{tmp_path}/secret.pdf", _compiled("*.pdf").match, True)) == []
+
+
 def test_missing_and_empty_folder(spark, folder, tmp_path):
     with pytest.raises(InputNotFound):
         list_documents(spark, str(tmp_path / "nope"))
