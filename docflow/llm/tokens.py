@@ -61,15 +61,19 @@ class CachedTokenizer:
         self.tokenizer.no_truncation()
         if self.tokenizer.get_vocab_size() > np.iinfo(self.dtype).max + 1:
             raise ValueError("the ids need more than 16 bits")
-        # Added tokens are found in the whole text, before it is cut, some of them in any case.
-        added = {t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()}
-        self.added = re.compile("|".join(map(re.escape, sorted(added))) or r"(?!)", re.IGNORECASE)
+        # Added tokens are found in the whole text, before it is cut, and some of them in any case.
+        self.added = sorted({t.content[:2].lower() for t in self.tokenizer.get_added_tokens_decoder().values()})
+        self.any_case = any(a != a.upper() for a in self.added)
         self.blanks_count = blanks_count
         self.pattern = _WITH_BLANKS if blanks_count else _WITHOUT_BLANKS
         self.characters = _byte_characters()
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
+    def _may_hold_added(self, text: str) -> bool:
+        text = text.lower() if self.any_case else text
+        return any(a in text for a in self.added)
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [_bytes(x.ids) for x in done]
@@ -98,7 +102,7 @@ class CachedTokenizer:
         out: list[bytes] = []
         for text in texts:
             text = text or ""
-            if self.added.search(text):
+            if self._may_hold_added(text):
                 out += self._whole([text])
                 continue
             if self.blanks_count and (text[:1] == " " or text[-1:] == " " or _UNSAFE.search(text)):
