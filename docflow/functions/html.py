@@ -32,6 +32,11 @@ END = "\x07"
 LINK, LINK_TEXT, LINK_END = "\x0e", "\x0f", "\x10"
 PARAGRAPH, LINE = "\x11", "\x12"
 IMAGE = "\x14"
+LIST, NUMBER, ITEM, LIST_END = "\x15", "\x13", "\x16", "\x17"
+ITEM_LINE, INDENT, BULLET = "\x0b", "\x18", "\x19"
+OPEN, CLOSE = "\x0c", "\x1d"  # around a finished list
+FENCE, VERBATIM_LINE, VERBATIM_SPACE, VERBATIM_TAB = "\x1c", "\x1b", "\x1a", "\x08"
+QUOTED_LT, QUOTED_GT = "\x1e", "\x1f"  # brackets in values of attributes
 
 # Elements that start and end a block of text.
 BLOCK_TAGS = (
@@ -47,6 +52,8 @@ COMMON_ENTITIES = "amp quot lt gt nbsp copy middot apos".split()
 
 # Levels of <nav> in <nav> that are left out; deeper ones keep the text around them.
 NESTING = 8
+# Levels of lists in lists that are indented.
+LIST_LEVELS = 12
 
 # Length that takes the rest of any text.
 _ALL = 2**31 - 1
@@ -58,6 +65,10 @@ _UNSEEN = (
     r"|style(?:[\s/][^<>]*)?>.*?(?:</style[^<>]*>|\z))"
 )
 _CONTROL = r"[\x01-\x1f]"
+# A whole tag; the values of its attributes may hold brackets. Nothing is tried twice.
+_TAG = r"""<[a-zA-Z][^<>"'=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'<>]*+)[^<>"'=]*+)*+>"""
+_QUOTED_BRACKET = r"""=\s*+(?:"[^"<>]*+[<>]|'[^'<>]*+[<>])"""
+_VERBATIM = r"(?i)<pre(?=[\s/>])"
 
 
 def _map(entries: dict[str, str]) -> Column:
@@ -71,9 +82,10 @@ def _tag_texts(config: ConvertConfig) -> dict[str, str]:
     # The map is searched from its start, so the most frequent tags come first.
     frequent = "p /p li /li a /a b /b i /i span /span td /td tr /tr br div /div".split()
     texts = dict.fromkeys(frequent, "")
-    texts |= {"br": LINE, "li": LINE + "- ", "/a": LINK_END}
+    texts |= {"br": LINE, "/a": LINK_END}
     for name in BLOCK_TAGS:
         texts[name] = texts["/" + name] = PARAGRAPH
+    texts |= {"ul": LIST + NUMBER, "/ul": LIST_END, "/ol": LIST_END, "li": ITEM}
     for level in range(1, 7):
         texts[f"h{level}"] = PARAGRAPH + "#" * level + " "
     if config.tables:
@@ -107,6 +119,60 @@ def _image(tag: Column, mode: str) -> Column:
     return F.when(kept, F.concat(F.lit("![Image]("), src, F.lit(")"))).otherwise(IMAGE)
 
 
+def _list_start(tag: Column) -> Column:
+    """The mark of a numbered list with its first number."""
+    first = F.regexp_extract(_attribute(tag, "start"), "^([0-9]{1,9})$", 1)
+    return F.concat(F.lit(LIST), F.when(first == "", "1").otherwise(first), F.lit(NUMBER))
+
+
+def keep_quoted_brackets(html: Column) -> Column:
+    """The page with marks for ``<`` and ``>`` inside quoted values, where they end no tag.
+
+    Only pages that may hold such are taken apart. A quote that is never closed, or not
+    where a value may end, is no quote: the tag then ends at its first bracket.
+    """
+
+    def marked(page: Column) -> Column:
+        inner = lambda tag: F.translate(F.substring(tag, F.lit(2), F.length(tag) - 2), "<>", QUOTED_LT + QUOTED_GT)
+        whole = lambda tag: F.when(tag.isNull(), "").otherwise(F.concat(F.lit("<"), inner(tag), F.lit(">")))
+        tags = F.regexp_extract_all(page, F.lit(_TAG), F.lit(0))
+        return F.array_join(F.zip_with(F.split(page, _TAG, -1), tags, lambda text, tag: F.concat(text, whole(tag))), "")
+
+    return _bind(html, lambda page: F.when(page.rlike(_QUOTED_BRACKET), marked(page)).otherwise(page))
+
+
+def _keep_verbatim(page: Column) -> Column:
+    """The page with marks for the white space of closed ``<pre>`` elements, and fences around them."""
+
+    def kept(body: Column) -> Column:
+        lines = F.regexp_replace(F.regexp_replace(body, "\r\n?", "\n"), r"\A\n|\n\z", "")
+        fence = F.when(F.contains(body, F.lit("```")), FENCE + FENCE).otherwise(FENCE)
+        marks = F.translate(lines, "\n \t", VERBATIM_LINE + VERBATIM_SPACE + VERBATIM_TAB)
+        return F.concat(fence, F.lit(VERBATIM_LINE), marks, F.lit(VERBATIM_LINE), fence)
+
+    def piece(text: Column, i: Column) -> Column:
+        end, start = F.instr(F.lower(text), "</pre"), F.instr(text, ">") + 1
+        body = F.substring(text, start, end - start)
+        element = F.concat(F.substring(text, F.lit(1), start - 1), kept(body), F.substring(text, end, F.lit(_ALL)))
+        return F.when((i > 0) & (start > 1) & (end >= start), element).otherwise(text)
+
+    return F.array_join(F.transform(F.split(page, _VERBATIM, -1), piece), "<pre")
+
+
+def visible(html: Column) -> Column:
+    """``drop_unseen``, with the white space of ``<pre>`` elements kept by marks."""
+
+    def with_verbatim(page: Column) -> Column:
+        text = F.regexp_replace(F.regexp_replace(page, r"[\x01-\x08\x0b\x0c\x0e-\x1d]", " "), _UNSEEN, "")
+        return F.regexp_replace(_keep_verbatim(text), r"[\n\t\r]", " ")
+
+    def plain(page: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(page, r"[\x01-\x1d]", " "), _UNSEEN, "")
+
+    page = keep_quoted_brackets(F.regexp_replace(html, f"[{QUOTED_LT}{QUOTED_GT}]", " "))
+    return _bind(page, lambda p: F.when(p.rlike(_VERBATIM), with_verbatim(p)).otherwise(plain(p)))
+
+
 def drop_unseen(html: Column) -> Column:
     """The page without comments, scripts and styles.
 
@@ -130,11 +196,11 @@ def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def replace_tags(
-    html: Column, tag_texts: dict[str, str], link: Callable | None, image: Callable | None
+    html: Column, tag_texts: dict[str, str], **computed: Callable[[Column], Column]
 ) -> Column:
     """Replace every tag by its text in ``tag_texts``, or by nothing.
 
-    ``link`` and ``image`` compute the text of ``<a>`` and ``<img>`` from the tag.
+    The text of the tags named by ``computed`` is computed from the tag.
     """
     texts = _map(tag_texts)
 
@@ -145,11 +211,11 @@ def replace_tags(
     def rewritten(piece: Column, name: Column) -> Column:
         tag = F.substring_index(piece, ">", 1)
         text = F.substring(piece, F.instr(piece, ">") + 1, F.lit(_ALL))
+        known = F.when(name.isNull(), piece)
+        for computed_name, compute in computed.items():
+            known = known.when(name == computed_name, F.concat(compute(tag), text))
         return (
-            F.when(name.isNull(), piece)
-            .when(name == "a", F.concat(link(tag) if link else F.lit(""), text))
-            .when(name == "img", F.concat(image(tag) if image else F.lit(""), text))
-            .when(name != "", F.concat(F.coalesce(F.element_at(texts, name), F.lit("")), text))
+            known.when(name != "", F.concat(F.coalesce(F.element_at(texts, name), F.lit("")), text))
             # <!doctype>, <?xml?> and a bare </ vanish; any other < is text.
             .when(piece.rlike("^[!?/]"), text)
             .otherwise(F.concat(F.lit("<"), piece))
@@ -223,9 +289,9 @@ def _render_tables(text: Column) -> Column:
         return F.concat(F.ltrim(line), F.lit(" |"), F.when(i == 0, rule).otherwise(""))
 
     def body_text(body: Column) -> Column:
-        return F.regexp_replace(
-            F.replace(body, F.lit("|"), F.lit("\\|")), f"[ {PARAGRAPH}{LINE}]+", " "
-        )
+        marks = f"[ {PARAGRAPH}{LINE}{ITEM_LINE}{INDENT}{OPEN}{CLOSE}{VERBATIM_LINE}]+"
+        one_line = F.regexp_replace(F.replace(body, F.lit("|"), F.lit("\\|")), marks, " ")
+        return F.replace(F.replace(one_line, F.lit(FENCE), F.lit("`")), F.lit(BULLET), F.lit(" "))
 
     def rendered(rows: Column) -> Column:
         loose = F.filter(rows, lambda row: ~F.contains(row, F.lit(CELL)))
@@ -243,6 +309,53 @@ def _render_tables(text: Column) -> Column:
     return F.array_join(pieces, "")
 
 
+def _render_lists(text: Column) -> Column:
+    """Turn list markers into lines with bullets or numbers, from the inside out.
+
+    A round finishes all lists without a list inside: the text between a list's mark and
+    the next end mark. Their lines, indented once more by every list around them, are text
+    to the next round, so that each round is linear. A list that is never closed has
+    bullets; what is deeper than ``LIST_LEVELS`` is not indented further.
+    """
+
+    def finished(piece: Column) -> Column:
+        body = F.substring_index(piece, LIST_END, 1)
+        rest = F.substring(piece, F.length(body) + 2, F.lit(_ALL))
+        number = F.substring_index(body, NUMBER, 1)
+        items = F.split(F.substring(body, F.length(number) + 2, F.lit(_ALL)), ITEM)
+
+        def line(item: Column, i: Column) -> Column:
+            # What follows an inner list in its item goes on in a line of its own.
+            inner = F.rtrim(F.replace(item, F.lit(OPEN), F.lit("")), F.lit(f" {PARAGRAPH}{LINE}{CLOSE}"))
+            inner = F.replace(inner, F.lit(CLOSE), F.lit(ITEM_LINE))
+            inner = F.replace(inner, F.lit(ITEM_LINE), F.lit(ITEM_LINE + INDENT))
+            bullet = F.when(number == "", "-").otherwise(F.concat((number.try_cast("long") + i - 1).cast("string"), F.lit(".")))
+            return F.when(i == 0, item).otherwise(F.concat(F.lit(ITEM_LINE), bullet, F.lit(BULLET), inner))
+
+        return F.concat(F.lit(OPEN), F.array_join(F.transform(items, line), ""), F.lit(CLOSE), rest)
+
+    def round_(acc: Column) -> Column:
+        pieces = F.transform(
+            F.split(acc, LIST, -1),
+            lambda piece, i: F.when(i == 0, piece)
+            .when(F.contains(piece, F.lit(LIST_END)), finished(piece))
+            .otherwise(F.concat(F.lit(LIST), piece)),
+        )
+        return F.array_join(pieces, "")
+
+    def all_rounds(page: Column) -> Column:
+        rounds = F.least(F.size(F.split(page, LIST)) - 1, F.lit(LIST_LEVELS))
+        return F.aggregate(
+            F.sequence(F.lit(1), rounds), page, lambda acc, _: F.when(F.contains(acc, F.lit(LIST)), round_(acc)).otherwise(acc)
+        )
+
+    text = _where_present(text, LIST, all_rounds)
+    # Lists that were never closed, items and ends without a list.
+    text = _where_present(text, LIST, lambda t: F.regexp_replace(t, f"{LIST}[0-9]*{NUMBER}", PARAGRAPH))
+    text = F.replace(F.replace(text, F.lit(ITEM), F.lit(f"{ITEM_LINE}-{BULLET}")), F.lit(LIST_END), F.lit(PARAGRAPH))
+    return F.translate(text, OPEN + CLOSE, PARAGRAPH + PARAGRAPH)
+
+
 def _where_present(text: Column, mark: str, step: Callable[[Column], Column]) -> Column:
     """Apply a step only to texts that hold its mark; finding out costs far less."""
     return _bind(text, lambda t: F.when(F.contains(t, F.lit(mark)), step(t)).otherwise(t))
@@ -267,21 +380,25 @@ def _link_texts(text: Column) -> Column:
 def html_to_markdown(html: Column, config: ConvertConfig | None = None) -> Column:
     """Markdown text of an HTML page."""
     config = config or ConvertConfig()
-    text = replace_tags(
-        drop_unseen(html), _tag_texts(config), _link, lambda tag: _image(tag, config.image_mode)
-    )
+    image = lambda tag: _image(tag, config.image_mode)
+    text = replace_tags(visible(html), _tag_texts(config), a=_link, img=image, ol=_list_start)
     text = _where_present(text, DROP, _drop_boilerplate)
     text = _where_present(text, "&", decode_entities)
     text = _where_present(text, LINK, _link_texts)
     text = F.replace(text, F.lit(LINK_END), F.lit(""))
+    text = _render_lists(text)
     if config.tables:
         text = _where_present(text, TABLE, _render_tables)
     # Markers without a partner. From here on no two blanks stand side by side.
     text = collapse_blanks(F.regexp_replace(text, f"[{DROP}-{END}]", " "))
-    # Blanks at line ends, empty list items, surplus empty lines, both ends.
-    for old, new in ((PARAGRAPH, "\n\n"), (LINE, "\n"), (" \n", "\n"), ("\n ", "\n")):
+    text = F.replace(F.replace(text, F.lit(PARAGRAPH), F.lit("\n\n")), F.lit(LINE), F.lit("\n"))
+    # An item goes on beside its bullet, whatever it begins with.
+    text = _where_present(text, BULLET, lambda t: F.regexp_replace(t, f"{BULLET}[ \n]*+", " "))
+    # Blanks at line ends, surplus empty lines, both ends.
+    for old, new in ((ITEM_LINE, "\n"), (" \n", "\n"), ("\n ", "\n")):
         text = F.replace(text, F.lit(old), F.lit(new))
-    text = F.regexp_replace(text, "\n-\n+", "\n- ")
     text = F.regexp_replace(text, "\n{3,}", "\n\n")
-    text = F.replace(text, F.lit(IMAGE), F.lit(IMAGE_PLACEHOLDER))
-    return F.btrim(text, F.lit(" \n"))
+    text = F.btrim(F.replace(text, F.lit(IMAGE), F.lit(IMAGE_PLACEHOLDER)), F.lit(" \n"))
+    text = _where_present(text, INDENT, lambda t: F.replace(t, F.lit(INDENT), F.lit("    ")))
+    text = _where_present(text, FENCE, lambda t: F.replace(t, F.lit(FENCE), F.lit("```")))
+    return F.translate(text, QUOTED_LT + QUOTED_GT + VERBATIM_LINE + VERBATIM_SPACE + VERBATIM_TAB, "<>\n \t")

@@ -76,7 +76,7 @@ def document_tables(df: DataFrame, path_col: str = "document_path", html_col: st
     html = F.col(html_col).cast("string")
     tags = dict.fromkeys([*BLOCK_TAGS, *("/" + tag for tag in BLOCK_TAGS), "br", "li"], " ")
     tags |= {"table": TABLE, "/table": TABLE_END, "tr": ROW, "td": CELL, "th": CELL}
-    marked = collapse_blanks(decode_entities(replace_tags(drop_unseen(html), tags, None, None)))
+    marked = collapse_blanks(decode_entities(replace_tags(drop_unseen(html), tags)))
 
     def with_cells(rows: Column) -> Column:
         return F.filter(rows, lambda row: F.contains(row, F.lit(CELL)))

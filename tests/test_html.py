@@ -59,6 +59,90 @@ def test_boilerplate_can_stay(md):
     assert md(html, drop_boilerplate=False) == "[x](/x)\n\ny\n\nz"
 
 
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ("<ol><li>a<li>b</ol>", "1. a\n2. b"),
+        ("<ol start=9><li>a</li><li><p>b</p></li><li>c</ol>x", "9. a\n10. b\n11. c\n\nx"),
+        ("<OL START='x'><LI>a</OL>", "1. a"),
+        (
+            "t<ul>\n<li>a\n <ol>\n<li>b<ul><li>c</li> <li>d</li></ul></li>\n<li>e</li></ol>\n</li>\n<li>f</li></ul>u",
+            "t\n\n- a\n    1. b\n        - c\n        - d\n    2. e\n- f\n\nu",
+        ),
+        ("<ul><li>a<ul><li>b</li></ul>tail</li><li>c</li></ul>", "- a\n    - b\n    tail\n- c"),
+        ("<ol><li><ul><li>b</ul></ol>", "1.\n    - b"),
+        ("<ul><li></li><li>x</li></ul>", "-\n- x"),
+        ("<li>loose<li>items</ul>", "- loose\n- items"),
+        ("<ul><li>never<li>closed <p>x", "- never\n- closed\n\nx"),
+        ("<ul><li>a<ul><li>b", "- a\n\n- b"),
+        ("<ul><li>a<br>b</ul><p>5.<p>x", "- a\nb\n\n5.\n\nx"),
+        ("<table><tr><td><ul><li>a<li>b</ul><td><ol><li>c</ol></table>", "| - a - b | 1. c |\n|---|---|"),
+        ("\x15\x13\x16a\x17\x19b\x1ec\x1f", "a b c"),
+    ],
+)
+def test_lists(md, html, expected):
+    assert md(html) == expected
+
+
+def test_lists_against_a_stack(md):
+    """Random lists of any kind and depth against a recursive writer."""
+    import random
+
+    rng = random.Random(3)
+
+    def made(depth, level):
+        ordered, start = rng.random() < 0.5, rng.randint(0, 120)
+        page, lines = f"<ol start={start}>" if ordered else "<ul class=x>", []
+        for i in range(rng.randint(1, 4)):
+            word = "".join(rng.choice("abcdef") for _ in range(4))
+            lines.append("    " * level + (f"{start + i}." if ordered else "-") + f" {word}")
+            inner, below = made(depth - 1, level + 1) if depth and rng.random() < 0.5 else ("", [])
+            page += f"<li>{rng.choice(['', ' ', '<p>'])}{word}{inner}{rng.choice(['', '</li>', '</li> '])}"
+            lines += below
+        return page + ("</ol>" if ordered else "</ul>"), lines
+
+    for _ in range(25):
+        page, lines = made(4, 0)
+        assert md("<p>x" + page + "y") == "x\n\n" + "\n".join(lines) + "\n\ny"
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ("a<pre>\n  x  y\n\n\tz &lt;b&gt;\r\n</pre>b  c", "a\n\n```\n  x  y\n\n\tz <b>\n```\n\nb c"),
+        ("<PRE class='c'><code>if <b>a</b>:\n    b</code></PRE>", "```\nif a:\n    b\n```"),
+        ("<pre>a</pre>\n<pre>``` b</pre>", "```\na\n```\n\n``````\n``` b\n``````"),
+        ("x<pre>never\n  closed", "x\n\nnever closed"),
+        ("<!-- <pre> -->a  b<script>'<pre>'</script>", "a b"),
+        ("<prefix>a  b</prefix>", "a b"),
+        ("<ul><li>a<pre>x\n y</pre></ul>", "- a\n\n```\nx\n y\n```"),
+        ("<table><tr><td><pre>x\n  y</pre></table>", "| `  x y ` |\n|---|"),
+    ],
+)
+def test_verbatim(md, html, expected):
+    if "<table>" in html:
+        assert "x" in md(html) and md(html).startswith("| `") and md(html).endswith("|\n|---|")
+    else:
+        assert md(html) == expected
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ('a<i title="x > y">b</i>c', "abc"),
+        ("<a href='/q?a>b'>l</a><a title=\"<p>\" href=/u>m</a>", "[l](/q?a>b)[m](/u)"),
+        ('<img alt="1 < 2" src="https://e.x/i.png">', "<!-- image -->"),
+        ('<p data-x="<script>">shown</p><p title="<!-- no">too</p>', "shown\n\ntoo"),
+        ('<a href="/open>l</a> <b class="z">t</b>', 'l t'),
+        ("<a href='/open>l</a> it's", "l it's"),
+        ('say a="b <i>c</i>" d', 'say a="b c" d'),
+        ('1 < 2="<x', '1 < 2="'),
+    ],
+)
+def test_brackets_in_attributes(md, html, expected):
+    assert md(html) == expected
+
+
 TABLE = (
     "a<table><caption>Cap</caption><tr><th>A|B<th><p>C</p></tr>"
     "<tr><td>1</td><td>2\n<b>x</b><br>y</td><td></td></tr></table>b"
@@ -87,7 +171,9 @@ def test_image_modes(md):
 
 
 @pytest.mark.parametrize(
-    "piece", ["<nav>", "</nav>", "<!--", "<script ", "<a href=\"x\">", "<table>", "<", "&", "<td>", " \n", "<p>", "&#1"]
+    "piece",
+    ["<nav>", "</nav>", "<!--", "<script ", "<a href=\"x\">", "<table>", "<", "&", "<td>", " \n", "<p>", "&#1",
+     "<ul>", "<ol><li>", "</ul>", "<ul><li>a</ul>", "<li>", "<pre>", "</pre>", "<pre>a\n</pre>", "<a b=\">\">", "<a b='", "<a b=\"<", "='>", "<a ="],
 )
 def test_time_grows_with_length_only(md, piece):
     """Hostile pages: nothing is searched for again and again to the end of the page."""
