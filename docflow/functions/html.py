@@ -99,21 +99,21 @@ def _tag_texts(config: ConvertConfig) -> dict[str, str]:
     return texts
 
 
-def _attribute(tag: Column, name: str) -> Column:
+def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute in double, single or no quotes; ``''`` without it."""
     pattern = rf"""(?i)[\s"'/]{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
     return F.concat(*[F.regexp_extract(tag, pattern, group) for group in (1, 2, 3)])
 
 
 def _link(tag: Column) -> Column:
-    href = _attribute(tag, "href")
+    href = attribute(tag, "href")
     return F.when(href != "", F.concat(F.lit(LINK), href, F.lit(LINK_TEXT))).otherwise("")
 
 
 def _image(tag: Column, mode: str) -> Column:
     if mode == "placeholder":
         return F.lit(IMAGE)
-    src = _attribute(tag, "src")
+    src = attribute(tag, "src")
     embedded = src.startswith("data:")
     kept = embedded if mode == "embedded" else (src != "") & ~embedded
     return F.when(kept, F.concat(F.lit("![Image]("), src, F.lit(")"))).otherwise(IMAGE)
@@ -121,7 +121,7 @@ def _image(tag: Column, mode: str) -> Column:
 
 def _list_start(tag: Column) -> Column:
     """The mark of a numbered list with its first number."""
-    first = F.regexp_extract(_attribute(tag, "start"), "^([0-9]{1,9})$", 1)
+    first = F.regexp_extract(attribute(tag, "start"), "^([0-9]{1,9})$", 1)
     return F.concat(F.lit(LIST), F.when(first == "", "1").otherwise(first), F.lit(NUMBER))
 
 

@@ -125,6 +125,12 @@ SELECT {ORDER_PATH} AS document_path,
        || '| Key | State \\| S | Priority |' || chr(10) || '|---|---|---|' || chr(10)
        || '| ' || o_orderkey || ' | ' || o_orderstatus || ' | ' || o_orderpriority || ' |'
        || chr(10) || chr(10) || 'End <here>' AS content
+FROM orders""",
+    "list_markdown": """
+SELECT o_orderkey,
+       concat_ws(chr(10), 'Order', '', (o_orderkey % 100) || '. ' || o_orderkey, '    - ' || o_orderstatus, '    - ' || o_orderpriority,
+                 '        1. x', '        2. y', '    tail', (o_orderkey % 100 + 1) || '. last', '', '```',
+                 '  ' || o_orderkey || chr(9) || o_orderstatus, '', '  end', '```') AS content
 FROM orders""",
     "image_modes": f"""
 SELECT {ORDER_PATH} AS document_path,
@@ -154,6 +160,19 @@ WITH cells AS (
                 ELSE [CAST(o_orderkey AS VARCHAR), o_orderstatus, o_orderpriority][c.c + 1] END AS text
     FROM orders, (VALUES (0), (1)) r(r), (VALUES (0), (1), (2)) c(c))
 SELECT document_path, 0 AS "table", "row", col, text FROM cells""",
+    "table_spans": f"""
+WITH laid AS (
+    SELECT {ORDER_PATH} AS document_path, unnest(CASE o_orderkey % 5
+        WHEN 0 THEN [(0, 0, 1, across, k), (0, across, 2, 1, 'S'), (1, 0, 1, 1, s),
+                     (1, CASE WHEN across = 1 THEN 2 ELSE 1 END, 1, 1, 'x')]
+        WHEN 1 THEN [(0, 0, least(down, 3), 1, 'side'), (0, 1, 1, 1, k), (1, 1, 1, 1, 'b'),
+                     (2, CASE WHEN down > 2 THEN 1 ELSE 0 END, 1, 1, s), (2, CASE WHEN down > 2 THEN 2 ELSE 1 END, 1, 1, 'c')]
+        WHEN 2 THEN [(0, 0, 3, 1, 'a'), (0, 1, 1, 2, k), (1, 1, 2, 1, 'c'), (1, 2, 1, 1, s), (2, 2, 1, 1, 'e')]
+        WHEN 3 THEN [(0, 0, 3, 1, k), (0, 1, 1, 1, 'b'), (0, 2, 1, 1, 'c'), (1, 1, 1, 1, s), (2, 1, 1, 1, 'e')]
+        ELSE [(0, 0, 2, 1, k), (0, 1, 2, 1, s), (2, 0, 1, 1, 'next')] END) AS c
+    FROM (SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS k, o_orderstatus AS s,
+                 CAST(o_orderkey % 3 + 2 AS INTEGER) AS down, CAST(o_orderkey % 4 + 1 AS INTEGER) AS across FROM orders))
+SELECT document_path, 0 AS "table", c[1] AS "row", c[2] AS col, c[3] AS row_span, c[4] AS col_span, c[5] AS text FROM laid""",
     "validate_suffix": f"""
 SELECT url AS document_path, {URL_NAME} AS file_name, {URL_SUFFIX} AS suffix,
        lower({URL_SUFFIX}) = '.html' AS is_valid

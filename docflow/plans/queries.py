@@ -6,11 +6,12 @@ Each takes a session and a folder of Parquet tables and reads whole tables.
 from __future__ import annotations
 
 import os
+import re
 import signal
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.config import ConvertConfig
@@ -100,6 +101,48 @@ def document_tables(spark: SparkSession, folder: str) -> DataFrame:
     return structure.document_tables(_order_pages(spark, folder))
 
 
+def table_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Tables of five kinds with cells over several rows and columns, made from orders.
+
+    Spans from the key's digits: a head over two columns, cells down the side, cells that
+    reach around each other, spans that are no numbers or go beyond the table, a row that
+    cells from above fill.
+    """
+    key = F.col("o_orderkey")
+    number, state = key.cast("string"), F.col("o_orderstatus")
+    down, across = (key % 3 + 2).cast("string"), (key % 4 + 1).cast("string")
+
+    def page(text: str) -> Column:
+        parts = re.split(r"(\{\w+\})", text)
+        known = {"{key}": number, "{state}": state, "{down}": down, "{across}": across}
+        return F.concat(*[known.get(p, F.lit(p)) for p in parts if p])
+
+    kinds = [
+        "<table><tr><th colspan={across}>{key}</th><th rowspan='2'>S</th></tr><tr><td>{state}</td><td>x</td></tr></table>",
+        '<table><tr><td rowspan="{down}">side</td><td>{key}</td></tr><tr><td>b</td></tr><tr><td>{state}</td><td>c</td></tr></table>',
+        "<table><tr><td rowspan=3>a<td colspan=2>{key}<tr><td rowspan=2>c<td>{state}<tr><td>e</table>",
+        "<TABLE><TR><TD ROWSPAN=0>{key}<TD COLSPAN=x>b<TD colspan='0'>c<TR><TD>{state}<TR><TD rowspan='9'>e</TABLE>",
+        "<table><tr><td rowspan=2>{key}<td rowspan=2 title='>'>{state}<tr></tr><tr><td>next</table>",
+    ]
+    content = F.element_at(F.array(*map(page, kinds)), (key % 5 + 1).cast("int"))
+    pages = _dealt(spark, folder, "orders").select(
+        F.concat(F.lit("order/"), key, F.lit(".html")).alias("document_path"), content.alias("content")
+    )
+    return structure.document_tables(pages, spans=True)
+
+
+def list_markdown(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbered lists in lists, verbatim text and brackets in attributes, made from orders."""
+    key, first = F.col("o_orderkey").cast("string"), (F.col("o_orderkey") % 100).cast("string")
+    content = F.concat(
+        F.lit('<p title="a > b">Order</p>\n<ol start='), first, F.lit("><li>"), key, F.lit("<ul class='x'>\n<li>"), F.col("o_orderstatus"),
+        F.lit("</li>\n<li>"), F.col("o_orderpriority"), F.lit("<ol><li>x <li>y</ol></li></ul>\ntail</li>\n<li><p>last</p></ol><pre class=q>\n  "),
+        key, F.lit("\t"), F.col("o_orderstatus"), F.lit("\n\n  <b>end</b></pre>"),
+    )
+    pages = _dealt(spark, folder, "orders").select("o_orderkey", content.alias("html"))
+    return pages.select("o_orderkey", markdown(F.col("html")).alias("content"))
+
+
 def table_markdown(spark: SparkSession, folder: str) -> DataFrame:
     pages = _order_pages(spark, folder)
     return pages.select("document_path", markdown(F.col("content")).alias("content"))
@@ -412,9 +455,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "html_to_markdown": html_to_markdown,
     "html_to_markdown_full": html_to_markdown_full,
     "table_markdown": table_markdown,
+    "list_markdown": list_markdown,
     "image_modes": image_modes,
     "document_blocks": document_blocks,
     "document_tables": document_tables,
+    "table_spans": table_spans,
     "validate_suffix": validate_suffix,
     "validate_documents": validate_documents,
     "file_metadata": file_metadata,
