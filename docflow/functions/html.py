@@ -356,6 +356,11 @@ def _render_lists(text: Column) -> Column:
     return F.translate(text, OPEN + CLOSE, PARAGRAPH + PARAGRAPH)
 
 
+def _tidy_indents(text: Column) -> Column:
+    """Marks of indented lines stand before text only, without a blank between."""
+    return F.regexp_replace(F.replace(text, F.lit(INDENT + " "), F.lit(INDENT)), f"{INDENT}++(?=\n|\\z)", "")
+
+
 def _where_present(text: Column, mark: str, step: Callable[[Column], Column]) -> Column:
     """Apply a step only to texts that hold its mark; finding out costs far less."""
     return _bind(text, lambda t: F.when(F.contains(t, F.lit(mark)), step(t)).otherwise(t))
@@ -397,8 +402,8 @@ def html_to_markdown(html: Column, config: ConvertConfig | None = None) -> Colum
     # Blanks at line ends, surplus empty lines, both ends.
     for old, new in ((ITEM_LINE, "\n"), (" \n", "\n"), ("\n ", "\n")):
         text = F.replace(text, F.lit(old), F.lit(new))
-    text = F.regexp_replace(text, "\n{3,}", "\n\n")
+    text = F.regexp_replace(_where_present(text, INDENT, _tidy_indents), "\n{3,}", "\n\n")
     text = F.btrim(F.replace(text, F.lit(IMAGE), F.lit(IMAGE_PLACEHOLDER)), F.lit(" \n"))
-    text = _where_present(text, INDENT, lambda t: F.replace(t, F.lit(INDENT), F.lit("    ")))
+    text = F.replace(text, F.lit(INDENT), F.lit("    "))
     text = _where_present(text, FENCE, lambda t: F.replace(t, F.lit(FENCE), F.lit("```")))
     return F.translate(text, QUOTED_LT + QUOTED_GT + VERBATIM_LINE + VERBATIM_SPACE + VERBATIM_TAB, "<>\n \t")

@@ -70,6 +70,7 @@ def test_boilerplate_can_stay(md):
             "t\n\n- a\n    1. b\n        - c\n        - d\n    2. e\n- f\n\nu",
         ),
         ("<ul><li>a<ul><li>b</li></ul>tail</li><li>c</li></ul>", "- a\n    - b\n    tail\n- c"),
+        ("<ul><li>a<ul><li>b</ul> tail<li>c<ul><li>d</ul><p>e</ul>", "- a\n    - b\n    tail\n- c\n    - d\n\ne"),
         ("<ol><li><ul><li>b</ul></ol>", "1.\n    - b"),
         ("<ul><li></li><li>x</li></ul>", "-\n- x"),
         ("<li>loose<li>items</ul>", "- loose\n- items"),
