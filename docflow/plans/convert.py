@@ -11,8 +11,8 @@ from docflow.config import ConvertConfig
 from docflow.operators.convert import convert_documents, convert_html
 from docflow.operators.results import flatten_results
 from docflow.operators.validate import Rule, ends_with, file_rules, validate
-from docflow.sources.content import read_content
-from docflow.sources.listing import documents_from_paths
+from docflow.sources.content import opened
+from docflow.sources.listing import documents_from_paths, list_documents
 from docflow.sources.tables import documents_from_table
 
 # Types the built-in converter reads.
@@ -47,6 +47,22 @@ def convert_pages(
     return convert_valid(documents, [ends_with("</html>")] if complete_only else [], config=config)
 
 
+def convert_listing(
+    listing: DataFrame,
+    converter: Callable | None = None,
+    config: ConvertConfig | None = None,
+    extensions: tuple[str, ...] = (".pdf",),
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Every row of a listing to one flat result; the files are opened in the tasks."""
+    if converter is None and not HTML_SUFFIXES.issuperset(extensions):
+        raise ValueError(f"files of type {', '.join(extensions)} need a converter")
+    rules = file_rules(*extensions)
+    if converter is None:
+        rules.append(Rule("unreadable", F.col("content").isNotNull()))
+    return convert_valid(opened(listing, num_partitions), rules, converter, config)
+
+
 def convert_directory(
     spark: SparkSession,
     path: str,
@@ -62,13 +78,7 @@ def convert_directory(
     Files are opened in the tasks, hidden and empty ones, too. A plug-in gets the bytes,
     or null if they are too many for one value, and then opens the file by its path.
     """
-    if converter is None and not HTML_SUFFIXES.issuperset(extensions):
-        raise ValueError(f"files of type {', '.join(extensions)} need a converter")
-    documents = read_content(spark, path, pattern, recursive, num_partitions)
-    rules = file_rules(*extensions)
-    if converter is None:
-        rules.append(Rule("unreadable", F.col("content").isNotNull()))
-    return convert_valid(documents, rules, converter, config)
+    return convert_listing(list_documents(spark, path, pattern, recursive), converter, config, extensions, num_partitions)
 
 
 def convert_one(

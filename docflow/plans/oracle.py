@@ -257,7 +257,12 @@ SELECT {_FILE_NAME} AS file_name, size || ' bytes' AS reason FROM {_FILES} WHERE
 SELECT {_FILE_NAME} AS file_name, true AS success, CAST(size AS VARCHAR) AS content,
        CAST(NULL AS VARCHAR) AS error_message
 FROM {_FILES}""",
+    "job_resumed": f"""
+SELECT {_FILE_NAME} AS file_name, CAST(size AS VARCHAR) AS content, CAST(1 AS BIGINT) AS times FROM {_FILES}""",
+    "dealing_by_size": """
+SELECT count(*) AS documents, CAST(sum(octet_length(encode(text))) AS BIGINT) AS bytes, true AS even FROM documents""",
     "jsonl_roundtrip": RESULTS,
+    "jsonl_overwrite": RESULTS,
     "stream_convert": RESULTS,
     "stream_documents": f"""
 SELECT {_FILE_NAME} AS file_name, true AS success, CAST(size AS VARCHAR) AS content FROM {_FILES}

@@ -11,6 +11,7 @@ import signal
 import time
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +27,10 @@ from docflow.plans import convert as plans
 from docflow.plans.job import run_job
 from docflow.schemas import OUTPUT_SCHEMA
 from docflow.session import scratch_dir, ship_package
-from docflow.sinks import write_jsonl
-from docflow.sources import balance, checked_documents, documents_from_table, read_content
+from docflow.sinks import Manifest, write_jsonl
+from docflow.sources import balance, checked_documents, deal_by_size, documents_from_table, read_content
 from docflow.sources import list_documents as listing
+from docflow.sources.dealing import FILE_BYTES
 from docflow.streaming import stream_documents as document_stream
 from docflow.streaming import stream_results
 
@@ -407,6 +409,50 @@ def job_failures(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def job_resumed(spark: SparkSession, folder: str) -> DataFrame:
+    """A job that is broken off after its first chunk and goes on: each file is done once."""
+    ship_package(spark)
+    output = scratch_dir(spark, "resumed")
+    for most in (1, None):
+        run_job(
+            spark, folder, output, byte_count_converter, pattern="*.parquet", extensions=(".parquet",), recursive=True,
+            resume=True, chunk_bytes=1 << 18, max_chunks=most,
+        )
+    manifest = Manifest(spark, output)
+    times = manifest.documents().groupBy("document_path").agg(F.count("*").alias("times"))
+    converted = manifest.results().filter("success").join(times, "document_path")
+    return converted.select(file_name(F.col("document_path")).alias("file_name"), "content", "times")
+
+
+def jsonl_overwrite(spark: SparkSession, folder: str) -> DataFrame:
+    """Results that a failing job tries to replace: the old ones stay."""
+    output = scratch_dir(spark, "jsonl")
+    results_ = convert_pages(spark, folder)
+    write_jsonl(results_, output)
+    broken = results_.withColumn("content", F.when(F.col("success"), F.raise_error(F.lit("broken off"))).otherwise(F.col("content")))
+    try:
+        write_jsonl(broken, output)
+    except PySparkException as error:
+        if "broken off" not in str(error):
+            raise
+    return spark.read.schema(OUTPUT_SCHEMA).json(output)
+
+
+def dealing_by_size(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files of their length, dealt out to 16 tasks: how far the largest task exceeds what it may."""
+    documents = _table(spark, folder, "documents")
+    path = F.concat("source", F.lit("/"), F.col("doc_id"), F.lit(".txt"))
+    listing_ = documents_from_table(documents.withColumn("path", path), "path", size=F.octet_length("text"))
+    dealt = deal_by_size(listing_, 16).select("file_size", F.spark_partition_id().alias("task"))
+    cost = F.coalesce("file_size", F.lit(0)) + F.lit(FILE_BYTES)
+    loads = dealt.groupBy("task").agg(F.sum(cost).alias("load"), F.sum("file_size").alias("bytes"), F.count("*").alias("n"), F.max(cost).alias("most"))
+    share = F.sum("load") / F.lit(16)
+    return loads.agg(
+        F.sum("n").alias("documents"), F.sum("bytes").alias("bytes"),
+        (F.max("load") <= F.greatest(share * 1.25 + F.lit(FILE_BYTES), F.max("most"))).alias("even"),
+    )
+
+
 def preview_uncut(spark: SparkSession, folder: str) -> DataFrame:
     return results.preview(_page_results(spark, folder), n=40, width=None)
 
@@ -479,7 +525,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_paths": check_paths,
     "convert_directory": convert_directory,
     "job_failures": job_failures,
+    "job_resumed": job_resumed,
+    "dealing_by_size": dealing_by_size,
     "jsonl_roundtrip": jsonl_roundtrip,
+    "jsonl_overwrite": jsonl_overwrite,
     "stream_convert": stream_convert,
     "stream_documents": stream_documents,
 }

@@ -9,6 +9,7 @@ LISTING_SCHEMA = T.StructType([
     T.StructField("file_size", T.LongType(), True),
     T.StructField("is_file", T.BooleanType(), True),
     T.StructField("exists", T.BooleanType(), True),
+    T.StructField("modified", T.TimestampType(), True),
 ])
 
 RESULT_SCHEMA = T.StructType([

@@ -1,5 +1,7 @@
 """Where results go."""
 
-from docflow.sinks.jsonl import write_jsonl, write_results
+from docflow.sinks.jsonl import write_chunk, write_jsonl, write_results
+from docflow.sinks.manifest import Manifest, read_results
+from docflow.sinks.publish import recover, replace_folder
 
-__all__ = ["write_jsonl", "write_results"]
+__all__ = ["Manifest", "read_results", "recover", "replace_folder", "write_chunk", "write_jsonl", "write_results"]

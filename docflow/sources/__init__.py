@@ -1,6 +1,7 @@
 """Where documents come from: folders, path lists, tables."""
 
-from docflow.sources.content import read_content, with_content
+from docflow.sources.content import opened, read_content, with_content
+from docflow.sources.dealing import deal_by_size
 from docflow.sources.listing import (
     InputNotFound,
     NoDocuments,
@@ -15,9 +16,11 @@ __all__ = [
     "NoDocuments",
     "balance",
     "checked_documents",
+    "deal_by_size",
     "documents_from_paths",
     "documents_from_table",
     "list_documents",
+    "opened",
     "read_content",
     "with_content",
 ]

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from docflow.schemas import LISTING_SCHEMA
 from docflow.session import ship_package
+from docflow.sources.dealing import deal_by_size
 from docflow.sources.filesystem import read_file
 from docflow.sources.listing import list_documents
 
@@ -57,6 +58,11 @@ def with_content(documents: DataFrame, longest: int = LONGEST_VALUE) -> DataFram
     return documents.select(*names).mapInArrow(read, _CONTENT)
 
 
+def opened(listing: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """A listing with a ``content`` column, its names dealt out over the tasks by size first."""
+    return with_content(deal_by_size(listing, num_partitions or listing.sparkSession.sparkContext.defaultParallelism))
+
+
 def read_content(
     spark: SparkSession,
     path: str,
@@ -66,8 +72,7 @@ def read_content(
 ) -> DataFrame:
     """The listing of a folder with a ``content`` column.
 
-    ``num_partitions`` deals the names out before the files are opened; by default to
-    one task per core. The bytes of documents are never shuffled.
+    The names are dealt out to ``num_partitions`` tasks by size before the files are
+    opened; by default to one task per core. The bytes of documents are never shuffled.
     """
-    listing = list_documents(spark, path, pattern, recursive)
-    return with_content(listing.repartition(num_partitions or spark.sparkContext.defaultParallelism))
+    return opened(list_documents(spark, path, pattern, recursive), num_partitions)

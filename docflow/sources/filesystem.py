@@ -6,6 +6,7 @@ import os
 import re
 import stat
 from collections.abc import Iterator
+from datetime import UTC, datetime, timedelta
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -42,17 +43,23 @@ def _resolve(path: str) -> tuple[fs.FileSystem | None, str]:
     return system, f"{base.rstrip('/')}/{rest.lstrip('/')}"
 
 
-def file_status(path: str) -> tuple[bool, bool, int | None]:
-    """Whether there is such an entry, whether it is a file, and its size."""
+def _time(nanoseconds: int) -> datetime:
+    """Microseconds since 1970, as a time of UTC; the rest is cut off."""
+    return datetime.fromtimestamp(0, UTC) + timedelta(microseconds=nanoseconds // 1000)
+
+
+def file_status(path: str) -> tuple[bool, bool, int | None, datetime | None]:
+    """Whether there is such an entry, whether it is a file, its size, and when it was changed."""
     system, name = _resolve(path)
     if system is None:
         try:
             found = os.stat(name)
         except (OSError, ValueError):
-            return False, False, None
-        return True, stat.S_ISREG(found.st_mode), found.st_size if stat.S_ISREG(found.st_mode) else 0
+            return False, False, None, None
+        is_file = stat.S_ISREG(found.st_mode)
+        return True, is_file, found.st_size if is_file else 0, _time(found.st_mtime_ns)
     info = system.get_file_info(name)
-    return info.type != fs.FileType.NotFound, info.type == fs.FileType.File, info.size
+    return info.type != fs.FileType.NotFound, info.type == fs.FileType.File, info.size, info.mtime
 
 
 class Entry(NamedTuple):
@@ -66,6 +73,7 @@ class Entry(NamedTuple):
     is_folder: bool
     is_link: bool
     real: str | None
+    modified: datetime | None
 
 
 def _local_entry(path: str, found: os.DirEntry) -> Entry:
@@ -74,10 +82,10 @@ def _local_entry(path: str, found: os.DirEntry) -> Entry:
         status = found.stat()
     except OSError:
         # A link to nothing, or one that leads in a circle.
-        return Entry(path, found.name, None, False, False, False, link, None)
+        return Entry(path, found.name, None, False, False, False, link, None, None)
     is_file, is_folder = stat.S_ISREG(status.st_mode), stat.S_ISDIR(status.st_mode)
     real = os.path.realpath(found.path) if is_folder else None
-    return Entry(path, found.name, status.st_size if is_file else 0, is_file, True, is_folder, link, real)
+    return Entry(path, found.name, status.st_size if is_file else 0, is_file, True, is_folder, link, real, _time(status.st_mtime_ns))
 
 
 def entries(folder: str) -> Iterator[Entry]:
@@ -92,7 +100,8 @@ def entries(folder: str) -> Iterator[Entry]:
     for info in system.get_file_info(fs.FileSelector(name)):
         is_file, is_folder = info.type == fs.FileType.File, info.type == fs.FileType.Directory
         path = f"{base}/{info.base_name}"
-        yield Entry(path, info.base_name, info.size or 0, is_file, info.type != fs.FileType.NotFound, is_folder, False, path if is_folder else None)
+        exists, real = info.type != fs.FileType.NotFound, path if is_folder else None
+        yield Entry(path, info.base_name, info.size or 0, is_file, exists, is_folder, False, real, info.mtime)
 
 
 def read_file(path: str) -> bytes:

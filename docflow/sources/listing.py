@@ -33,6 +33,7 @@ _ARROW_SCHEMA = pa.schema([
     pa.field("file_size", pa.int64()),
     pa.field("is_file", pa.bool_()),
     pa.field("exists", pa.bool_()),
+    pa.field("modified", pa.timestamp("us", tz="UTC")),
 ])
 
 
@@ -65,7 +66,7 @@ def _compiled(pattern: str) -> re.Pattern:
 
 
 def _is_folder(folder: str) -> bool:
-    exists, is_file, _ = file_status(folder)
+    exists, is_file, *_ = file_status(folder)
     return exists and not is_file
 
 
@@ -95,11 +96,11 @@ def folder_rows(folder: str, matches: Callable[[str], object], deep: bool) -> It
         for e in entries(folder):
             match = bool(matches(e.name))
             if match or (deep and e.is_folder):
-                yield e.path, e.name, e.size, e.is_file, e.exists, match, e.is_folder, e.is_link, e.real
+                yield e.path, e.name, e.size, e.is_file, e.exists, e.modified, match, e.is_folder, e.is_link, e.real
     except OSError:
         name = os.path.basename(folder)
         if not matches(name):
-            yield folder, name, 0, False, True, True, False, False, None
+            yield folder, name, 0, False, True, None, True, False, False, None
 
 
 def _write_level(folders: DataFrame, matches: Callable[[str], object], deep: bool, path: str) -> dict:
@@ -194,8 +195,8 @@ def checked_documents(paths: DataFrame, path_col: str = "document_path") -> Data
         for batch in batches:
             rows = []
             for path in batch.column(0).to_pylist():
-                exists, is_file, size = file_status(path) if path is not None else (False, False, None)
-                rows.append((path, None, size, is_file, exists))
+                exists, is_file, size, modified = file_status(path) if path is not None else (False, False, None, None)
+                rows.append((path, None, size, is_file, exists, modified))
             yield from _batches(iter(rows), _ARROW_SCHEMA)
 
     found = paths.select(F.col(path_col).cast("string").alias("document_path")).mapInArrow(look_up, LISTING_SCHEMA)

@@ -1,5 +1,6 @@
 import os
 
+import numpy as np
 import pytest
 from conftest import plan
 from docflow.operators import file_rules, has_suffix, validate
@@ -16,6 +17,7 @@ from docflow.sources import (
     read_content,
     with_content,
 )
+from docflow.sources.dealing import FILE_BYTES, deal_by_size, largest_first, room_below_level
 from docflow.sources.listing import _compiled, folder_rows
 from faulty_converters import opens_path, well_behaved
 from pyspark.sql import functions as F
@@ -84,7 +86,7 @@ def test_listing_of_a_tree_with_links_and_pipes(spark, tmp_path):
     plain = {f"year/m{i}/d{j}/f.pdf" for i in range(12) for j in range(3)}
     # The folder that two links lead to is listed at the level that reaches it first.
     assert set(rows) == plain | {f"year/{n}.pdf" for n in ("dead", "round", "linked", "pipe")} | {"year/m4/sub/o.pdf"}
-    assert [rows[f"year/{n}.pdf"][2:] for n in ("dead", "round", "pipe", "linked")] == [
+    assert [rows[f"year/{n}.pdf"][2:5] for n in ("dead", "round", "pipe", "linked")] == [
         (None, False, False), (None, False, False), (0, False, True), (2, True, True)
     ]
     results = convert_directory(spark, str(root), lambda: lambda p, c: str(len(c)), recursive=True).collect()
@@ -112,7 +114,7 @@ def test_a_listing_is_made_once(spark, tmp_path):
 
 def test_a_folder_that_cannot_be_read_is_a_row(tmp_path):
     rows = list(folder_rows(f"file:{tmp_path}/secret", _compiled("*.pdf").match, True))
-    assert rows == [(f"file:{tmp_path}/secret", "secret", 0, False, True, True, False, False, None)]
+    assert rows == [(f"file:{tmp_path}/secret", "secret", 0, False, True, None, True, False, False, None)]
     # Its parent has listed one whose name matches.
     assert list(folder_rows(f"file:{tmp_path}/secret.pdf", _compiled("*.pdf").match, True)) == []
 
@@ -204,6 +206,39 @@ def test_one_document_by_path(spark, folder):
     assert (row.success, row.error_message) == (False, "Invalid file")
 
 
+def listed(spark, sizes):
+    rows = [(f"f{i}", f"f{i}", s, True, True, None) for i, s in enumerate(sizes)]
+    return spark.createDataFrame(rows, LISTING_SCHEMA).repartition(3)
+
+
+@pytest.mark.parametrize("kind", ["equal", "few large", "one huge", "spread", "none"])
+def test_dealing_by_size_is_even(spark, kind):
+    draw = np.random.default_rng(1)
+    sizes = {
+        "equal": [1000] * 500,
+        "few large": [10**8] * 5 + [10**6] * 400,
+        "one huge": [10**9] + [10**6] * 300,
+        "spread": (10 ** draw.uniform(3, 9, 300)).astype(int).tolist(),
+        "none": [None, 0, None],
+    }[kind]
+    dealt = deal_by_size(listed(spark, sizes), 8)
+    assert dealt.rdd.getNumPartitions() == 8 and dealt.columns == LISTING_SCHEMA.fieldNames()
+    parts = [[r.file_size or 0 for r in part] for part in dealt.rdd.glom().collect()]
+    assert sorted(s for p in parts for s in p) == sorted(s or 0 for s in sizes)
+    loads = [sum(s + FILE_BYTES for s in p) for p in parts]
+    share = sum(loads) / 8
+    assert max(loads) <= max(1.25 * share + FILE_BYTES, max(s or 0 for s in sizes) + FILE_BYTES)
+
+
+def test_largest_first_and_levels():
+    assert largest_first([5, 9, 3, 3], 2) == ([1, 0, 1, 1], [9, 11])
+    for loads, amount in (([0, 0, 0], 10), ([5, 1, 9], 4), ([5, 1, 9], 40), ([7], 3), ([3, 3], 0)):
+        room = room_below_level(loads, amount)
+        assert sum(room) == amount and min(room) >= 0
+        filled = [a + b for a, b in zip(loads, room)]
+        assert all(f <= min(filled) + len(loads) for f, r in zip(filled, room) if r)
+
+
 def test_balance(spark):
     few = spark.range(100, numPartitions=2)
     assert balance(few, 7).rdd.getNumPartitions() == 7

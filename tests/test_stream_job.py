@@ -12,9 +12,12 @@ from docflow.plans.convert import convert_valid
 from docflow.plans.job import _arguments, run_job
 from docflow.schemas import OUTPUT_SCHEMA
 from docflow.session import scratch_dir
+from docflow.sinks import read_results, recover, write_results
 from docflow.sources import InputNotFound, list_documents
+from docflow.sources.dealing import FILE_BYTES
 from docflow.streaming import missing_documents, stream_documents, stream_results
 from faulty_converters import misbehaving_on_bytes as text_converter
+from pyspark.sql import functions as F
 
 
 def test_stream_takes_each_file_once(spark, tmp_path):
@@ -107,6 +110,97 @@ def test_documents_are_converted_once(spark, texts, tmp_path):
     assert len(os.listdir(marks)) == 3
 
 
+def marked_converter(marks):
+    def converter():
+        import tempfile
+
+        def convert(path, content):
+            if content == b"raise":
+                raise ValueError("refused")
+            tempfile.mkstemp(dir=marks, prefix=os.path.basename(path))
+            return content.decode()
+
+        return convert
+
+    return converter
+
+
+def contents(df):
+    return sorted((os.path.basename(r.document_path), r.success, r.content) for r in df.collect())
+
+
+def test_a_job_that_was_broken_off_goes_on(spark, tmp_path):
+    source, marks, out = tmp_path / "in", str(tmp_path / "marks"), scratch_dir(spark, "job")
+    source.mkdir()
+    os.mkdir(marks)
+    for i in range(40):
+        (source / f"{i}.pdf").write_text("raise" if i % 10 == 0 else f"text {i}")
+    converter = marked_converter(marks)
+    run = lambda **more: run_job(spark, str(source), out, converter, resume=True, chunk_bytes=8 * FILE_BYTES, **more)
+    first = run(max_chunks=2)
+    assert 0 < first.total < 40 and first.total == read_results(spark, out).count()
+    # What an attempt without an end has left behind is not read, and removed by the next.
+    os.makedirs(f"{out}/chunk=2/status=succeeded")
+    with open(f"{out}/chunk=2/status=succeeded/part-0.json", "w") as file:
+        file.write('{"document_path": "x", "success": true}\n')
+    assert read_results(spark, out).count() == first.total
+    second = run()
+    assert second[:3] == (40, 36, 4) and second.failures.count() == 4
+    expected = sorted((f"{i}.pdf", i % 10 != 0, "" if i % 10 == 0 else f"text {i}") for i in range(40))
+    assert contents(read_results(spark, out)) == expected
+    assert len(os.listdir(marks)) == 36
+    # Nothing new; then a new file, a changed one and one that now can be read.
+    assert run()[:3] == (40, 36, 4) and len(os.listdir(marks)) == 36
+    (source / "new.pdf").write_text("new")
+    (source / "7.pdf").write_text("changed")
+    (source / "10.pdf").write_text("mended")
+    assert run()[:3] == (41, 38, 3) and len(os.listdir(marks)) == 39
+    found = {name: text for name, _, text in contents(read_results(spark, out))}
+    assert len(found) == 41 and (found["7.pdf"], found["10.pdf"], found["new.pdf"]) == ("changed", "mended", "new")
+    assert read_results(spark, out).count() == 41
+
+
+def test_a_chunk_whose_manifest_is_missing_is_made_again(spark, tmp_path):
+    source, marks, out = tmp_path / "in", str(tmp_path / "marks"), scratch_dir(spark, "job")
+    source.mkdir()
+    os.mkdir(marks)
+    for i in range(6):
+        (source / f"{i}.pdf").write_text(f"{i}")
+    run = lambda: run_job(spark, str(source), out, marked_converter(marks), resume=True)
+    assert run()[:3] == (6, 6, 0)
+    os.unlink(f"{out}/_manifest/chunk=0/documents/_SUCCESS")
+    assert read_results(spark, out).count() == 0
+    assert run()[:3] == (6, 6, 0) and len(contents(read_results(spark, out))) == 6
+
+
+def test_a_result_without_manifest_is_not_continued(spark, texts):
+    out = scratch_dir(spark, "job")
+    run_job(spark, texts, out, text_converter)
+    with pytest.raises(ValueError, match="without a manifest"):
+        run_job(spark, texts, out, text_converter, resume=True)
+    assert read_results(spark, out).count() == 3
+
+
+def test_a_failing_job_leaves_the_old_result(spark, tmp_path):
+    out = str(tmp_path / "out")
+    good = spark.range(5).select(F.col("id").cast("string").alias("document_path"), F.lit(True).alias("success"))
+    write_results(good, out)
+    bad = good.select(F.when(F.col("document_path") == "3", F.raise_error(F.lit("no"))).otherwise("9").alias("document_path"), "success")
+    with pytest.raises(Exception, match="no"):
+        write_results(bad, out)
+    assert sorted(r.document_path for r in read_results(spark, out).collect()) == list("01234")
+    assert sorted(os.listdir(tmp_path)) == ["out"]
+    write_results(good.where("document_path > 2"), out)
+    assert read_results(spark, out).count() == 2 and sorted(os.listdir(tmp_path)) == ["out"]
+    # A run that ended after it had moved the old result away.
+    os.rename(out, tmp_path / ".out.previous")
+    recover(spark, out)
+    assert read_results(spark, out).count() == 2
+    os.rename(out, tmp_path / ".out.previous")
+    write_results(good, out)
+    assert read_results(spark, out).count() == 5 and sorted(os.listdir(tmp_path)) == ["out"]
+
+
 def test_scratch_needs_shared_folder(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
