@@ -253,6 +253,7 @@ SELECT k <> 2 AS "exists", CASE k WHEN 1 THEN 'is_file' WHEN 2 THEN 'exists' END
 FROM paths GROUP BY k""",
     "job_failures": f"""
 SELECT {_FILE_NAME} AS file_name, size || ' bytes' AS reason FROM {_FILES} WHERE size > 10000""",
+    "documents_source": "SELECT doc_id FROM documents WHERE doc_id % 5 = 3",
     "convert_directory": f"""
 SELECT {_FILE_NAME} AS file_name, true AS success, CAST(size AS VARCHAR) AS content,
        CAST(NULL AS VARCHAR) AS error_message
@@ -264,6 +265,10 @@ SELECT count(*) AS documents, CAST(sum(octet_length(encode(text))) AS BIGINT) AS
     "jsonl_roundtrip": RESULTS,
     "jsonl_overwrite": RESULTS,
     "stream_convert": RESULTS,
+    "stream_every_file": """
+SELECT coalesce(source, 'none') AS kind, CAST(sum(length(CAST(doc_id AS VARCHAR)) + 1) AS BIGINT) AS bytes, true AS success
+FROM documents GROUP BY ALL
+UNION ALL SELECT '_SUCCESS', NULL, false""",
     "stream_documents": f"""
 SELECT {_FILE_NAME} AS file_name, true AS success, CAST(size AS VARCHAR) AS content FROM {_FILES}
 WHERE regexp_extract(filename, '/(pages[.]parquet(/[^/]*)?)$', 1) <> ''""",

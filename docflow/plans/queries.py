@@ -28,11 +28,11 @@ from docflow.plans.job import run_job
 from docflow.schemas import OUTPUT_SCHEMA
 from docflow.session import scratch_dir, ship_package
 from docflow.sinks import Manifest, write_jsonl
-from docflow.sources import balance, checked_documents, deal_by_size, documents_from_table, read_content
+from docflow.sources import balance, checked_documents, deal_by_size, documents_from_table, read_content, read_documents
 from docflow.sources import list_documents as listing
 from docflow.sources.dealing import FILE_BYTES
 from docflow.streaming import stream_documents as document_stream
-from docflow.streaming import stream_results
+from docflow.streaming import stream_every_document, stream_results
 
 # Documents below this length make the example converters fail.
 SHORT = 100
@@ -372,6 +372,38 @@ def check_paths(spark: SparkSession, folder: str) -> DataFrame:
     return checked.groupBy("exists", "failed_rule").agg(F.count("*").alias("documents"), F.countDistinct("document_path").alias("paths"))
 
 
+def documents_source(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents' ids as files in a tree, of which a source with pushed filters opens some."""
+    root = scratch_dir(spark, "tree")
+    shelf = F.concat(F.lit("shelf"), F.col("doc_id") % 5)
+    documents = _table(spark, folder, "documents").select(shelf.alias("shelf"), F.col("doc_id").cast("string").alias("value"))
+    documents.write.partitionBy("shelf").text(root)
+    found = read_documents(spark, root).where("file_name LIKE '%.txt' AND document_path LIKE '%/shelf=shelf3/%' AND file_size > 0")
+    ids = F.explode(F.split(F.btrim(F.col("content").cast("string"), F.lit("\n")), "\n"))
+    return found.select(ids.alias("id")).select(F.col("id").cast("long").alias("doc_id"))
+
+
+def stream_every_file(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream over files of the documents' ids, with the empty mark of the writer, run twice."""
+    ship_package(spark)
+    work = scratch_dir(spark, "stream")
+    source = F.coalesce("source", F.lit("none")).alias("source")
+    documents = _table(spark, folder, "documents").select(source, F.col("doc_id").cast("string").alias("value"))
+    documents.write.partitionBy("source").text(f"{work}/in")
+
+    def convert(arrived: DataFrame) -> DataFrame:
+        return plans.convert_valid(arrived, [not_empty()], byte_count_converter)
+
+    for _ in range(2):
+        files = stream_every_document(spark, f"{work}/in", f"{work}/log", "{*.txt,_SUCCESS}", recursive=True)
+        stream_results(files, f"{work}/out", f"{work}/checkpoint", convert).awaitTermination()
+    converted = spark.read.schema(OUTPUT_SCHEMA).json(f"{work}/out")
+    kind = F.coalesce(F.nullif(F.regexp_extract("document_path", "/source=([^/]*)/", 1), F.lit("")), file_name(F.col("document_path")))
+    return converted.groupBy(kind.alias("kind")).agg(
+        F.sum(F.col("content").try_cast("long")).alias("bytes"), F.bool_and("success").alias("success")
+    )
+
+
 def convert_directory(spark: SparkSession, folder: str) -> DataFrame:
     """The whole batch job over the folder of tables: list, convert, write, read back."""
     ship_package(spark)
@@ -523,6 +555,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tree_listing": tree_listing,
     "read_content": read_file_content,
     "check_paths": check_paths,
+    "documents_source": documents_source,
     "convert_directory": convert_directory,
     "job_failures": job_failures,
     "job_resumed": job_resumed,
@@ -531,4 +564,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "jsonl_overwrite": jsonl_overwrite,
     "stream_convert": stream_convert,
     "stream_documents": stream_documents,
+    "stream_every_file": stream_every_file,
 }

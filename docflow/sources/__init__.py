@@ -1,6 +1,7 @@
 """Where documents come from: folders, path lists, tables."""
 
 from docflow.sources.content import opened, read_content, with_content
+from docflow.sources.datasource import read_documents
 from docflow.sources.dealing import deal_by_size
 from docflow.sources.listing import (
     InputNotFound,
@@ -22,5 +23,6 @@ __all__ = [
     "list_documents",
     "opened",
     "read_content",
+    "read_documents",
     "with_content",
 ]

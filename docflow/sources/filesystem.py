@@ -10,6 +10,7 @@ from datetime import UTC, datetime, timedelta
 from functools import lru_cache
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyarrow import fs
 
 _SCHEME = re.compile(r"^([a-zA-Z][a-zA-Z0-9+.-]*):(//([^/]*))?(.*)$", re.DOTALL)
@@ -111,3 +112,33 @@ def read_file(path: str) -> bytes:
             return file.read()
     with system.open_input_stream(name) as file:
         return file.read()
+
+
+def names_in(folder: str) -> list[str]:
+    system, name = _resolve(folder)
+    if system is None:
+        return os.listdir(name)
+    return [info.base_name for info in system.get_file_info(fs.FileSelector(name))]
+
+
+def make_folder(folder: str) -> None:
+    system, name = _resolve(folder)
+    if system is None:
+        os.makedirs(name, exist_ok=True)
+    else:
+        system.create_dir(name)
+
+
+def open_input(path: str) -> pa.NativeFile:
+    system, name = _resolve(path)
+    return (system or fs.LocalFileSystem()).open_input_file(name)
+
+
+def open_output(path: str) -> pa.NativeFile:
+    system, name = _resolve(path)
+    return (system or fs.LocalFileSystem()).open_output_stream(name)
+
+
+def rename(old: str, new: str) -> None:
+    system, name = _resolve(old)
+    (system or fs.LocalFileSystem()).move(name, _resolve(new)[1])

@@ -56,7 +56,13 @@ def full_path(path: str) -> str:
     return f"{root}{rest}" if root not in ("", "file:") else f"file:{os.path.abspath(rest)}"
 
 
-def _compiled(pattern: str) -> re.Pattern:
+def real_path(path: str) -> str:
+    """What ``entries`` gives as the real path of a folder with this full path."""
+    scheme, rest = split_path(path)
+    return os.path.realpath(rest) if scheme == "file:" else path
+
+
+def compiled(pattern: str) -> re.Pattern:
     """A glob of names: ``*``, ``?``, ``[a-z]``, ``[^a-z]`` and ``{one,other}``."""
     alternatives = [""]
     for part in re.split(r"(\{[^{}]*\})", pattern):
@@ -155,12 +161,11 @@ def list_documents(
     if not _is_folder(root):
         raise InputNotFound(f"no such folder: {path}")
     ship_package(spark)
-    matches = _compiled(pattern).match
+    matches = compiled(pattern).match
     base = scratch_dir(spark, "listing")
     levels: list[DataFrame] = []
     documents, links, slots = 0, 0, spark.sparkContext.defaultParallelism
-    real_root = root if split_path(root)[0] != "file:" else os.path.realpath(split_path(root)[1])
-    seen = spark.range(1).select(F.lit(real_root).alias("real"))
+    seen = spark.range(1).select(F.lit(real_path(root)).alias("real"))
     folders = spark.range(0, 1, 1, 1).select(F.lit(root).alias("document_path"))
     while True:
         written = f"{base}/level-{len(levels)}"

@@ -1,6 +1,7 @@
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import plan
 from docflow.operators import file_rules, has_suffix, validate
@@ -15,11 +16,13 @@ from docflow.sources import (
     documents_from_table,
     list_documents,
     read_content,
+    read_documents,
     with_content,
 )
 from docflow.sources.dealing import FILE_BYTES, deal_by_size, largest_first, room_below_level
-from docflow.sources.listing import _compiled, folder_rows
+from docflow.sources.listing import compiled, folder_rows
 from faulty_converters import opens_path, well_behaved
+from pyspark.sql import datasource as ds
 from pyspark.sql import functions as F
 
 PDFS = {"a.pdf", "b c%20é.pdf", ".hid.pdf", "_u.pdf", "empty.pdf", "dir.pdf"}
@@ -113,10 +116,10 @@ def test_a_listing_is_made_once(spark, tmp_path):
 
 
 def test_a_folder_that_cannot_be_read_is_a_row(tmp_path):
-    rows = list(folder_rows(f"file:{tmp_path}/secret", _compiled("*.pdf").match, True))
+    rows = list(folder_rows(f"file:{tmp_path}/secret", compiled("*.pdf").match, True))
     assert rows == [(f"file:{tmp_path}/secret", "secret", 0, False, True, None, True, False, False, None)]
     # Its parent has listed one whose name matches.
-    assert list(folder_rows(f"file:{tmp_path}/secret.pdf", _compiled("*.pdf").match, True)) == []
+    assert list(folder_rows(f"file:{tmp_path}/secret.pdf", compiled("*.pdf").match, True)) == []
 
 
 def test_missing_and_empty_folder(spark, folder, tmp_path):
@@ -239,6 +242,54 @@ def test_largest_first_and_levels():
         assert all(f <= min(filled) + len(loads) for f, r in zip(filled, room) if r)
 
 
+def test_source_opens_what_passes(spark, folder, monkeypatch):
+    found = read_documents(spark, folder)
+    assert {r.file_name: r.content and bytes(r.content) for r in found.where("file_name LIKE '%.pdf'").collect()} == {
+        n: None if n == "dir.pdf" else b"" if n == "empty.pdf" else f"bytes of {'sub/' if n == 's.pdf' else ''}{n}".encode() for n in PDFS | {"s.pdf"}
+    }
+    some = found.where("file_name LIKE '%.pdf' AND file_size > 0 AND file_size < 18 AND is_file AND file_name <> 'a.pdf' AND file_name IN ('a.pdf', 'n.txt', '_u.pdf')")
+    assert names(some) == {"_u.pdf"}
+    assert some.count() == 1 and "content" not in read_documents(spark, folder, content=False).columns
+    with pytest.raises(Exception, match="read_documents"):
+        spark.read.format("documents").load(folder).count()
+    # The reader itself, in this process, to count what it opens.
+    from docflow.sources import datasource as source
+
+    paths = []
+    monkeypatch.setattr(source, "read_file", lambda path: paths.append(os.path.basename(path)) or b"x")
+    where = [ds.StringEndsWith(("file_name",), ".pdf"), ds.GreaterThan(("file_size",), 0), ds.EqualTo(("content",), b"x")]
+    place = spark.conf.get("spark.checkpoint.dir")
+    latest = max((os.path.join(place, n) for n in os.listdir(place) if n.startswith("documents-")), key=os.path.getmtime)
+    reader = source.DocumentReader(source.DOCUMENT_SCHEMA, {"listing": latest})
+    assert list(reader.pushFilters(where)) == where[2:]
+    rows = [r for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()]
+    assert sorted(paths) == sorted(r["file_name"] for r in rows) == sorted(PDFS - {"empty.pdf", "dir.pdf"} | {"s.pdf"})
+
+
+def test_pushed_filters_against_sql(spark):
+    """Each kind of filter over values and nulls, against Spark's own evaluation."""
+    from docflow.sources.datasource import _LISTING, can_filter, passes
+
+    rows = [("a/x.pdf", "x.pdf", 5, True, True, None), ("b", None, None, None, True, None), (None, "y.txt", 0, False, False, None)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _LISTING)], schema=_LISTING)
+    spark.createDataFrame(rows, LISTING_SCHEMA).createOrReplaceTempView("named")
+    kinds = {
+        "file_name = 'x.pdf'": ds.EqualTo(("file_name",), "x.pdf"), "file_size <=> 5": ds.EqualNullSafe(("file_size",), 5),
+        "file_size <=> NULL": ds.EqualNullSafe(("file_size",), None), "file_size > 0": ds.GreaterThan(("file_size",), 0),
+        "file_size >= 0": ds.GreaterThanOrEqual(("file_size",), 0), "file_size < 5": ds.LessThan(("file_size",), 5),
+        "file_size <= 5": ds.LessThanOrEqual(("file_size",), 5), "file_size IN (5, 7)": ds.In(("file_size",), (5, 7)),
+        "file_size IN (5, NULL)": ds.In(("file_size",), (5, None)), "file_name IS NULL": ds.IsNull(("file_name",)),
+        "file_name IS NOT NULL": ds.IsNotNull(("file_name",)), "startswith(file_name, 'x')": ds.StringStartsWith(("file_name",), "x"),
+        "endswith(file_name, 'txt')": ds.StringEndsWith(("file_name",), "txt"), "contains(document_path, '/')": ds.StringContains(("document_path",), "/"),
+        "is_file = true": ds.EqualTo(("is_file",), True),
+    }
+    for text, given in kinds.items():
+        for sql, pushed in ((text, given), (f"NOT ({text})", ds.Not(given))):
+            assert can_filter(pushed)
+            kept = [r[0] for r in spark.sql(f"SELECT document_path FROM named WHERE {sql}").collect()]
+            assert batch.filter(passes(pushed, batch)).column(0).to_pylist() == kept, sql
+
+
 def test_balance(spark):
     few = spark.range(100, numPartitions=2)
     assert balance(few, 7).rdd.getNumPartitions() == 7

@@ -15,7 +15,7 @@ from docflow.session import scratch_dir
 from docflow.sinks import read_results, recover, write_results
 from docflow.sources import InputNotFound, list_documents
 from docflow.sources.dealing import FILE_BYTES
-from docflow.streaming import missing_documents, stream_documents, stream_results
+from docflow.streaming import missing_documents, stream_documents, stream_every_document, stream_results
 from faulty_converters import misbehaving_on_bytes as text_converter
 from pyspark.sql import functions as F
 
@@ -50,6 +50,34 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert [r.file_name for r in missing.collect()] == ["empty.html"]
 
 
+def test_stream_of_every_file(spark, tmp_path):
+    """Hidden and empty files, sub-folders, links and folders of a matching name, each once, over restarts."""
+    source, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    (source / "sub").mkdir(parents=True)
+
+    def run():
+        documents = stream_every_document(spark, str(source), f"{checkpoint}-log", "*.html", recursive=True)
+        convert = lambda docs: convert_valid(docs, file_rules(".html"), lambda: lambda p, c: c.decode())
+        stream_results(documents, out, checkpoint, convert).awaitTermination()
+        rows = spark.read.schema(OUTPUT_SCHEMA).json(out).collect()
+        return sorted((r.document_path.removeprefix(f"file:{source}/"), r.success, r.content) for r in rows)
+
+    (source / "a.html").write_text("a")
+    (source / ".hidden.html").write_text("h")
+    (source / "empty.html").touch()
+    (source / "other.txt").write_text("t")
+    os.symlink(source, source / "sub" / "up")
+    first = [(".hidden.html", True, "h"), ("a.html", True, "a"), ("empty.html", True, "")]
+    rows = run()
+    assert rows == first or rows == [*first[:2], ("empty.html", False, "")]
+    first = rows
+    assert run() == first
+    (source / "sub" / "_b.html").write_text("b")
+    (source / "sub" / "dir.html").mkdir()
+    assert run() == sorted([*first, ("sub/_b.html", True, "b"), ("sub/dir.html", False, "")])
+    assert len(run()) == 5
+
+
 def test_a_file_that_cannot_be_read_is_a_row_of_the_stream(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
