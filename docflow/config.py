@@ -33,6 +33,9 @@ class ConvertConfig:
     build_timeout_s
         Seconds a child process may take to build the converter; then the task
         fails and is tried elsewhere. ``None`` or 0 switches the limit off.
+    page_metadata
+        Let the built-in converter give ``document_metadata``: a page's title and its
+        named ``<meta>`` contents, as JSON.
     """
 
     timeout_s: float | None = 300.0
@@ -41,6 +44,7 @@ class ConvertConfig:
     drop_boilerplate: bool = True
     isolate: bool = False
     build_timeout_s: float | None = 600.0
+    page_metadata: bool = False
 
     def __post_init__(self) -> None:
         if self.image_mode not in IMAGE_MODES:

@@ -138,7 +138,7 @@ def keep_quoted_brackets(html: Column) -> Column:
         tags = F.regexp_extract_all(page, F.lit(_TAG), F.lit(0))
         return F.array_join(F.zip_with(F.split(page, _TAG, -1), tags, lambda text, tag: F.concat(text, whole(tag))), "")
 
-    return _bind(html, lambda page: F.when(page.rlike(_QUOTED_BRACKET), marked(page)).otherwise(page))
+    return bind(html, lambda page: F.when(page.rlike(_QUOTED_BRACKET), marked(page)).otherwise(page))
 
 
 def _keep_verbatim(page: Column) -> Column:
@@ -170,7 +170,7 @@ def visible(html: Column) -> Column:
         return F.regexp_replace(F.regexp_replace(page, r"[\x01-\x1d]", " "), _UNSEEN, "")
 
     page = keep_quoted_brackets(F.regexp_replace(html, f"[{QUOTED_LT}{QUOTED_GT}]", " "))
-    return _bind(page, lambda p: F.when(p.rlike(_VERBATIM), with_verbatim(p)).otherwise(plain(p)))
+    return bind(page, lambda p: F.when(p.rlike(_VERBATIM), with_verbatim(p)).otherwise(plain(p)))
 
 
 def drop_unseen(html: Column) -> Column:
@@ -186,7 +186,7 @@ def collapse_blanks(text: Column) -> Column:
     return F.regexp_replace(text, " {2,}", " ")
 
 
-def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once.
 
     Spark shares common parts of ordinary expressions by itself, but not what
@@ -224,7 +224,7 @@ def replace_tags(
     # A tag cut off by the end of the page is closed by the end mark's bracket.
     pieces = F.split(F.concat(html, F.lit(END + ">")), "<")
     joined = F.array_join(
-        _bind(pieces, lambda all_: F.zip_with(all_, F.transform(all_, name_of), rewritten)), ""
+        bind(pieces, lambda all_: F.zip_with(all_, F.transform(all_, name_of), rewritten)), ""
     )
     return F.replace(joined, F.lit(END + ">"), F.lit(""))
 
@@ -267,7 +267,7 @@ def decode_entities(text: Column) -> Column:
         )
 
     return F.array_join(
-        _bind(
+        bind(
             F.split(text, "&"),
             lambda all_: F.zip_with(all_, F.transform(all_, entity_of), rewritten),
         ),
@@ -301,7 +301,7 @@ def _render_tables(text: Column) -> Column:
     def table(piece: Column) -> Column:
         body = F.substring_index(piece, TABLE_END, 1)
         rest = F.substring(piece, F.length(body) + 1, F.lit(_ALL))
-        return F.concat(_bind(F.split(body_text(body), ROW), rendered), rest)
+        return F.concat(bind(F.split(body_text(body), ROW), rendered), rest)
 
     pieces = F.transform(
         F.split(text, TABLE), lambda piece, i: F.when(i == 0, piece).otherwise(table(piece))
@@ -363,7 +363,7 @@ def _tidy_indents(text: Column) -> Column:
 
 def _where_present(text: Column, mark: str, step: Callable[[Column], Column]) -> Column:
     """Apply a step only to texts that hold its mark; finding out costs far less."""
-    return _bind(text, lambda t: F.when(F.contains(t, F.lit(mark)), step(t)).otherwise(t))
+    return bind(text, lambda t: F.when(F.contains(t, F.lit(mark)), step(t)).otherwise(t))
 
 
 def _drop_boilerplate(text: Column) -> Column:

@@ -1,6 +1,6 @@
 """What is done with documents: validate, convert, report, take apart."""
 
-from docflow.operators.convert import Converted, convert_documents, convert_html, result_struct
+from docflow.operators.convert import Converted, convert_documents, convert_html, decode_content, result_struct
 from docflow.operators.results import (
     failures,
     failures_report,
@@ -27,6 +27,7 @@ __all__ = [
     "Rule",
     "convert_documents",
     "convert_html",
+    "decode_content",
     "document_blocks",
     "document_tables",
     "ends_with",

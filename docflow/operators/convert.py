@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docflow.config import ConvertConfig
+from docflow.functions.charsets import decoded
 from docflow.functions.html import html_to_markdown
 from docflow.functions.metadata import build_metadata, empty_metadata
+from docflow.functions.pages import page_metadata
 from docflow.operators.isolation import failure_text, worker_converter
 
 # Bytes of converted text a task collects before it hands them to Spark.
@@ -62,18 +64,35 @@ def convert_html(df: DataFrame, config: ConvertConfig | None = None) -> DataFram
     """
     path, text = F.col("document_path"), F.make_valid_utf8(F.col("content").cast("string"))
     text = F.regexp_replace(text, "^\ufeff", "")  # a byte-order mark
+    about = F.to_json(page_metadata(text)) if config and config.page_metadata else None
     return df.withColumn(
         "result",
         result_struct(
             F.col("is_valid"),
             F.when(F.col("is_valid"), html_to_markdown(text, config)),
-            build_metadata(path, F.col("file_size"), F.col("file_name")),
+            build_metadata(path, F.col("file_size"), F.col("file_name"), document_metadata=about),
             F.col("error_message"),
             path,
         ),
     )
 
 
+def decode_content(df: DataFrame) -> DataFrame:
+    """The bytes in ``content`` as text, by each page's own character set.
+
+    ``functions.charsets`` says how it is found. Null stays null; other columns stay as
+    they are, and so does their order.
+    """
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.array([None if b is None else decoded(b) for b in batch.column("content").to_pylist()], pa.string())
+            yield batch.set_column(batch.schema.get_field_index("content"), "content", texts)
+
+    fields = [T.StructField(f.name, T.StringType() if f.name == "content" else f.dataType) for f in df.schema]
+    return df.withColumn("content", F.col("content").cast("binary")).mapInArrow(decode, T.StructType(fields))
+
+
 def _clean(text: str) -> str:
     """Text that can be stored: halves of surrogate pairs are written out."""
     return text.encode("utf-8", "backslashreplace").decode("utf-8")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.config import ConvertConfig
-from docflow.operators.convert import convert_documents, convert_html
+from docflow.operators.convert import convert_documents, convert_html, decode_content
 from docflow.operators.results import flatten_results
 from docflow.operators.validate import Rule, ends_with, file_rules, validate
 from docflow.sources.content import opened
@@ -57,10 +57,11 @@ def convert_listing(
     """Every row of a listing to one flat result; the files are opened in the tasks."""
     if converter is None and not HTML_SUFFIXES.issuperset(extensions):
         raise ValueError(f"files of type {', '.join(extensions)} need a converter")
-    rules = file_rules(*extensions)
+    rules, documents = file_rules(*extensions), opened(listing, num_partitions)
     if converter is None:
         rules.append(Rule("unreadable", F.col("content").isNotNull()))
-    return convert_valid(opened(listing, num_partitions), rules, converter, config)
+        documents = decode_content(documents)
+    return convert_valid(documents, rules, converter, config)
 
 
 def convert_directory(
@@ -76,7 +77,8 @@ def convert_directory(
     """Every matching entry of a folder to one flat result.
 
     Files are opened in the tasks, hidden and empty ones, too. A plug-in gets the bytes,
-    or null if they are too many for one value, and then opens the file by its path.
+    or null if they are too many for one value, and then opens the file by its path. The
+    built-in converter gets the text, by each page's own character set.
     """
     return convert_listing(list_documents(spark, path, pattern, recursive), converter, config, extensions, num_partitions)
 

@@ -75,6 +75,15 @@ FROM pages"""
 RESULTS = _page_results(COMPLETE)
 
 
+def _decoded(text: str) -> str:
+    for old, new in _ENTITIES:
+        text = f"replace({text}, {_quoted(old)}, {_quoted(new)})"
+    return text
+
+
+_TITLE = _decoded("trim(regexp_replace(regexp_extract(html, '(?s)<title>([^<]*)</title>', 1), '[ \\t\\r\\n]+', ' ', 'g'))")
+
+
 def _cut(column: str) -> str:
     return f"CASE WHEN length({column}) > 50 THEN left({column}, 47) || '...' ELSE {column} END AS {column}"
 
@@ -140,6 +149,14 @@ FROM orders""".format(
         rest="chr(10) || chr(10) || 'Key State | S Priority' || chr(10) || o_orderkey || ' ' || o_orderstatus || ' '"
         " || o_orderpriority || chr(10) || chr(10) || 'End <here>'"
     ),
+    "page_charsets": f"SELECT url AS document_path, true AS success, {_markdown('html')} AS content FROM pages",
+    "page_metadata": f"""
+WITH titled AS (SELECT page_id, url, {_TITLE} AS title FROM pages)
+SELECT url AS document_path, CAST(CASE
+    WHEN page_id % 2 = 0 AND title <> '' THEN to_json(map(['description', 'og:url', 'title'], ['Page ' || page_id || ' & more > less', 'u' || page_id, title]))
+    WHEN page_id % 2 = 0 THEN to_json(map(['description', 'og:url'], ['Page ' || page_id || ' & more > less', 'u' || page_id]))
+    WHEN title <> '' THEN to_json(map(['title'], [title])) END AS VARCHAR) AS document_metadata
+FROM titled""",
     "document_blocks": f"""
 WITH blocks AS (
     SELECT document_path, unnest(string_split(content, chr(10) || chr(10))) AS text,

@@ -21,7 +21,7 @@ from docflow.functions.metadata import build_metadata, stringify_metadata
 from docflow.functions.metadata import file_metadata as file_entries
 from docflow.functions.paths import file_name, suffix, url_path
 from docflow.operators import results, structure
-from docflow.operators.convert import Converted
+from docflow.operators.convert import Converted, decode_content
 from docflow.operators.validate import Rule, ends_with, file_rules, has_suffix, not_empty, validate
 from docflow.plans import convert as plans
 from docflow.plans.job import run_job
@@ -161,6 +161,34 @@ def image_modes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def page_charsets(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages as bytes in five forms: marked UTF-8 and UTF-16, Windows-1252 declared or not, plain UTF-8."""
+    html, kind = F.col("html"), F.col("page_id") % 5
+    western = ~html.rlike("[^\\x00-\\xff]")
+    charset = lambda new: F.regexp_replace(html, '<meta charset="utf-8">', new)
+    marked = lambda mark, name: F.concat(F.unhex(F.lit(mark)), F.encode(html, name))
+    content = (
+        F.when(kind == 0, marked("EFBBBF", "UTF-8")).when(kind == 1, marked("FFFE", "UTF-16LE"))
+        .when((kind == 2) & western, F.encode(charset('<meta http-equiv="x" content="text/html; charset=Windows-1252">'), "ISO-8859-1"))
+        .when((kind == 3) & western, F.encode(charset(""), "ISO-8859-1")).otherwise(F.encode(html, "UTF-8"))
+    )
+    pages = _dealt(spark, folder, "pages").withColumn("bytes", content)
+    converted = plans.convert_valid(decode_content(documents_from_table(pages, "url", "bytes")), [])
+    return converted.select("document_path", "success", "content")
+
+
+def page_metadata(spark: SparkSession, folder: str) -> DataFrame:
+    """What pages say about themselves, with a description, an address and a repeated name added."""
+    added = F.concat(
+        F.lit('<head><meta name="Description" content="Page '), F.col("page_id"), F.lit(' &amp; more > less"><META content=u'),
+        F.col("page_id"), F.lit(" property='og:url'/><!-- <meta name=no content=no> --><meta name=description content=second>"),
+    )
+    pages = _dealt(spark, folder, "pages")
+    pages = pages.withColumn("html", F.replace("html", F.lit("<head>"), F.when(F.col("page_id") % 2 == 0, added).otherwise("<head>")))
+    converted = plans.convert_pages(pages, ConvertConfig(page_metadata=True))
+    return converted.select("document_path", F.get_json_object("metadata", "$.document_metadata").alias("document_metadata"))
+
+
 def document_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return structure.document_blocks(convert_pages(spark, folder))
 
@@ -535,6 +563,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_markdown": table_markdown,
     "list_markdown": list_markdown,
     "image_modes": image_modes,
+    "page_charsets": page_charsets,
+    "page_metadata": page_metadata,
     "document_blocks": document_blocks,
     "document_tables": document_tables,
     "table_spans": table_spans,

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -52,14 +53,11 @@ def ship_package(spark: SparkSession) -> str:
     application = spark.sparkContext.applicationId
     if application in _shipped:
         return _shipped[application]
-    root = os.path.dirname(os.path.abspath(__file__))
+    package = Path(__file__).resolve().parent
     archive = os.path.join(tempfile.mkdtemp(prefix="docflow-"), "docflow.zip")
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
-        for folder, _, names in sorted(os.walk(root)):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+        for module in sorted(package.rglob("*.py")):
+            out.write(module, module.relative_to(package.parent))
     spark.sparkContext.addPyFile(archive)
     _shipped[application] = archive
     return archive

@@ -2,7 +2,9 @@ import time
 
 import pytest
 from docflow.config import ConvertConfig
-from docflow.functions import html_to_markdown
+from docflow.functions import html_to_markdown, page_metadata
+from docflow.functions.charsets import decoded
+from docflow.plans.convert import convert_directory
 from pyspark.sql import functions as F
 
 
@@ -182,3 +184,71 @@ def test_time_grows_with_length_only(md, piece):
     start = time.monotonic()
     md(piece * 100_000)
     assert time.monotonic() - start < 10
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ("<head><title>\n a  &amp; b</title></head>", {"title": "a & b"}),
+        ("<HEAD><TITLE lang=x>t</TITLE><META NAME=A CONTENT='1 > 0'><meta property=\"og:x\" content=y><meta name=a content=2>", {"a": "1 > 0", "og:x": "y", "title": "t"}),
+        ("<meta name=title content=m><title>t</title>", {"title": "t"}),
+        ("<meta name=title content=m><body><title>t</title><meta name=b content=c>", {"title": "m"}),
+        ("<!-- <title>no</title> --><script>'<meta name=n content=o>'</script><meta charset=utf-8><meta name=e content=''>", None),
+        ("<title>never closed", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_page_metadata(spark, html, expected):
+    df = spark.createDataFrame([(html,)], "html string")
+    assert df.select(page_metadata(F.col("html"))).first()[0] == expected
+
+
+@pytest.mark.parametrize("piece", ["<title>", "<meta name=a content=b>", "<meta ", "<meta name='", "<title", "&amp;"])
+def test_time_of_metadata_grows_with_length_only(spark, piece):
+    for n in (10, 100_000):
+        df = spark.createDataFrame([(piece * n,)], "html string")
+        start = time.monotonic()
+        df.select(page_metadata(F.col("html"))).collect()
+    assert time.monotonic() - start < 10
+
+
+PAGE = "<p>Grüße – „naïve“ €5"
+
+
+@pytest.mark.parametrize(
+    "data, text",
+    [
+        (PAGE.encode(), PAGE),
+        (b"\xef\xbb\xbf" + PAGE.encode(), PAGE),
+        (PAGE.encode("utf-16"), PAGE),
+        (b"\xfe\xff" + PAGE.encode("utf-16-be"), PAGE),
+        (PAGE.encode("cp1252"), PAGE),
+        (b"<meta charset=latin1>" + PAGE.encode("cp1252"), "<meta charset=latin1>" + PAGE),
+        (b'<META http-equiv=c content="text/html; charset = \'windows-1252\'">\xc3\xa4', "<META http-equiv=c content=\"text/html; charset = 'windows-1252'\">Ã¤"),
+        ("<meta charset='shift_jis'>日本".encode("cp932"), "<meta charset='shift_jis'>日本"),
+        ('<?xml version="1.0" encoding="koi8-r"?>Привет'.encode("koi8-r"), '<?xml version="1.0" encoding="koi8-r"?>Привет'),
+        (b"<meta charset=utf-16>\xc3\xa4", "<meta charset=utf-16>ä"),
+        (b"<meta charset=rot13>\xc3\xa4", "<meta charset=rot13>ä"),
+        (b"<meta charset=none-such>\xe4", "<meta charset=none-such>ä"),
+        (b"<meta charset=unicode_escape>\\n\xe4", "<meta charset=unicode_escape>\\nä"),
+        (b"<meta charset=utf-8>\xe4.", "<meta charset=utf-8>\ufffd."),
+        (b"x" * 2000 + b"<meta charset=koi8-r>\xc3\xa4", "x" * 2000 + "<meta charset=koi8-r>ä"),
+        (b"\xff\xfea", "\ufffd"),
+        (b"\x81\xe4", "\ufffdä"),
+        (b"", ""),
+    ],
+)
+def test_charsets(data, text):
+    assert decoded(data) == text
+
+
+def test_pages_of_any_charset_in_a_folder(spark, tmp_path):
+    for name, data in (("a", PAGE.encode("cp1252")), ("b", PAGE.encode("utf-16")), ("c", PAGE.encode()), ("d", b"")):
+        (tmp_path / f"{name}.html").write_bytes(data)
+    rows = convert_directory(spark, str(tmp_path), pattern="*.html", extensions=(".html",)).collect()
+    assert sorted(r.content for r in rows) == ["", *[PAGE[3:]] * 3]
+
+
+def test_tags_of_very_many_attributes(md):
+    assert md("<a " + 'b="x" ' * 100_000 + 'c=">">t</a><i title=">">u</i>').endswith("tu")
