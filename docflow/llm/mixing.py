@@ -102,9 +102,10 @@ def schedule(spark: SparkSession, quotas: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """The mix as documents and as a schedule.
 
-    First: ``doc_id, key, size, source_size, target, taken`` per row of ``docs``, where
-    ``key`` is a hash of the text and ``taken`` counts the words that the mix takes,
-    repeats included: 0 to twice its size.
+    First: ``doc_id, key, size, source_size, target, taken, first_slot, slots`` per row of
+    ``docs``, where ``key`` is a hash of the text and ``taken`` counts the words that the mix
+    takes, repeats included: 0 to twice its size. ``slots`` is the number of pieces in which
+    they are taken, and ``first_slot`` the first slot with one; null if there is none.
     Second: ``slot, source, rank, doc_id, start, words``: in slot order, the words from
     ``start`` of a document that the slot takes. A source's words are its target, rounded
     down. Reads ``doc_id``, ``text`` and ``source``; a null text or one without words has
@@ -130,8 +131,13 @@ def mixed(docs: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     taken = pieces.join(slots, ["source_no", "rank"]).withColumn("words", F.col("to") - F.col("from"))
     plan = taken.select("slot", "source", "rank", "doc_id", (F.col("from") - F.col("first")).alias("start"), "words")
     # ``before`` is another one for each document with words of a source.
-    sums = taken.groupBy("source_no", "before").agg(F.sum("words").alias("taken"))
+    sums = taken.groupBy("source_no", "before").agg(
+        F.sum("words").alias("taken"), F.min("slot").alias("first_slot"), F.count("*").alias("slots")
+    )
     columns = ["doc_id", "key", "size", "source_size", "target"]
-    counted = streams.join(sums, ["source_no", "before"], "left").select(*columns, F.coalesce("taken", F.lit(0)).alias("taken"))
-    empty = numbered.where("size = 0").select(*columns, F.lit(0).cast("long").alias("taken"))
+    none = F.lit(0).cast("long")
+    counted = streams.join(sums, ["source_no", "before"], "left").select(
+        *columns, F.coalesce("taken", none).alias("taken"), "first_slot", F.coalesce("slots", none).alias("slots")
+    )
+    empty = numbered.where("size = 0").select(*columns, none.alias("taken"), F.lit(None).cast("long").alias("first_slot"), none.alias("slots"))
     return counted.unionByName(empty), plan

@@ -186,7 +186,7 @@ SELECT page_id, url, fetched, coalesce(lists, '') AS lists, lists IS NOT NULL AS
 FROM parsed LEFT JOIN hits USING (url, fetched)
 """
 
-#: Every source takes its stream's words up to its target: the slots only order them.
+#: Targets, streams of words, the golden-ratio schedule, and the slots of each document's pieces.
 SOURCE_MIXING_SQL = r"""
 WITH sized AS MATERIALIZED (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
@@ -204,16 +204,39 @@ WITH sized AS MATERIALIZED (
     SELECT *, (SELECT arg_min(level, room / weight) FROM ordered WHERE room > weight * level) AS final FROM ordered
 ), targets AS MATERIALIZED (
     SELECT source, source_size, least(room::DOUBLE, coalesce(weight * final, room::DOUBLE)) AS target FROM levelled
-), streams AS (
-    SELECT doc_id, size, source_size, target, floor(target)::BIGINT AS most,
+), quotas AS MATERIALIZED (
+    SELECT source, row_number() OVER (ORDER BY source NULLS LAST) AS source_no, ceil(floor(target) / 1024)::BIGINT AS blocks FROM targets
+), shares AS (
+    SELECT source_no, blocks, (until - blocks) * 4294967296::HUGEINT // greatest(total, 1) AS low, until * 4294967296::HUGEINT // greatest(total, 1) AS high
+    FROM (SELECT *, (sum(blocks) OVER (ORDER BY source_no))::HUGEINT AS until, (sum(blocks) OVER ())::HUGEINT AS total FROM quotas)
+), ranked AS MATERIALIZED (
+    SELECT slot, source_no, blocks, row_number() OVER (PARTITION BY source_no ORDER BY slot) - 1 AS rank
+    FROM (SELECT slot, slot % 4294967296 * 1640531527 % 4294967296 AS point FROM (SELECT unnest(range(sum(blocks)::BIGINT)) AS slot FROM quotas))
+    JOIN shares ON point >= low AND point < high
+), missing AS (
+    SELECT source_no, rank, row_number() OVER (ORDER BY source_no, rank) AS n FROM (
+        SELECT q.source_no, unnest(range((SELECT count(*) FROM ranked r WHERE r.source_no = q.source_no AND r.rank < q.blocks), q.blocks)) AS rank FROM quotas q)
+), schedule AS MATERIALIZED (
+    SELECT slot, source_no, rank FROM ranked WHERE rank < blocks
+    UNION ALL
+    SELECT slot, m.source_no, m.rank FROM missing m
+    JOIN (SELECT slot, row_number() OVER (ORDER BY slot) AS n FROM ranked WHERE rank >= blocks) USING (n)
+), streams AS MATERIALIZED (
+    SELECT doc_id, size, source_size, target, floor(target)::BIGINT AS most, source_no,
            coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY md5('mix|' || doc_id), doc_id, size
                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-    FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+    FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source JOIN quotas q ON s.source IS NOT DISTINCT FROM q.source
+), pieces AS (
+    SELECT source_no, before, unnest(range((start // 1024)::BIGINT, ((least(start + size, most) - 1) // 1024 + 1)::BIGINT)) AS rank
+    FROM (SELECT *, before + unnest([0, source_size]) AS start FROM streams WHERE size > 0) WHERE start < most
+), placed AS (
+    SELECT source_no, before, min(slot) AS first_slot, count(*) AS slots FROM pieces JOIN schedule USING (source_no, rank) GROUP BY ALL
 )
 SELECT doc_id, size, source_size, target,
-       (greatest(0, least(before + size, most) - before)
-        + greatest(0, least(before + source_size + size, most) - before - source_size))::BIGINT AS taken
-FROM streams
+       (greatest(0, least(s.before + size, most) - s.before)
+        + greatest(0, least(s.before + source_size + size, most) - s.before - source_size))::BIGINT AS taken,
+       first_slot::BIGINT AS first_slot, coalesce(slots, 0)::BIGINT AS slots
+FROM streams s LEFT JOIN placed p ON s.source_no = p.source_no AND s.before = p.before AND s.size > 0
 """
 
 #: All pairs of usable vectors by cosine, then the smallest id reachable.

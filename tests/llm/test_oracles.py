@@ -1,15 +1,19 @@
 """Every operator query against SQL in another engine, or against a plain computation."""
 
 import hashlib
+import math
+import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from docflow.llm import queries as q
 from docflow.llm.common import in_fold, table
+from docflow.llm.language import fit_language_model
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -125,3 +129,88 @@ def test_quality_of_held_out_documents(spark):
 def test_folds_are_those_of_the_definition(spark):
     for row in spark.range(50).select("id", in_fold(F.col("id")).alias("held")).collect():
         assert row.held == (zlib.crc32(str(row.id).encode()) % 4 == 2)
+
+
+def test_language_sets_and_hits_against_python_sets(spark):
+    """The filters' languages of each n-gram, hits and predictions, from n-grams counted one by one."""
+    rows = [(r.doc_id, r.text, r.lang) for r in table(spark, DATA, "documents").orderBy("doc_id").limit(60).collect()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit_language_model(docs)
+
+    def grams(text):
+        plain = "".join(c if c.isalpha() else " " for c in f" {text.lower()} ")
+        plain = re.sub(" +", " ", plain)
+        return [plain[i : i + n] for n in model.orders for i in range(len(plain) - n + 1)]
+
+    counts = defaultdict(Counter)
+    for _, text, lang in rows:
+        counts[lang].update(grams(text))
+    totals = {lang: sum(c.values()) for lang, c in counts.items()}
+    known = defaultdict(set)
+    for gram in set().union(*counts.values()):
+        rates = {lang: c[gram] / totals[lang] for lang, c in counts.items() if gram in c}
+        known[gram] = {lang for lang, rate in rates.items() if counts[lang][gram] >= 2 and rate >= 0.3 * max(rates.values())}
+    assert model.languages == sorted(counts)
+    total, hits = model.hits([r[1] for r in rows])
+    for i, (_, text, _) in enumerate(rows):
+        found = grams(text)
+        exact = np.array([sum(lang in known[g] for g in found) for lang in model.languages])
+        assert total[i] == len(found)
+        # A Bloom filter loses none; what it adds is within its rate of false positives.
+        spare = hits[i] - exact
+        assert (spare >= 0).all() and (spare <= 10 + 3 * model.false_rate * len(found)).all()
+        names, score = model.predict([text])
+        if exact.max():
+            assert names[0] == model.languages[int(exact.argmax())] or sorted(exact)[-1] - sorted(exact)[-2] <= spare.max()
+            assert abs(score[0] - exact.max() / exact.sum()) < 0.02
+
+
+def test_quality_scores_against_loops(spark):
+    """Buckets, context vectors, pooled vectors and the network, token by token."""
+    from docflow.llm import quality
+
+    rows = [(r.doc_id, r.text) for r in table(spark, DATA, "documents").orderBy("doc_id").limit(40).collect()]
+    rows += [(1000, None), (1001, ""), (1002, "ONE one one TWO 3 4x5 !! ?? é É")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = {}
+    tokens = {}
+    for doc, text in rows:
+        data = (text or "").encode()
+        words = re.findall(rb"[A-Za-z\x80-\xff]+|[^A-Za-z\x80-\xff\x20\x09-\x0d]+", data)
+        bucket, bounds = quality.tokens(pa.array([text], pa.string()))
+        assert bounds.tolist() == [0, len(words)]
+        for i, (word, b) in enumerate(zip(words, bucket.tolist(), strict=True)):
+            letters = re.fullmatch(rb"[A-Za-z\x80-\xff]+", word) is not None
+            before = [w for w in words[:i] if re.fullmatch(rb"[A-Za-z\x80-\xff]+", w)]
+            lower = word.lower()
+            if letters and before and before[-1].lower() == lower:
+                assert b == quality.REPEATED
+            elif re.search(rb"[0-9]", word):
+                assert b == quality.NUMBER
+            elif len(word) > 1 and re.fullmatch(rb"[A-Z]+", word):
+                assert b == quality.CAPITALS
+            else:
+                assert b >= quality.RESERVED and ids.setdefault(lower, b) == b
+        tokens[doc] = bucket.tolist()
+    index = np.zeros((quality.BUCKETS, quality.DIMENSIONS))
+    for b in range(quality.BUCKETS):
+        for place, sign in zip(quality._PLACES[b], quality._SIGNS[b], strict=True):
+            index[b, place] = sign
+    context = np.zeros_like(index)
+    for found in tokens.values():
+        for i, b in enumerate(found):
+            for j in range(max(0, i - quality.WINDOW), min(len(found), i + quality.WINDOW + 1)):
+                if i != j:
+                    context[b] += index[found[j]]
+    norms = np.sqrt((context**2).sum(1))
+    context[norms > 0] /= norms[norms > 0][:, None]
+    assert np.allclose(quality.context_vectors(docs), context, atol=1e-6)
+    labels = spark.createDataFrame([(r[0], r[0] % 2) for r in rows], "doc_id long, label int")
+    model = quality.fit_quality_model(docs, labels)
+    w1, b1, w2, b2 = model.parameters
+    for r in quality.score_quality(docs, model).collect():
+        seen = np.array([[*context[b], *index[b]] for b in tokens[r.doc_id]]).reshape(-1, 2 * quality.DIMENSIONS)
+        pooled = np.concatenate([seen.mean(0), seen.std(0), [math.log1p(len(seen))]]) if len(seen) else np.zeros(4 * quality.DIMENSIONS + 1)
+        hidden = [math.tanh(sum((pooled - model.center) / model.scale * w1[:, k]) + b1[k]) for k in range(len(b1))]
+        logit = sum(h * w for h, w in zip(hidden, w2, strict=True)) + float(b2)
+        assert abs(r.score - 1 / (1 + math.exp(-logit / model.temperature))) < 1e-3
