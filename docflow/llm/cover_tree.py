@@ -26,10 +26,12 @@ from docflow.llm.near_dedup import _runs as runs
 #: unrelated vectors, about 1.4, less that at the threshold: larger nodes prune nothing.
 RADII = (0.5, 0.25, 0.125)
 #: Classes of a block, and the most cells (their centers are what the driver holds).
-BLOCK, CELLS = 4096, 256
+BLOCK, CELLS = 16_384, 256
 #: Pairs of points compared at once.
 DENSE = 1 << 16
 SLACK = 1e-5
+#: What single precision may be off by in a cosine of unit vectors of up to 4,096 dimensions.
+ROUNDING = 1e-4
 
 
 def usable_vectors(column: pa.Array) -> tuple[list[int], list[bytes]]:
@@ -98,13 +100,32 @@ class _Pairs:
         self.x, self.weight, self.parents, self.threshold = x, weight, parents, threshold
         self.reach = _distance(np.float64(threshold))
         self.counts = np.zeros(len(x), np.int64)
+        self.single = x.astype(np.float32)
         self.label = np.arange(len(x))
         self.links: list[tuple[int, int]] = []
 
-    def _connect(self, a: int, b: int) -> None:
-        if self.label[a] != self.label[b]:
-            self.label[self.label == self.label[b]] = self.label[a]
-            self.links.append((a, b))
+    def _connect(self, a: int, others: np.ndarray) -> None:
+        """Links ``a`` with one of ``others`` for each group of them that is still apart from it."""
+        own, labels = self.label[a], self.label[others]
+        apart = labels != own
+        if apart.any():
+            groups, first = np.unique(labels[apart], return_index=True)
+            self.links += [(a, y) for y in others[apart][first].tolist()]
+            renamed = np.arange(len(self.label))
+            renamed[groups] = own
+            self.label = renamed[self.label]
+
+    def _linked(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which points of ``a`` link with which of ``b``: in double precision where single can't tell."""
+        if self.x.shape[1] > 4096:
+            return self.x[a] @ self.x[b].T >= self.threshold
+        cosine = self.single[a] @ self.single[b].T
+        linked = cosine >= np.float32(self.threshold)
+        i, j = np.nonzero(np.abs(cosine - np.float32(self.threshold)) <= ROUNDING)
+        for at in range(0, len(i), DENSE):
+            p, q = i[at : at + DENSE], j[at : at + DENSE]
+            linked[p, q] = np.einsum("ij,ij->i", self.x[a[p]], self.x[b[q]]) >= self.threshold
+        return linked
 
     def _nodes(self, members: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """Centers, covering radii and members of the nodes that hold ``members``."""
@@ -119,23 +140,20 @@ class _Pairs:
         self.counts[a] += self.weight[b].sum() - (self.weight[a] if same else 0)
         if not same:
             self.counts[b] += self.weight[a].sum()
-        for y in (*b.tolist(), *a[1:].tolist()):
-            self._connect(int(a[0]), y)
+        self._connect(int(a[0]), np.concatenate([a, b]))
 
     def _compare(self, a: np.ndarray, b: np.ndarray, same: bool) -> None:
         step = max(1, DENSE * 4 // len(b))
         for at in range(0, len(a), step):
             part = a[at : at + step]
-            linked = self.x[part] @ self.x[b].T >= self.threshold
+            linked = self._linked(part, b)
             if same:
                 linked[np.arange(len(part)), np.arange(at, at + len(part))] = False
             self.counts[part] += linked @ self.weight[b]
             if not same:
                 self.counts[b] += self.weight[part] @ linked
             for i in np.flatnonzero(linked.any(1)).tolist():
-                theirs = b[linked[i]]
-                for y in theirs[self.label[theirs] != self.label[part[i]]].tolist():
-                    self._connect(int(part[i]), y)
+                self._connect(int(part[i]), b[linked[i]])
 
     def visit(self, a: np.ndarray, b: np.ndarray, level: int, same: bool) -> None:
         """Compares the points ``a`` with ``b``, nodes of ``level`` first."""
