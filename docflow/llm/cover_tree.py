@@ -26,7 +26,7 @@ from docflow.llm.near_dedup import _runs as runs
 #: unrelated vectors, about 1.4, less that at the threshold: larger nodes prune nothing.
 RADII = (0.5, 0.25, 0.125)
 #: Classes of a block, and the most cells (their centers are what the driver holds).
-BLOCK, CELLS = 16_384, 256
+BLOCK, CELLS = 8192, 256
 #: Pairs of points compared at once.
 DENSE = 1 << 16
 SLACK = 1e-5
@@ -115,17 +115,20 @@ class _Pairs:
             renamed[groups] = own
             self.label = renamed[self.label]
 
-    def _linked(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Which points of ``a`` link with which of ``b``: in double precision where single can't tell."""
-        if self.x.shape[1] > 4096:
-            return self.x[a] @ self.x[b].T >= self.threshold
-        cosine = self.single[a] @ self.single[b].T
-        linked = cosine >= np.float32(self.threshold)
-        i, j = np.nonzero(np.abs(cosine - np.float32(self.threshold)) <= ROUNDING)
-        for at in range(0, len(i), DENSE):
-            p, q = i[at : at + DENSE], j[at : at + DENSE]
-            linked[p, q] = np.einsum("ij,ij->i", self.x[a[p]], self.x[b[q]]) >= self.threshold
-        return linked
+    def _linked(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions in ``a`` and ``b`` of points that link: in double precision where single can't tell."""
+        exact = self.x.shape[1] > 4096
+        points, room = (self.x, 0.0) if exact else (self.single, ROUNDING)
+        cosine = points[a] @ points[b].T
+        i, j = np.divmod(np.flatnonzero(cosine >= points.dtype.type(self.threshold - room)), len(b))
+        if exact:
+            return i, j
+        linked = cosine[i, j] >= np.float32(self.threshold + room)
+        unsure = np.flatnonzero(~linked)
+        for at in range(0, len(unsure), DENSE):
+            some = unsure[at : at + DENSE]
+            linked[some] = np.einsum("ij,ij->i", self.x[a[i[some]]], self.x[b[j[some]]]) >= self.threshold
+        return i[linked], j[linked]
 
     def _nodes(self, members: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """Centers, covering radii and members of the nodes that hold ``members``."""
@@ -143,17 +146,20 @@ class _Pairs:
         self._connect(int(a[0]), np.concatenate([a, b]))
 
     def _compare(self, a: np.ndarray, b: np.ndarray, same: bool) -> None:
-        step = max(1, DENSE * 4 // len(b))
+        step = max(1, DENSE * 16 // len(b))
         for at in range(0, len(a), step):
             part = a[at : at + step]
-            linked = self._linked(part, b)
+            i, j = self._linked(part, b)
             if same:
-                linked[np.arange(len(part)), np.arange(at, at + len(part))] = False
-            self.counts[part] += linked @ self.weight[b]
+                other = i + at != j
+                i, j = i[other], j[other]
+            np.add.at(self.counts, part[i], self.weight[b[j]])
             if not same:
-                self.counts[b] += self.weight[part] @ linked
-            for i in np.flatnonzero(linked.any(1)).tolist():
-                self._connect(int(part[i]), b[linked[i]])
+                np.add.at(self.counts, b[j], self.weight[part[i]])
+            apart = self.label[part[i]] != self.label[b[j]]
+            i, j = i[apart], j[apart]
+            for row, theirs in zip(i[np.flatnonzero(np.diff(i, prepend=-1))].tolist(), np.split(j, np.flatnonzero(np.diff(i)) + 1), strict=False):
+                self._connect(int(part[row]), b[theirs])
 
     def visit(self, a: np.ndarray, b: np.ndarray, level: int, same: bool) -> None:
         """Compares the points ``a`` with ``b``, nodes of ``level`` first."""
