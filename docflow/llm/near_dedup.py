@@ -2,11 +2,12 @@
 
 Documents with the same set of shingles are one class. Every class has one signature
 and stands in several trees, each of which orders the signatures by other components.
-Classes with a common prefix of ``DEPTH`` components are a region of a tree. In every
-region, and at greater depths in those that remain large, all members are compared
-with the region's first one. What these links connect needs no further comparison;
-only members of one region that are still apart are compared with each other, in
-blocks. Every link is confirmed on the full sets.
+Classes with a common prefix of ``DEPTH`` components are a region of a tree. Candidates
+are neighbours in these orders, which have the longest common prefix with each other
+that the region offers: where many signatures agree it is a deep one. What the links
+among them connect needs no further comparison; only members of one region that are
+still apart are compared with each other, in blocks. Every link is confirmed on the full
+sets.
 """
 
 from __future__ import annotations
@@ -15,15 +16,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docflow.llm.common import minhash, mix, shingle_sets, slices, staged
 from docflow.llm.components import connected_components
 
 TREES, DEPTH, TAIL = 24, 3, 4
-#: Deeper prefixes compared in regions of more than two members, as components of the tail.
-DEEPER = (2, 4)
 #: Members of a region that meet in one block.
 BLOCK = 256
 #: Pairs below this estimate are no candidates: 4.5 standard deviations below 0.75.
@@ -115,12 +116,54 @@ def _forest(classes: DataFrame) -> DataFrame:
     return classes.select("node", "signature").mapInArrow(plant, "tree int, region long, tail long, node binary")
 
 
-def _to_first(rows: DataFrame, *keys) -> tuple[DataFrame, DataFrame]:
-    """Links of every row with the first node of its group, and the rows of groups above two."""
-    groups = rows.groupBy(*keys).agg(F.count("*").alias("size"), F.min("node").alias("a"), F.max("node").alias("b"))
-    pairs = groups.where("size = 2").select("a", "b")
-    large = rows.join(groups.where("size > 2").select(*keys, "a"), list(keys))
-    return pairs.unionByName(large.select("a", F.col("node").alias("b"))), large.drop("a")
+def _regions(forest: DataFrame) -> DataFrame:
+    """The rows of the regions with more than two classes."""
+    large = forest.groupBy("region").agg(F.count("*").alias("size")).where("size > 2")
+    return forest.join(large.select("region"), "region")
+
+
+_PAIR, _FIRST, _LAST = 0, 1, 2
+
+
+def neighbours(forest: DataFrame) -> DataFrame:
+    """Pairs (``a, b``) of classes that follow each other in a region's order of signatures.
+
+    The orders of all trees are one table in ranges, so that a region of any size is dealt
+    out over the tasks; what meets at the ends of two ranges is one row each.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, names = TaskContext.get().partitionId(), ["kind", "shard", "region", "a", "b"]
+        first = last = None
+
+        def rows(kind: int, region: np.ndarray, a: pa.Array, b: pa.Array) -> pa.RecordBatch:
+            marks = [pa.array(np.full(len(region), m, np.int32)) for m in (kind, shard)]
+            return pa.RecordBatch.from_arrays([*marks, pa.array(region), a, b], names)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            region, node = batch.column("region").to_numpy(), batch.column("node")
+            if last is not None:
+                region, node = np.concatenate([last[0], region]), pa.concat_arrays([last[1], node])
+            else:
+                first = region[:1], node.slice(0, 1)
+            at = np.flatnonzero(region[1:] == region[:-1])
+            yield rows(_PAIR, region[at], node.take(pa.array(at)), node.take(pa.array(at + 1)))
+            last = region[-1:], node.slice(len(node) - 1)
+        if first is not None:
+            yield rows(_FIRST, *first, first[1])
+            yield rows(_LAST, *last, last[1])
+
+    order = ["region", "tail", "node"]
+    ordered = forest.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
+    found = staged(ordered.mapInArrow(scan, "kind int, shard int, region long, a binary, b binary"), "neighbours")
+    firsts = found.where(F.col("kind") == _FIRST).select("shard", "region", "b")
+    # One row per range.
+    following = firsts.select("shard", F.lead("shard").over(W.orderBy("shard")).alias("next"))
+    lasts = found.where(F.col("kind") == _LAST).select("shard", "region", "a").join(following, "shard")
+    meeting = lasts.join(firsts.withColumnRenamed("shard", "next"), ["next", "region"]).select("a", "b")
+    return found.where(F.col("kind") == _PAIR).select("a", "b").unionByName(meeting)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
@@ -234,12 +277,8 @@ def near_groups(docs: DataFrame, similarity: int = 75) -> DataFrame:
     classes = usable.groupBy("node").agg(F.min(place).alias("at"), F.min_by("signature", place).alias("signature"))
     classes = staged(classes.select("node", "at.doc_id", "at.key", "signature"), "classes")
     forest = _forest(classes)
-    pairs, large = _to_first(forest, "region")
-    large = staged(large, "regions")
-    for depth in DEEPER:
-        at = f"shiftrightunsigned(tail, {16 * (TAIL - depth)})"
-        deeper, _ = _to_first(large.withColumn("prefix", F.expr(at)), "region", "prefix")
-        pairs = pairs.unionByName(deeper)
+    large = staged(_regions(forest), "regions")
+    pairs = neighbours(forest).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = staged(pairs.where("a <> b").distinct(), "pairs")
     # Whoever is in a region with others may have to be compared on its full set.
     members = pairs.select("a").union(pairs.select("b")).union(large.select("node")).distinct().toDF("node")

@@ -84,6 +84,42 @@ def test_near_duplicates_of_a_large_group(spark):
     assert {r.doc_id: r.component_id for r in near_duplicates(df).collect()} == {i: root(i) for i in range(400)}
 
 
+def test_neighbours_are_those_of_the_sorted_orders(spark):
+    """Regions from one class to most of all, over several ranges, against a plain sort."""
+    from docflow.llm.near_dedup import neighbours
+
+    draw = np.random.default_rng(12)
+    rows = [(int(r), int(t), int(n).to_bytes(16, "big")) for n, (r, t) in enumerate(zip(draw.choice([1, 1, 1, 1, 2, 3, *range(10, 400)], 3000), draw.integers(-5, 5, 3000)))]
+    rows += [(1, 7, b"x" * 16)] * 3
+    forest = spark.createDataFrame(rows, "region long, tail long, node binary").repartition(5)
+    ordered = sorted(rows)
+    expected = sorted((a[2], b[2]) for a, b in zip(ordered, ordered[1:]) if a[0] == b[0])
+    assert sorted((bytes(r.a), bytes(r.b)) for r in neighbours(forest).collect()) == expected
+    assert neighbours(forest.limit(0)).count() == 0 and neighbours(forest.limit(1)).count() == 0
+
+
+def test_neighbours_find_most_links(spark):
+    """The share of all links at 0.75 or more that neighbours alone bring together, against all pairs."""
+    from docflow.llm.near_dedup import _forest, neighbours, shingled
+
+    draw = np.random.default_rng(13)
+    texts = []
+    for g in range(60):
+        base = [f"g{g}w{i}" for i in range(80)]
+        for v in range(3):
+            words = list(base)
+            for at in draw.choice(80, v, replace=False):
+                words[at] = f"e{g}.{v}.{at}"
+            texts.append((3 * g + v, " ".join(words)))
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(76)} for i, t in texts}
+    links = {(a, b) for a in sets for b in sets if a < b and a // 3 == b // 3 and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    rows = shingled(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    of = {bytes(r.node): r.doc_id for r in rows}
+    forest = _forest(spark.createDataFrame([(r.node, r.signature) for r in rows], "node binary, signature binary"))
+    found = {tuple(sorted((of[bytes(r.a)], of[bytes(r.b)]))) for r in neighbours(forest).collect()}
+    assert len(links) > 100 and len(links & found) >= 0.95 * len(links)
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(300)] + [(1000, 500), (500, 700), (5, 5), (None, 3)]
     found = {r.node: r.component for r in connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
