@@ -60,7 +60,7 @@ def run_job(
     ``max_chunks`` ends a run early. ``read_results`` reads either kind of output.
     """
     if resume:
-        listing = list_documents(spark, input_path, pattern, recursive)
+        listing = list_documents(spark, input_path, pattern, recursive, dated=True)
         manifest = Manifest(spark, output_path)
         todo = _in_chunks(manifest.left(listing), chunk_bytes)
         numbers = sorted(r["chunk"] for r in todo.select("chunk").distinct().collect())

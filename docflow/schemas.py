@@ -9,9 +9,11 @@ LISTING_SCHEMA = T.StructType([
     T.StructField("file_size", T.LongType(), True),
     T.StructField("is_file", T.BooleanType(), True),
     T.StructField("exists", T.BooleanType(), True),
-    T.StructField("modified", T.TimestampType(), True),
 ])
 
+# The same with the time of each file's last change.
+DATED_LISTING_SCHEMA = T.StructType([*LISTING_SCHEMA.fields, T.StructField("modified", T.TimestampType(), True)])
+
 RESULT_SCHEMA = T.StructType([
     T.StructField("success", T.BooleanType(), False),
     T.StructField("content", T.StringType(), True),

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import datasource as ds
 from pyspark.sql import types as T
 
-from docflow.schemas import LISTING_SCHEMA
+from docflow.schemas import DATED_LISTING_SCHEMA
 from docflow.session import scratch_dir, ship_package
 from docflow.sources.dealing import deal_by_size
 from docflow.sources.filesystem import make_folder, names_in, open_input, open_output, read_file, rename
@@ -31,7 +31,7 @@ from docflow.sources.listing import compiled, folder_rows, full_path, list_docum
 FLUSH_BYTES, NAMES = 16 << 20, 4096
 #: Bytes of the files of one task of a stream.
 TASK_BYTES = 256 << 20
-DOCUMENT_SCHEMA = T.StructType([*LISTING_SCHEMA.fields, T.StructField("content", T.BinaryType(), True)])
+DOCUMENT_SCHEMA = T.StructType([*DATED_LISTING_SCHEMA.fields, T.StructField("content", T.BinaryType(), True)])
 _LISTING = pa.schema([
     ("document_path", pa.string()), ("file_name", pa.string()), ("file_size", pa.int64()),
     ("is_file", pa.bool_()), ("exists", pa.bool_()), ("modified", pa.timestamp("us", tz="UTC")),
@@ -254,8 +254,8 @@ def read_documents(
     _registered(spark)
     listing = scratch_dir(spark, "documents")
     tasks = num_partitions or spark.sparkContext.defaultParallelism
-    deal_by_size(list_documents(spark, path, pattern, recursive), tasks).write.parquet(listing)
-    schema = DOCUMENT_SCHEMA if content else LISTING_SCHEMA
+    deal_by_size(list_documents(spark, path, pattern, recursive, dated=True), tasks).write.parquet(listing)
+    schema = DOCUMENT_SCHEMA if content else DATED_LISTING_SCHEMA
     return spark.read.format("documents").schema(schema).option("listing", listing).load()
 
 

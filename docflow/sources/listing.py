@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docflow.functions.paths import file_name
-from docflow.schemas import LISTING_SCHEMA
+from docflow.schemas import DATED_LISTING_SCHEMA, LISTING_SCHEMA
 from docflow.session import scratch_dir, ship_package
 from docflow.sources.filesystem import entries, file_status, split_path
 
@@ -33,7 +33,6 @@ _ARROW_SCHEMA = pa.schema([
     pa.field("file_size", pa.int64()),
     pa.field("is_file", pa.bool_()),
     pa.field("exists", pa.bool_()),
-    pa.field("modified", pa.timestamp("us", tz="UTC")),
 ])
 
 
@@ -72,13 +71,13 @@ def compiled(pattern: str) -> re.Pattern:
 
 
 def _is_folder(folder: str) -> bool:
-    exists, is_file, *_ = file_status(folder)
+    exists, is_file, _ = file_status(folder)
     return exists and not is_file
 
 
 # A listing with what the next level needs: matching names, and folders of any name.
 _LEVEL_SCHEMA = T.StructType([
-    *LISTING_SCHEMA.fields,
+    *DATED_LISTING_SCHEMA.fields,
     T.StructField("matches", T.BooleanType()),
     T.StructField("is_folder", T.BooleanType()),
     T.StructField("is_link", T.BooleanType()),
@@ -86,6 +85,7 @@ _LEVEL_SCHEMA = T.StructType([
 ])
 _LEVEL_ARROW = pa.schema([
     *_ARROW_SCHEMA,
+    pa.field("modified", pa.timestamp("us", tz="UTC")),
     pa.field("matches", pa.bool_()),
     pa.field("is_folder", pa.bool_()),
     pa.field("is_link", pa.bool_()),
@@ -138,12 +138,13 @@ def _next_folders(level: DataFrame, seen: DataFrame | None) -> DataFrame:
 
 
 def list_documents(
-    spark: SparkSession, path: str, pattern: str = "*.pdf", recursive: bool = False
+    spark: SparkSession, path: str, pattern: str = "*.pdf", recursive: bool = False, dated: bool = False
 ) -> DataFrame:
     """One row per entry of a folder whose name matches a glob pattern.
 
     Includes hidden, underscore and empty files, folders, dead links and pipes of a
     matching name. The pattern is case-sensitive; ``*.[pP][dD][fF]`` takes both cases.
+    ``dated`` adds ``modified``, the time of the last change.
 
     With ``recursive`` the tree is listed level by level: the folders of a level are a
     table, dealt out anew, and a task lists its folders into the next one, so that a tree
@@ -183,7 +184,7 @@ def list_documents(
         folders = _next_folders(levels[-1], earlier).repartition(min(counts["folders"], 16 * slots))
     if not documents:
         raise NoDocuments(f"no file matches {pattern} in {path}")
-    names = LISTING_SCHEMA.fieldNames()
+    names = (DATED_LISTING_SCHEMA if dated else LISTING_SCHEMA).fieldNames()
     found = spark.read.schema(_LEVEL_SCHEMA).parquet(*(f"{base}/level-{i}" for i in range(len(levels))))
     return found.where("matches").select(*names)
 
@@ -200,8 +201,8 @@ def checked_documents(paths: DataFrame, path_col: str = "document_path") -> Data
         for batch in batches:
             rows = []
             for path in batch.column(0).to_pylist():
-                exists, is_file, size, modified = file_status(path) if path is not None else (False, False, None, None)
-                rows.append((path, None, size, is_file, exists, modified))
+                exists, is_file, size = file_status(path) if path is not None else (False, False, None)
+                rows.append((path, None, size, is_file, exists))
             yield from _batches(iter(rows), _ARROW_SCHEMA)
 
     found = paths.select(F.col(path_col).cast("string").alias("document_path")).mapInArrow(look_up, LISTING_SCHEMA)

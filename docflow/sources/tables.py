@@ -26,7 +26,6 @@ def documents_from_table(
         size.cast("long").alias("file_size"),
         F.lit(True).alias("is_file"),
         F.lit(True).alias("exists"),
-        F.lit(None).cast("timestamp").alias("modified"),
     ]
     if content_col is not None:
         documents.append(F.col(content_col).alias("content"))

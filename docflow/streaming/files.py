@@ -35,7 +35,6 @@ def stream_documents(
         F.col("length").alias("file_size"),
         F.lit(True).alias("is_file"),
         F.lit(True).alias("exists"),
-        F.col("modificationTime").alias("modified"),
     )
     return with_content(listed)
 

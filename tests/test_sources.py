@@ -6,7 +6,7 @@ import pytest
 from conftest import plan
 from docflow.operators import file_rules, has_suffix, validate
 from docflow.plans.convert import convert_directory, convert_one, convert_valid
-from docflow.schemas import LISTING_SCHEMA
+from docflow.schemas import DATED_LISTING_SCHEMA, LISTING_SCHEMA
 from docflow.sources import (
     InputNotFound,
     NoDocuments,
@@ -211,7 +211,7 @@ def test_one_document_by_path(spark, folder):
 
 def listed(spark, sizes):
     rows = [(f"f{i}", f"f{i}", s, True, True, None) for i, s in enumerate(sizes)]
-    return spark.createDataFrame(rows, LISTING_SCHEMA).repartition(3)
+    return spark.createDataFrame(rows, DATED_LISTING_SCHEMA).repartition(3)
 
 
 @pytest.mark.parametrize("kind", ["equal", "few large", "one huge", "spread", "none"])
@@ -225,7 +225,7 @@ def test_dealing_by_size_is_even(spark, kind):
         "none": [None, 0, None],
     }[kind]
     dealt = deal_by_size(listed(spark, sizes), 8)
-    assert dealt.rdd.getNumPartitions() == 8 and dealt.columns == LISTING_SCHEMA.fieldNames()
+    assert dealt.rdd.getNumPartitions() == 8 and dealt.columns == DATED_LISTING_SCHEMA.fieldNames()
     parts = [[r.file_size or 0 for r in part] for part in dealt.rdd.glom().collect()]
     assert sorted(s for p in parts for s in p) == sorted(s or 0 for s in sizes)
     loads = [sum(s + FILE_BYTES for s in p) for p in parts]
@@ -272,7 +272,7 @@ def test_pushed_filters_against_sql(spark):
 
     rows = [("a/x.pdf", "x.pdf", 5, True, True, None), ("b", None, None, None, True, None), (None, "y.txt", 0, False, False, None)]
     batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _LISTING)], schema=_LISTING)
-    spark.createDataFrame(rows, LISTING_SCHEMA).createOrReplaceTempView("named")
+    spark.createDataFrame(rows, DATED_LISTING_SCHEMA).createOrReplaceTempView("named")
     kinds = {
         "file_name = 'x.pdf'": ds.EqualTo(("file_name",), "x.pdf"), "file_size <=> 5": ds.EqualNullSafe(("file_size",), 5),
         "file_size <=> NULL": ds.EqualNullSafe(("file_size",), None), "file_size > 0": ds.GreaterThan(("file_size",), 0),
