@@ -327,7 +327,7 @@ def one_of_each(docs: DataFrame, similarity: int = 75) -> DataFrame:
     )
     marks = groups.where("NOT kept OR rows > 1").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "kept")
     same = (docs["doc_id"].cast("long") == F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key"))
-    marked = staged(docs.join(marks, same, "left").where("coalesce(kept, true)"), "first-documents")
+    marked = docs.join(staged(marks, "document-marks"), same, "left").where("coalesce(kept, true)")
     once = marked.where("_id IS NULL")
     repeated = marked.where("_id IS NOT NULL").dropDuplicates(["_id", "_key"])
     return once.unionByName(repeated).select(docs.columns)
