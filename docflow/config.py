@@ -30,6 +30,10 @@ class ConvertConfig:
     isolate
         Run a plug-in converter in a child process, so that a native crash or
         hang costs one document and not the job.
+    overtime
+        How many documents that a tenth of ``timeout_s`` was not enough for each Python
+        worker converts beside others, each in a process with a converter of its own and
+        with all its time. 0 keeps them in the worker, one after another.
     build_timeout_s
         Seconds a child process may take to build the converter; then the task
         fails and is tried elsewhere. ``None`` or 0 switches the limit off.
@@ -43,6 +47,7 @@ class ConvertConfig:
     tables: bool = True
     drop_boilerplate: bool = True
     isolate: bool = False
+    overtime: int = 8
     build_timeout_s: float | None = 600.0
     page_metadata: bool = False
 
@@ -51,6 +56,8 @@ class ConvertConfig:
             raise ValueError(f"image_mode must be one of {IMAGE_MODES}, not {self.image_mode!r}")
         if self.timeout_s is not None and self.timeout_s < 0:
             raise ValueError("timeout_s must not be negative")
+        if self.overtime < 0:
+            raise ValueError("overtime must not be negative")
 
     def updated(self, **options) -> ConvertConfig:
         """A copy with some options replaced."""

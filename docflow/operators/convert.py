@@ -158,22 +158,36 @@ def _task(factory: Callable[[], Converter], config: ConvertConfig) -> Callable:
             columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)]
             return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
-        for batch in batches:
-            for row in range(batch.num_rows):
-                path, name, length, valid, error, content = (c[row].as_py() for c in batch.columns)
-                if valid:
-                    fields = _fields(path, *convert(path, content))
-                else:
-                    fields = False, "", None, None, None, error
-                rows.append((path, name, length, *fields))
-                size += sum(len(text.encode()) for text in fields if isinstance(text, str))
-                if size >= FLUSH_BYTES:
-                    yield flush()
-                    rows, size = [], 0
-            if rows:
+        def add(name: str, length: int, path: str, fields: tuple) -> None:
+            nonlocal size
+            rows.append((path, name, length, *fields))
+            size += sum(len(text.encode()) for text in fields if isinstance(text, str))
+
+        def full(least: int) -> Iterator[pa.RecordBatch]:
+            nonlocal rows, size
+            if rows and size >= least:
                 yield flush()
                 rows, size = [], 0
 
+        try:
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    path, name, length, valid, error, content = (c[row].as_py() for c in batch.columns)
+                    if not valid:
+                        add(name, length, path, (False, "", None, None, None, error))
+                        yield from full(FLUSH_BYTES)
+                        continue
+                    for tag, result, failure in convert.begin((name, length, path), path, content):
+                        add(*tag, _fields(tag[-1], result, failure))
+                        yield from full(FLUSH_BYTES)
+                yield from full(0)
+            for tag, result, failure in convert.rest():
+                add(*tag, _fields(tag[-1], result, failure))
+                yield from full(FLUSH_BYTES)
+            yield from full(0)
+        finally:
+            convert.drop()
+
     return run
 
 

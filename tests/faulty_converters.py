@@ -63,3 +63,31 @@ def opens_path():
             return str(len(file.read()))
 
     return convert
+
+
+def slow_once_in_process():
+    """Takes a while for some texts, never returns for others, and tells its process."""
+
+    def convert(path, content):
+        if content == "hang":
+            time.sleep(1000)
+        if content == "slow":
+            time.sleep(1)
+        if content == "odd":
+            time.sleep(1)
+            return Converted("odd", document_metadata=(i for i in "not to be sent"))
+        return str(os.getpid())
+
+    return convert
+
+
+def dies_when_long():
+    parent = os.getpid()
+
+    def convert(path, content):
+        if content == "die":
+            time.sleep(1)
+            os.kill(os.getpid(), signal.SIGKILL)
+        return str(parent)
+
+    return convert

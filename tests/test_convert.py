@@ -1,4 +1,6 @@
 import json
+import time
+
 import faulty_converters as faulty
 import pytest
 from conftest import plan
@@ -55,6 +57,30 @@ def test_time_limit(spark):
     assert rows[1].error_message.startswith("Error processing d/1.txt: timed out after 0.3 s\n")
 
 
+def test_hanging_documents_wait_together(spark):
+    # Sixteen in one task took 16 * 3 s; in eight processes at once, 2 * 3 s and their start.
+    start = time.monotonic()
+    rows = results(spark, ["ok", *["hang"] * 16, "ok"], faulty.slow_once_in_process, timeout_s=3)
+    assert time.monotonic() - start < 30
+    assert [r.success for r in rows] == [True, *[False] * 16, True]
+    for i, row in enumerate(rows[1:-1], 1):
+        assert row.error_message.startswith(f"Error processing d/{i}.txt: timed out after 3 s\nTraceback")
+
+
+def test_long_documents_have_all_their_time(spark):
+    texts = ["ok", "slow", "odd", "slow", "", "ok"]
+    rows = results(spark, texts, faulty.slow_once_in_process, timeout_s=4)
+    assert [r.success for r in rows] == [True, True, True, True, False, True]
+    assert rows[0].content == rows[5].content and rows[1].content != rows[0].content
+    # What cannot be sent back is converted in the worker.
+    assert "generator" in json.loads(rows[2].metadata)["document_metadata"]
+    alone = results(spark, texts, faulty.slow_once_in_process, timeout_s=4, overtime=0)
+    assert len({r.content for r in alone if r.content.isdigit()}) == 1
+    died = results(spark, ["die", "ok", "ok"], faulty.dies_when_long, timeout_s=4)
+    assert [r.success for r in died] == [False, True, True]
+    assert died[0].error_message == "Error processing d/0.txt: converter process ended with exit code -9"
+
+
 def test_isolation_survives_crash_and_hang(spark):
     rows = results(spark, ["ok", "crash", "hang", "raise", "exit", "ok"], isolate=True, timeout_s=2)
     assert [r.success for r in rows] == [True, False, False, False, False, True]
