@@ -138,6 +138,11 @@ def _serve(connection, pickled: bytes, timeout_s: float | None = None) -> None:
         connection.send_bytes(answer)
 
 
+#: Imported before children are forked. ``multiprocessing`` runs the program's module in each
+#: child anew, and that of Spark's workers imports most of PySpark.
+PRELOADED = [__name__, "pyspark.serializers", "pyspark.worker"]
+
+
 class InChild:
     """Calls the converter in a child process, replaced after a crash or a timeout."""
 
@@ -147,7 +152,7 @@ class InChild:
         # Children are forked from a clean server process, one per Python worker:
         # replacing a child takes milliseconds and inherits nothing from the worker.
         self._context = multiprocessing.get_context("forkserver")
-        self._context.set_forkserver_preload([__name__])
+        self._context.set_forkserver_preload(PRELOADED)
         self._child = self._connection = None
 
     def _start(self) -> None:

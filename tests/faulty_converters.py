@@ -91,3 +91,14 @@ def dies_when_long():
         return str(parent)
 
     return convert
+
+
+def telling_its_time():
+    used = time.process_time()
+
+    def convert(path, content):
+        if content == "crash":
+            os.kill(os.getpid(), signal.SIGKILL)
+        return str(used)
+
+    return convert

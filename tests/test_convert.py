@@ -1,4 +1,6 @@
 import json
+import subprocess
+import sys
 import time
 
 import faulty_converters as faulty
@@ -81,6 +83,15 @@ def test_long_documents_have_all_their_time(spark):
     assert died[0].error_message == "Error processing d/0.txt: converter process ended with exit code -9"
 
 
+def test_children_import_nothing_anew(spark):
+    # What a child uses before its first document is less than what importing Spark's worker module takes.
+    code = "import time, pyspark.serializers; s = time.process_time(); import pyspark.worker; print(time.process_time() - s)"
+    imports = float(subprocess.run([sys.executable, "-c", code], capture_output=True, check=True, text=True).stdout)
+    rows = results(spark, ["crash", "cpu"] * 5, faulty.telling_its_time, isolate=True)
+    used = sorted(float(r.content) for r in rows if r.success)
+    assert len(used) == 5 and used[2] < imports / 2
+
+
 def test_isolation_survives_crash_and_hang(spark):
     rows = results(spark, ["ok", "crash", "hang", "raise", "exit", "ok"], isolate=True, timeout_s=2)
     assert [r.success for r in rows] == [True, False, False, False, False, True]
