@@ -23,12 +23,13 @@ from pyspark.sql import types as T
 
 from docflow.schemas import DATED_LISTING_SCHEMA
 from docflow.session import scratch_dir, ship_package
+from docflow.sources.content import with_contents
 from docflow.sources.dealing import deal_by_size
 from docflow.sources.filesystem import make_folder, names_in, open_input, open_output, read_file, rename
 from docflow.sources.listing import compiled, folder_rows, full_path, list_documents, real_path
 
-#: Bytes that a task hands over at a time, and names that it reads at a time.
-FLUSH_BYTES, NAMES = 16 << 20, 4096
+#: Names that a task reads at a time.
+NAMES = 4096
 #: Bytes of the files of one task of a stream.
 TASK_BYTES = 256 << 20
 DOCUMENT_SCHEMA = T.StructType([*DATED_LISTING_SCHEMA.fields, T.StructField("content", T.BinaryType(), True)])
@@ -75,29 +76,12 @@ def passes(given: ds.Filter, names: pa.RecordBatch) -> pa.Array:
 
 
 def opened_rows(names: pa.RecordBatch, columns: list[str]) -> Iterator[pa.RecordBatch]:
-    """The asked columns of some names, with their contents, ``FLUSH_BYTES`` at a time."""
+    """The asked columns of some names, with their contents, some bytes at a time."""
     if "content" not in columns:
         yield names.select(columns)
         return
-    start, held, contents = 0, 0, []
-
-    def some(end: int) -> pa.RecordBatch:
-        rows = names.slice(start, end - start)
-        arrays = [pa.array(contents, pa.binary()) if c == "content" else rows.column(c) for c in columns]
-        return pa.RecordBatch.from_arrays(arrays, columns)
-
-    details = (names.column(c).to_pylist() for c in ("document_path", "file_size", "is_file"))
-    for row, (path, size, is_file) in enumerate(zip(*details, strict=True)):
-        if contents and held + (size or 0) > FLUSH_BYTES:
-            yield some(row)
-            start, held, contents = row, 0, []
-        try:
-            contents.append(read_file(path) if is_file and (size or 0) < 2**31 - 16 else None)
-        except OSError:
-            contents.append(None)
-        held += len(contents[-1] or b"")
-    if contents:
-        yield some(names.num_rows)
+    for rows, contents in with_contents(names, read=read_file):
+        yield pa.RecordBatch.from_arrays([contents if c == "content" else rows.column(c) for c in columns], columns)
 
 
 @dataclass

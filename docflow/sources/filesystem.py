@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import fcntl
+import mmap
 import os
 import re
 import stat
+import tempfile
 from collections.abc import Iterator
 from datetime import UTC, datetime, timedelta
 from functools import lru_cache
@@ -105,12 +109,63 @@ def entries(folder: str) -> Iterator[Entry]:
 
 
 def read_file(path: str) -> bytes:
+    """The bytes of a file, held once."""
     system, name = _resolve(path)
     if system is None:
         with open(name, "rb") as file:
             return file.read()
-    with system.open_input_stream(name) as file:
-        return file.read()
+    with system.open_input_file(name) as file:
+        return file.read(file.size())
+
+
+#: Bytes of a remote file that are held while it is copied.
+COPY_BYTES = 8 << 20
+
+
+def mapped_file(path: str) -> pa.Buffer:
+    """The bytes of a file, mapped: no memory holds them. A remote file is copied to one without a name first."""
+    system, name = _resolve(path)
+    if system is None:
+        if not os.path.getsize(name):
+            return pa.py_buffer(b"")
+        with pa.memory_map(name) as file:
+            return file.read_buffer()
+    with tempfile.TemporaryFile() as local, system.open_input_stream(name) as file:
+        while piece := file.read(COPY_BYTES):
+            local.write(piece)
+        local.flush()
+        return pa.py_buffer(mmap.mmap(local.fileno(), 0, access=mmap.ACCESS_READ) if local.tell() else b"")
+
+
+#: Files of more bytes are held one at a time by the workers of an executor.
+LARGE_BYTES = 256 << 20
+
+
+class Unread(NamedTuple):
+    """A file that is read where it is converted."""
+
+    path: str
+    size: int
+
+    @contextlib.contextmanager
+    def held(self) -> Iterator[list[bytes | None]]:
+        """A list with the file's bytes, None if it can't be read; the block may empty it.
+
+        Of large files the processes with the same folder for temporary files hold one at a time.
+        """
+        if self.size <= LARGE_BYTES:
+            yield [self._bytes()]
+            return
+        with open(os.path.join(tempfile.gettempdir(), f"docflow-{os.getuid()}.lock"), "ab") as lock:
+            fcntl.flock(lock, fcntl.LOCK_EX)
+            yield (found := [self._bytes()])
+            found.clear()
+
+    def _bytes(self) -> bytes | None:
+        try:
+            return read_file(self.path)
+        except OSError:
+            return None
 
 
 def names_in(folder: str) -> list[str]:

@@ -1,12 +1,18 @@
+import fcntl
 import os
+import tempfile
+import time
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from conftest import plan
+from docflow.config import ConvertConfig
 from docflow.operators import file_rules, has_suffix, validate
-from docflow.plans.convert import convert_directory, convert_one, convert_valid
+from docflow.plans.convert import convert_directory, convert_listing, convert_one, convert_valid
 from docflow.schemas import DATED_LISTING_SCHEMA, LISTING_SCHEMA
+from docflow.sources import filesystem
 from docflow.sources import (
     InputNotFound,
     NoDocuments,
@@ -19,6 +25,7 @@ from docflow.sources import (
     read_documents,
     with_content,
 )
+from docflow.sources.datasource import opened_rows
 from docflow.sources.dealing import FILE_BYTES, deal_by_size, largest_first, room_below_level
 from docflow.sources.listing import compiled, folder_rows
 from faulty_converters import opens_path, well_behaved
@@ -296,3 +303,58 @@ def test_balance(spark):
     hot = few.select(F.lit("same").alias("document_path"))
     sizes = balance(hot, 4).rdd.glom().map(len).collect()
     assert max(sizes) <= 30
+
+
+def test_large_files_are_handed_over_without_being_held(tmp_path):
+    # The bytes of each were held twice: as read, and as a column.
+    sizes = {"a": 5, "large": 64 << 20, "b": 3, "folder": 0, "huge": 32 << 20, "gone": 64 << 20}
+    (tmp_path / "folder").mkdir()
+    for name, size in sizes.items():
+        if name not in ("folder", "gone"):
+            with open(tmp_path / name, "wb") as file:
+                file.write(name.encode())
+                file.truncate(size)
+    columns = [[str(tmp_path / n) for n in sizes], list(sizes.values()), [n != "folder" for n in sizes]]
+    names = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["document_path", "file_size", "is_file"])
+    found, before = [], pa.total_allocated_bytes()
+    tracemalloc.start()
+    for batch in opened_rows(names, ["content", "file_size"]):
+        assert pa.total_allocated_bytes() - before < 1 << 20
+        for content in batch.column(0):
+            bytes_ = content.as_buffer()
+            found.append(bytes_ and (bytes_.size, bytes_[:2].to_pybytes()))
+    assert tracemalloc.get_traced_memory()[1] < 8 << 20
+    tracemalloc.stop()
+    assert found == [(5, b"a\0"), (64 << 20, b"la"), (3, b"b\0"), None, (32 << 20, b"hu"), None]
+
+
+def test_plug_ins_get_files_that_no_other_task_has_read(spark, folder):
+    listing = list_documents(spark, folder)
+    converted = convert_listing(listing, lambda: lambda path, content: str(None if content is None else len(content)))
+    # The listing dealt out, and the conversion; a third one read all files, invalid ones too.
+    text = plan(converted).split("\n\n")[0]
+    assert text.count("MapInArrow") == 2
+    rows = {os.path.basename(r.document_path): (r.success, r.content) for r in converted.collect()}
+    assert rows["a.pdf"] == (True, "14") and rows["empty.pdf"] == (True, "0") and rows["dir.pdf"] == (False, "")
+    for options in ({"isolate": True}, {"timeout_s": 3}):
+        def slow():
+            def convert(path, content):
+                time.sleep(0.5)
+                return str(len(content))
+
+            return convert
+
+        found = convert_listing(listing, slow, ConvertConfig(**options)).collect()
+        assert {os.path.basename(r.document_path): (r.success, r.content) for r in found} == rows
+
+
+def test_large_files_are_held_one_at_a_time(tmp_path, monkeypatch):
+    monkeypatch.setattr(filesystem, "LARGE_BYTES", 3)
+    monkeypatch.setattr(tempfile, "tempdir", str(tmp_path))
+    (tmp_path / "f").write_bytes(b"some")
+    with filesystem.Unread(str(tmp_path / "f"), 4).held() as held, open(next(tmp_path.glob("docflow-*.lock")), "ab") as other:
+        assert held == [b"some"]
+        with pytest.raises(BlockingIOError):
+            fcntl.flock(other, fcntl.LOCK_EX | fcntl.LOCK_NB)
+        with filesystem.Unread(str(tmp_path / "f"), 3).held() as small, filesystem.Unread("/missing", 1).held() as missing:
+            assert (small, missing) == ([b"some"], [None])
