@@ -22,6 +22,8 @@ from docflow.functions.html import html_to_markdown
 from docflow.functions.metadata import build_metadata, empty_metadata
 from docflow.functions.pages import page_metadata
 from docflow.operators.isolation import failure_text, worker_converter
+from docflow.sources.content import LONGEST_VALUE
+from docflow.sources.filesystem import Unread
 
 # Bytes of converted text a task collects before it hands them to Spark.
 FLUSH_BYTES = 16 << 20
@@ -145,8 +147,11 @@ _ARROW = pa.schema([
 ])
 
 
-def _task(factory: Callable[[], Converter], config: ConvertConfig) -> Callable:
-    """The function one task runs, with the converter of its Python worker."""
+def _task(factory: Callable[[], Converter], config: ConvertConfig, opens: bool) -> Callable:
+    """The function one task runs, with the converter of its Python worker.
+
+    With ``opens`` the column of contents holds the paths of files to be read.
+    """
     pickled = cloudpickle.dumps(factory)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,6 +182,8 @@ def _task(factory: Callable[[], Converter], config: ConvertConfig) -> Callable:
                         add(name, length, path, (False, "", None, None, None, error))
                         yield from full(FLUSH_BYTES)
                         continue
+                    if opens and content is not None:
+                        content = Unread(content, length or 0)
                     for tag, result, failure in convert.begin((name, length, path), path, content):
                         add(*tag, _fields(tag[-1], result, failure))
                         yield from full(FLUSH_BYTES)
@@ -196,6 +203,7 @@ def convert_documents(
     converter: Callable[[], Converter],
     config: ConvertConfig | None = None,
     num_partitions: int | None = None,
+    opens: bool = False,
 ) -> DataFrame:
     """Convert validated documents with a plug-in; one ``result`` per input row.
 
@@ -210,9 +218,17 @@ def convert_documents(
     The rows pass through one Arrow operator, which Spark never evaluates twice;
     the bytes of invalid documents are not sent to it. ``num_partitions`` deals
     the rows out anew; by default they stay in the splits of the scan.
+
+    With ``opens`` the documents are the files of a listing: those that are valid are read
+    one at a time, in the process that converts them, and Spark moves no bytes. What can't
+    be read, or is longer than a value can be, is null to the converter.
     """
     config = config or ConvertConfig()
-    content = F.col("content") if "content" in df.columns else F.lit(None).cast("string")
+    if opens:
+        short = F.col("is_file") & (F.coalesce("file_size", F.lit(0)) <= F.lit(LONGEST_VALUE))
+        content = F.when(short, F.col("document_path"))
+    else:
+        content = F.col("content") if "content" in df.columns else F.lit(None).cast("string")
     documents = df.select(
         "document_path",
         "file_name",
@@ -223,7 +239,7 @@ def convert_documents(
     )
     if num_partitions is not None:
         documents = documents.repartition(num_partitions)
-    converted = documents.mapInArrow(_task(converter, config), _CONVERTED)
+    converted = documents.mapInArrow(_task(converter, config, opens), _CONVERTED)
     path = F.col("document_path")
     return converted.select(
         "document_path",

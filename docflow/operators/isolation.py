@@ -6,6 +6,7 @@ These helpers run inside a Spark task, one document at a time; those that take l
 from __future__ import annotations
 
 import contextlib
+import math
 import multiprocessing
 import signal
 import time
@@ -16,6 +17,7 @@ from multiprocessing import connection as connections
 from pyspark import cloudpickle
 
 from docflow.config import ConvertConfig
+from docflow.sources.filesystem import Unread
 
 
 class DocumentTimeout(BaseException):
@@ -71,6 +73,16 @@ class ConverterNotBuilt(RuntimeError):
     """The converter cannot be built here; the task fails, and Spark tries it elsewhere."""
 
 
+@contextlib.contextmanager
+def content_of(content) -> Iterator[list]:
+    """A list with the content; that of a file which is not read yet is read first, outside any document's time."""
+    if isinstance(content, Unread):
+        with content.held() as held:
+            yield held
+    else:
+        yield [content]
+
+
 class InProcess:
     """Builds the converter on first use and calls it in this process."""
 
@@ -89,8 +101,8 @@ class InProcess:
         """``(result, None)`` or ``(None, error text)``."""
         self.build()
         try:
-            with time_limit(self._timeout_s, fair):
-                return self._converter(path, content), None
+            with content_of(content) as held, time_limit(self._timeout_s, fair):
+                return self._converter(path, held.pop()), None
         except DocumentTimeout as error:
             return None, failure_text(path, str(error), traceback.format_exc())
         except (Exception, SystemExit) as error:
@@ -100,8 +112,8 @@ class InProcess:
         """The same, or None if it takes more than ``seconds``."""
         self.build()
         try:
-            with time_limit(seconds):
-                return self._converter(path, content), None
+            with content_of(content) as held, time_limit(seconds):
+                return self._converter(path, held.pop()), None
         except DocumentTimeout:
             return None
         except (Exception, SystemExit) as error:
@@ -129,7 +141,11 @@ def _serve(connection, pickled: bytes, timeout_s: float | None = None) -> None:
             path, content = connection.recv()
         except EOFError:
             return
-        result = convert(path, content, fair=True)
+        with content_of(content) as held:
+            if isinstance(content, Unread):
+                # The document's time starts now.
+                connection.send_bytes(b"")
+            result = convert(path, held.pop(), fair=True)
         try:
             answer = cloudpickle.dumps(result)
         except Exception as error:
@@ -183,6 +199,8 @@ class InChild:
             self._start()
         try:
             self._connection.send((path, content))
+            if isinstance(content, Unread):
+                self._connection.recv_bytes()
         except (EOFError, OSError):
             return self._failed(path, self._exit_text())
         return self._answer(path, self._timeout_s or None)
@@ -229,6 +247,17 @@ class _Started(InChild):
         _, path, _, deadline = self.at
         return self._answer(path, max(0.0, deadline - time.monotonic()))
 
+    def has_read(self, limit_s: float) -> bool:
+        """Whether it only tells that it has read its file, so that its time starts."""
+        tag, path, content, deadline = self.at
+        if not isinstance(content, Unread) or deadline < math.inf:
+            return False
+        self.at = tag, path, content, time.monotonic() + limit_s
+        with contextlib.suppress(EOFError, OSError):
+            self._connection.recv_bytes()
+            return True
+        return False
+
 
 class Overtime:
     """Converts in this process; what takes long goes on in child processes, several at once.
@@ -263,19 +292,22 @@ class Overtime:
             yield from self._set_aside(tag, path, content)
         yield from self._finished(0)
 
+    def _longest(self) -> float:
+        """Seconds in which a document has had its time, also if all of them want the same core."""
+        return self._limit * (self._most + 2)
+
     def _busy(self) -> list[_Started]:
         return [c for c in self._children if c.at]
 
     def _set_aside(self, tag, path: str, content) -> Iterator[tuple]:
-        size = len(content or "")
-        while (busy := self._busy()) and (len(busy) >= self._most or size + sum(len(c.at[2] or "") for c in busy) > self.MOST_HELD):
+        size = lambda c: c.size if isinstance(c, Unread) else len(c or "")
+        while (busy := self._busy()) and (len(busy) >= self._most or size(content) + sum(size(c.at[2]) for c in busy) > self.MOST_HELD):
             yield from self._finished(None)
         child = next((c for c in self._children if not c.at), None)
         if child is None:
             child = _Started(self._pickled, self._config, own_limit=True)
             self._children.append(child)
-        # Until then it has had its time, also if all of them want the same core.
-        deadline = time.monotonic() + self._limit * (self._most + 2)
+        deadline = math.inf if isinstance(content, Unread) else time.monotonic() + self._longest()
         try:
             child.begin(tag, path, content, deadline)
         except (ConverterNotBuilt, OSError):
@@ -290,8 +322,11 @@ class Overtime:
             return
         now = time.monotonic()
         first = max(0.0, min(c.at[3] for c in busy) - now)
-        ready = connections.wait([c.connection for c in busy], first if wait_s is None else wait_s)
+        wait_s = wait_s if wait_s is not None else first if first < math.inf else None
+        ready = connections.wait([c.connection for c in busy], wait_s)
         for child in busy:
+            if child.connection in ready and child.has_read(self._longest()):
+                continue
             if child.connection in ready or child.at[3] <= time.monotonic():
                 tag, path, content, _ = child.at
                 outcome = child.end()

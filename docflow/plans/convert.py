@@ -11,7 +11,8 @@ from docflow.config import ConvertConfig
 from docflow.operators.convert import convert_documents, convert_html, decode_content
 from docflow.operators.results import flatten_results
 from docflow.operators.validate import Rule, ends_with, file_rules, validate
-from docflow.sources.content import opened
+from docflow.session import ship_package
+from docflow.sources.content import dealt, opened
 from docflow.sources.listing import documents_from_paths, list_documents
 from docflow.sources.tables import documents_from_table
 
@@ -57,11 +58,13 @@ def convert_listing(
     """Every row of a listing to one flat result; the files are opened in the tasks."""
     if converter is None and not HTML_SUFFIXES.issuperset(extensions):
         raise ValueError(f"files of type {', '.join(extensions)} need a converter")
-    rules, documents = file_rules(*extensions), opened(listing, num_partitions)
+    rules = file_rules(*extensions)
     if converter is None:
         rules.append(Rule("unreadable", F.col("content").isNotNull()))
-        documents = decode_content(documents)
-    return convert_valid(documents, rules, converter, config)
+        return convert_valid(decode_content(opened(listing, num_partitions)), rules, config=config)
+    ship_package(listing.sparkSession)
+    checked = validate(dealt(listing, num_partitions), rules)
+    return flatten_results(convert_documents(checked, converter, config, opens=True))
 
 
 def convert_directory(
