@@ -68,6 +68,9 @@ _CONTROL = r"[\x01-\x1f]"
 # A whole tag; the values of its attributes may hold brackets. Nothing is tried twice.
 _TAG = r"""<[a-zA-Z][^<>"'=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'<>]*+)[^<>"'=]*+)*+>"""
 _QUOTED_BRACKET = r"""=\s*+(?:"[^"<>]*+[<>]|'[^'<>]*+[<>])"""
+# The same after the start of a tag whose values before it have none: not the end of a value
+# with ``=`` at its end, as embedded images have.
+_TAG_TO_BRACKET = r"""<[a-zA-Z][^<>"'=]*+(?:=\s*+(?:"[^"<>]*+"|'[^'<>]*+'|(?!["'])[^\s"'<>]*+)[^<>"'=]*+)*+""" + _QUOTED_BRACKET
 _VERBATIM = r"(?i)<pre(?=[\s/>])"
 
 
@@ -80,7 +83,7 @@ def _map(entries: dict[str, str]) -> Column:
 def _tag_texts(config: ConvertConfig) -> dict[str, str]:
     """What each tag leaves behind; tags not listed leave nothing."""
     # The map is searched from its start, so the most frequent tags come first.
-    frequent = "p /p li /li a /a b /b i /i span /span td /td tr /tr br div /div".split()
+    frequent = "p /p li /li a /a b /b i /i span /span td /td th /th tr /tr br div /div html /html body /body".split()
     texts = dict.fromkeys(frequent, "")
     texts |= {"br": LINE, "/a": LINK_END}
     for name in BLOCK_TAGS:
@@ -138,7 +141,8 @@ def keep_quoted_brackets(html: Column) -> Column:
         tags = F.regexp_extract_all(page, F.lit(_TAG), F.lit(0))
         return F.array_join(F.zip_with(F.split(page, _TAG, -1), tags, lambda text, tag: F.concat(text, whole(tag))), "")
 
-    return bind(html, lambda page: F.when(page.rlike(_QUOTED_BRACKET), marked(page)).otherwise(page))
+    holds = lambda page: page.rlike(_QUOTED_BRACKET) & page.rlike(_TAG_TO_BRACKET)
+    return bind(html, lambda page: F.when(holds(page), marked(page)).otherwise(page))
 
 
 def _keep_verbatim(page: Column) -> Column:
@@ -353,7 +357,7 @@ def _render_lists(text: Column) -> Column:
     # Lists that were never closed, items and ends without a list.
     text = _where_present(text, LIST, lambda t: F.regexp_replace(t, f"{LIST}[0-9]*{NUMBER}", PARAGRAPH))
     text = F.replace(F.replace(text, F.lit(ITEM), F.lit(f"{ITEM_LINE}-{BULLET}")), F.lit(LIST_END), F.lit(PARAGRAPH))
-    return F.translate(text, OPEN + CLOSE, PARAGRAPH + PARAGRAPH)
+    return _translated(text, OPEN + CLOSE, PARAGRAPH + PARAGRAPH)
 
 
 def _tidy_indents(text: Column) -> Column:
@@ -366,6 +370,11 @@ def _where_present(text: Column, mark: str, step: Callable[[Column], Column]) ->
     return bind(text, lambda t: F.when(F.contains(t, F.lit(mark)), step(t)).otherwise(t))
 
 
+def _translated(text: Column, old: str, new: str) -> Column:
+    """``translate`` for texts that hold one of these; others are left alone, which costs far less."""
+    return bind(text, lambda t: F.when(t.rlike(f"[{old}]"), F.translate(t, old, new)).otherwise(t))
+
+
 def _drop_boilerplate(text: Column) -> Column:
     """Cut out closed elements that are left out, ``NESTING`` levels deep.
 
@@ -403,7 +412,7 @@ def html_to_markdown(html: Column, config: ConvertConfig | None = None) -> Colum
     for old, new in ((ITEM_LINE, "\n"), (" \n", "\n"), ("\n ", "\n")):
         text = F.replace(text, F.lit(old), F.lit(new))
     text = F.regexp_replace(_where_present(text, INDENT, _tidy_indents), "\n{3,}", "\n\n")
-    text = F.btrim(F.replace(text, F.lit(IMAGE), F.lit(IMAGE_PLACEHOLDER)), F.lit(" \n"))
+    text = F.regexp_replace(F.replace(text, F.lit(IMAGE), F.lit(IMAGE_PLACEHOLDER)), r"\A[ \n]++|(?<![ \n])[ \n]++\z", "")
     text = F.replace(text, F.lit(INDENT), F.lit("    "))
     text = _where_present(text, FENCE, lambda t: F.replace(t, F.lit(FENCE), F.lit("```")))
-    return F.translate(text, QUOTED_LT + QUOTED_GT + VERBATIM_LINE + VERBATIM_SPACE + VERBATIM_TAB, "<>\n \t")
+    return _translated(text, QUOTED_LT + QUOTED_GT + VERBATIM_LINE + VERBATIM_SPACE + VERBATIM_TAB, "<>\n \t")

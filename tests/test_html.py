@@ -1,8 +1,11 @@
+import random
+import re
 import time
 
 import pytest
 from docflow.config import ConvertConfig
 from docflow.functions import html_to_markdown, page_metadata
+from docflow.functions import html as html_module
 from docflow.functions.charsets import decoded
 from docflow.plans.convert import convert_directory
 from pyspark.sql import functions as F
@@ -252,3 +255,17 @@ def test_pages_of_any_charset_in_a_folder(spark, tmp_path):
 
 def test_tags_of_very_many_attributes(md):
     assert md("<a " + 'b="x" ' * 100_000 + 'c=">">t</a><i title=">">u</i>').endswith("tu")
+
+
+def test_only_tags_with_brackets_in_values_are_taken_apart():
+    # A value that ends with = was taken for the start of one with a bracket, as in every embedded image.
+    images = """<p><img src="data:image/png;base64,Tw=="><a href='?q='><b title="x=">a == "b" > c</b>"""
+    assert re.search(html_module._QUOTED_BRACKET, images) and not re.search(html_module._TAG_TO_BRACKET, images)
+    chance = random.Random(7)
+    found = 0
+    for _ in range(60_000):
+        page = "<a" + "".join(chance.choices("<a =\"'>x", (2, 1, 2, 4, 4, 3, 3, 1), k=chance.randint(3, 18)))
+        if any(set(tag[1:-1]) & set("<>") for tag in re.findall(html_module._TAG, page)):
+            found += 1
+            assert re.search(html_module._QUOTED_BRACKET, page) and re.search(html_module._TAG_TO_BRACKET, page), page
+    assert found > 400
