@@ -12,7 +12,7 @@ from docflow.llm.line_dedup import drop_recurring_lines
 from docflow.llm.mixing import mixed
 from docflow.llm.near_dedup import one_of_each
 from docflow.llm.packing import pack
-from docflow.session import ship_package
+from docflow.session import bound_batches, ship_package
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -22,6 +22,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
     n-grams (keys, base64, other languages). The predicted language decides nothing.
     """
     ship_package(spark)
+    bound_batches(spark)
     model = fit_language_model(docs.where(in_fold(F.col("doc_id"), held_out=False)))
     return identify_language(docs, model).where(F.col("lang_pred") != UNDETERMINED).select(docs.columns)
 
@@ -40,6 +41,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
     a hash of the text. No rows give no rows.
     """
     ship_package(spark)
+    bound_batches(spark)
     return one_of_each(docs)
 
 
@@ -66,6 +68,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 def packing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token sequences: one row per piece of a document, with its ids."""
     ship_package(spark)
+    bound_batches(spark)
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

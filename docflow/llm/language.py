@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from docflow.llm.common import mix, slices
 
 UNDETERMINED = "und"
+#: Bytes of text looked up at a time. Each takes about 100 bytes of memory meanwhile.
+SLICE = 1 << 17
 _FACTOR = np.random.default_rng(5).integers(1, 1 << 63, 8, np.uint64) | np.uint64(1)
 _LETTER = None
 
@@ -134,7 +136,7 @@ def fit_language_model(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = {l: i for i, l in enumerate(languages)}
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 lang = np.array([code[l] for l in part.column("lang").to_pylist()])
                 for h, row in ngrams(part.column("text").to_pylist(), orders):
                     for i in np.unique(lang):
@@ -185,7 +187,7 @@ def identify_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = given.value
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 texts = part.column("text").to_pylist()
                 names, score = known.predict(texts) if known.languages else ([UNDETERMINED] * len(texts), np.zeros(len(texts)))
                 yield pa.RecordBatch.from_arrays(

@@ -1,9 +1,9 @@
 """Token ids of whole texts by a public tokenizer, a batch of documents at a time.
 
 A text is cut at white space where that cannot change its ids, and the ids of each
-piece are kept, as bytes, for the next time it occurs. A piece not met before is cut
-into what the tokenizer's pattern would cut it into, and only parts that are new, too,
-reach the tokenizer's model. Pieces with characters beyond Latin-1, whose classes and
+piece that occurs again are kept, as bytes, for the times after. Another piece is cut
+into what the tokenizer's pattern would cut it into, and only parts that are not kept,
+too, reach the tokenizer's model. Pieces with characters beyond Latin-1, whose classes and
 normal forms depend on tables of Unicode, and texts that cannot be cut or that may hold
 a token added to the vocabulary go through the whole tokenizer.
 """
@@ -13,15 +13,19 @@ from __future__ import annotations
 import re
 import sys
 from array import array
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-#: Pieces, and parts of pieces, whose ids a worker keeps, about 200 bytes each. Later
+#: Pieces, and parts of pieces, whose ids a worker keeps, about 130 bytes each. Later
 #: ones are encoded anew: this bounds memory only.
-MOST_KEPT = 600_000
+MOST_KEPT = 200_000
+#: Bytes of a table that says which pieces, or parts, occurred before. Most occur once and
+#: would take the place of others. Two that share a byte are kept sooner, nothing else.
+MET = 1 << 22
 #: A blank next to white space: cutting there could move white space between tokens.
 _UNSAFE = re.compile(r" (?:(?=\s)|(?<=\s ))")
 #: White space to Python, but not to the tokenizers.
@@ -46,6 +50,23 @@ def _bytes(ids: list[int]) -> bytes:
     return packed.tobytes()
 
 
+class _Met:
+    """What occurred before, by hash."""
+
+    def __init__(self):
+        self.table = bytearray(MET)
+
+    def first(self, things: Iterable[str]) -> list[str]:
+        """Those that occur for the first time."""
+        table, out = self.table, []
+        for thing in things:
+            at = hash(thing) & (MET - 1)
+            if not table[at]:
+                table[at] = 1
+                out.append(thing)
+        return out
+
+
 class CachedTokenizer:
     """Ids as bytes, 16 bits each and little-endian, the same as the tokenizer's for whole texts.
 
@@ -69,6 +90,7 @@ class CachedTokenizer:
         self.characters = _byte_characters()
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.met_pieces, self.met_parts = _Met(), _Met()
 
     def _may_hold_added(self, text: str) -> bool:
         text = text.lower() if self.any_case else text
@@ -83,7 +105,7 @@ class CachedTokenizer:
         if ids is None:
             letters = "".join([self.characters[b] for b in part.encode()])
             ids = _bytes([t.id for t in self.tokenizer.model.tokenize(letters)])
-            if len(self.parts) < MOST_KEPT:
+            if len(self.parts) < MOST_KEPT and not self.met_parts.first([part]):
                 self.parts[part] = ids
         return ids
 
@@ -95,7 +117,7 @@ class CachedTokenizer:
         cut = self.pattern.findall
         for piece in pieces if not rare else set(pieces).difference(rare):
             self.known[piece] = b"".join(map(self._part, cut(lead + piece if self.blanks_count else piece.lower())))
-        return pieces if len(self.known) > MOST_KEPT else []
+        return pieces if len(self.known) > MOST_KEPT else self.met_pieces.first(pieces)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; a null text has none."""

@@ -1,8 +1,11 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
+import tracemalloc
+
 import corpus_pipeline as pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from docflow.llm.components import connected_components
 from docflow.llm.cover_tree import linked_vectors
@@ -505,3 +508,41 @@ def test_packing_stage_gives_the_tokens_of_every_text(spark):
     for r in pieces:
         found.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, "<u4").tolist())
     assert found == {i: [x for ids in each for x in ids] for i, each in plain_ids.items()}
+
+
+def test_language_takes_little_memory_besides_a_batch(spark, monkeypatch, odd):
+    texts = [" ".join(f"word{chr(97 + (i + j) % 26)}" for j in range(150)) for i in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    assert batch.nbytes > 3 << 20
+    docs, model, run = odd.select("doc_id", "text"), fit_language_model(odd), []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: run.append(f) or self)
+    identify_language(docs, model)
+    tracemalloc.start()
+    rows = sum(out.num_rows for out in run[0](iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Slices of 1 MB took 114 MB.
+    assert rows == batch.num_rows and peak < 24 << 20
+
+
+@pytest.mark.parametrize("path, blanks", [(BYTES, True), (WORDS, False)])
+def test_a_tokenizer_keeps_what_occurs_again(path, blanks):
+    cached, whole = CachedTokenizer(path, blanks), Tokenizer.from_file(path)
+    once = [" ".join(f"a{i}b{j}" for j in range(50)) for i in range(200)]
+    texts = [*once, *["again and again, and so on"] * 3]
+    ids = [np.frombuffer(x, cached.dtype).tolist() for x in cached.encode(texts)]
+    assert ids == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    # Of 10,000 pieces all but a few occur once; some share a byte of the table.
+    assert {"and", "so", "on"} & set(cached.known) and len(cached.known) < 500 and len(cached.parts) < 500
+    assert ids == [np.frombuffer(x, cached.dtype).tolist() for x in cached.encode(texts)]
+
+
+def test_stages_bound_batches_of_sessions_without_a_limit(spark):
+    key, docs = "spark.sql.execution.arrow.maxBytesPerBatch", "doc_id long, text string, lang string, source string, n_chars long"
+    kept, session = spark.conf.get(key), spark.newSession()
+    for name in ("language", "near-duplicates", "packing"):
+        session.conf.unset(key)
+        stage(name)(session, session.createDataFrame([], docs), "")
+        assert session.conf.get(key) == "4m"
+    stage("packing")(spark, spark.createDataFrame([], docs), "")
+    assert spark.conf.get(key) == kept
