@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docflow.llm.common import slices
-from docflow.llm.tokens import tokenizer
+from docflow.llm.tokens import SLICE, tokenizer
 
 CAPACITY = 4096
 #: Tokens packed at a time, in sequences.
@@ -147,7 +147,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, window:
         end = np.array([end_id], encoder.dtype)
         packer = _Packer(TaskContext.get().partitionId() << 32, capacity, window)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 texts = part.column("text").to_pylist()
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
                     yield from packer.add(doc_id, np.concatenate([np.frombuffer(ids, encoder.dtype), end]))

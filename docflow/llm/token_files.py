@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docflow.llm.common import slices
-from docflow.llm.tokens import tokenizer
+from docflow.llm.tokens import SLICE, tokenizer
 
 #: Ids of a word by selector: fixed values of the format, as their bits: 60 // count.
 COUNTS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
@@ -173,7 +173,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
             return pa.RecordBatch.from_arrays([pa.array(a, k) for a, k in zip(arrays, kinds, strict=True)], fields)
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 texts = part.column("text").to_pylist()
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
                     held.append(np.concatenate([np.frombuffer(ids, encoder.dtype), end]))

@@ -1,11 +1,12 @@
 """Token ids of whole texts by a public tokenizer, a batch of documents at a time.
 
-A text is cut at white space where that cannot change its ids, and the ids of each
-piece that occurs again are kept, as bytes, for the times after. Another piece is cut
-into what the tokenizer's pattern would cut it into, and only parts that are not kept,
-too, reach the tokenizer's model. Pieces with characters beyond Latin-1, whose classes and
-normal forms depend on tables of Unicode, and texts that cannot be cut or that may hold
-a token added to the vocabulary go through the whole tokenizer.
+A batch of texts is one array of characters. It is cut into what the tokenizer's pattern
+would cut it into, and each distinct part is looked up once among those whose ids are
+kept; only parts that are not kept reach the tokenizer's model. Nothing is done in Python
+per word of a text. Characters beyond Latin-1 have classes and normal forms that depend on
+tables of Unicode: pieces with them, as cut at white space where that cannot change their
+ids, and texts that cannot be cut there or that may hold a token added to the vocabulary
+go through the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -13,27 +14,31 @@ from __future__ import annotations
 import re
 import sys
 from array import array
-from collections.abc import Iterable
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
-#: Pieces, and parts of pieces, whose ids a worker keeps, about 130 bytes each. Later
-#: ones are encoded anew: this bounds memory only.
-MOST_KEPT = 200_000
-#: Bytes of a table that says which pieces, or parts, occurred before. Most occur once and
-#: would take the place of others. Two that share a byte are kept sooner, nothing else.
-MET = 1 << 22
+#: Bytes of text to encode at a time: each takes about 12 bytes of memory meanwhile.
+SLICE = 1 << 22
+#: Parts whose ids a worker keeps, about 30 bytes each, pieces beyond Latin-1, about 130,
+#: and the characters of one. Others are encoded anew: this bounds memory only.
+MOST_KEPT = 400_000
+RARE_KEPT = 200_000
+LONGEST_KEPT = 64
 #: A blank next to white space: cutting there could move white space between tokens.
 _UNSAFE = re.compile(r" (?:(?=\s)|(?<=\s ))")
 #: White space to Python, but not to the tokenizers.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
-# The patterns by which the two kinds of tokenizers cut texts.
-_CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
-_WITH_BLANKS = regex.compile(_CONTRACTIONS + r"| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-_WITHOUT_BLANKS = regex.compile(_CONTRACTIONS + r"|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: Classes of the characters of Latin-1 in the tokenizers' patterns.
+_SPACE, _LETTER, _NUMBER, _OTHER, _NONE = range(5)
+_LATIN = [chr(c) for c in range(256)]
+_CLASS = np.array([next((k for k, p in enumerate((r"\s", r"\p{L}", r"\p{N}")) if regex.match(p, c)), _OTHER) for c in _LATIN], np.uint8)
+_SPACES = bytes(np.flatnonzero(_CLASS == _SPACE).tolist())
 
 
 def _byte_characters() -> list[str]:
@@ -50,21 +55,53 @@ def _bytes(ids: list[int]) -> bytes:
     return packed.tobytes()
 
 
-class _Met:
-    """What occurred before, by hash."""
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
-    def __init__(self):
-        self.table = bytearray(MET)
 
-    def first(self, things: Iterable[str]) -> list[str]:
-        """Those that occur for the first time."""
-        table, out = self.table, []
-        for thing in things:
-            at = hash(thing) & (MET - 1)
-            if not table[at]:
-                table[at] = 1
-                out.append(thing)
-        return out
+def cut(data: np.ndarray, bounds: np.ndarray, blanks_count: bool) -> np.ndarray:
+    """Where the parts of texts begin, in ascending order; each ends where the next begins.
+
+    ``data`` has the Latin-1 characters of all texts, ``bounds`` where each begins. Parts
+    are those of the tokenizers' patterns, which are fixed values:
+    ``'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+``, or, if
+    blanks do not count, ``'s|'t|'re|'ve|'m|'ll|'d|\\p{L}+|\\p{N}|[^\\s\\p{L}\\p{N}]+``, with
+    the white space that follows.
+    """
+    n = len(data)
+    kind = np.full(n + 3, _NONE, np.uint8)
+    kind[:n] = _CLASS[data]
+    before = np.empty(n + 3, np.uint8)
+    before[1:] = kind[:-1]
+    before[bounds] = _NONE
+    before[n:] = _NONE
+    begins = kind != before
+    if blanks_count:
+        # The last space before something else stands alone, or before it if it is a blank.
+        at = np.flatnonzero(begins & (before == _SPACE))
+        begins[at - 1] = True
+        begins[at[data[at - 1] == ord(" ")]] = False
+    else:
+        begins = (begins & (kind != _SPACE)) | (kind == _NUMBER) | (before == _NONE)
+    # A contraction begins where the parts before it have ended, and ends a run of letters.
+    at = np.flatnonzero((data == ord("'")) & begins[:n])
+    after = np.append(data, np.zeros(3, np.uint8))
+    one, two = after[at + 1], after[at + 2]
+    long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    short = np.isin(one, list(b"stmd")) & (before[at + 1] != _NONE)
+    long &= (before[at + 1] != _NONE) & (before[at + 2] != _NONE)
+    for found, size in ((at[short], 2), (at[long], 3)):
+        begins[found + 1] = False
+        begins[found + size] |= kind[found + size] == _LETTER
+    return np.flatnonzero(begins[:n])
+
+
+def _binary(values: list[bytes]) -> pa.Array:
+    return pa.array(values, pa.large_binary())
 
 
 class CachedTokenizer:
@@ -86,11 +123,16 @@ class CachedTokenizer:
         self.added = sorted({t.content[:2].lower() for t in self.tokenizer.get_added_tokens_decoder().values()})
         self.any_case = any(a != a.upper() for a in self.added)
         self.blanks_count = blanks_count
-        self.pattern = _WITH_BLANKS if blanks_count else _WITHOUT_BLANKS
-        self.characters = _byte_characters()
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.met_pieces, self.met_parts = _Met(), _Met()
+        characters = _byte_characters()
+        self.characters = {ord(c): "".join([characters[b] for b in c.encode()]) for c in _LATIN}
+        # Parts, their ids, and how often each was found.
+        self.parts, self.ids, self.found = _binary([]), _binary([]), np.zeros(0, np.int64)
+        self.rare: dict[str, bytes] = {}
+
+    @property
+    def known(self) -> set[str]:
+        """The parts and pieces that are kept, without the white space around them."""
+        return {p.decode("latin-1").strip() for p in self.parts.to_pylist()} | {p.strip() for p in self.rare}
 
     def _may_hold_added(self, text: str) -> bool:
         text = text.lower() if self.any_case else text
@@ -100,47 +142,82 @@ class CachedTokenizer:
         done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [_bytes(x.ids) for x in done]
 
-    def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            letters = "".join([self.characters[b] for b in part.encode()])
-            ids = _bytes([t.id for t in self.tokenizer.model.tokenize(letters)])
-            if len(self.parts) < MOST_KEPT and not self.met_parts.first([part]):
-                self.parts[part] = ids
-        return ids
-
-    def _learn(self, pieces: list[str]) -> list[str]:
-        """Adds the ids of new pieces; returns those that are not to be kept."""
-        rare = [p for p in pieces if not p.isascii() and max(p) > "\xff"]
-        lead = " " if self.blanks_count else ""
-        self.known.update(zip(rare, self._whole([lead + p for p in rare]), strict=True))
-        cut = self.pattern.findall
-        for piece in pieces if not rare else set(pieces).difference(rare):
-            self.known[piece] = b"".join(map(self._part, cut(lead + piece if self.blanks_count else piece.lower())))
-        return pieces if len(self.known) > MOST_KEPT else self.met_pieces.first(pieces)
+    def _part(self, part: bytes) -> bytes:
+        part = part if self.blanks_count else part.rstrip(_SPACES)
+        tokens = self.tokenizer.model.tokenize(part.decode("latin-1").translate(self.characters)) if part else []
+        return _bytes([t.id for t in tokens])
+
+    def _keep(self, added: pa.Array, added_ids: pa.Array, found: np.ndarray) -> None:
+        """Where parts become too many, half of them stay: those found most, lately above all."""
+        short = pc.less_equal(pc.binary_length(added), LONGEST_KEPT)
+        parts = pa.concat_arrays([self.parts, added.filter(short)])
+        ids = pa.concat_arrays([self.ids, added_ids.filter(short)])
+        found = np.append(found[: len(self.parts)], found[len(self.parts) :][short.to_numpy(zero_copy_only=False)])
+        if len(parts) > MOST_KEPT:
+            most = np.sort(np.argsort(-found, kind="stable")[: MOST_KEPT // 2])
+            parts, ids, found = parts.take(pa.array(most)), ids.take(pa.array(most)), found[most] // 2
+        self.parts, self.ids, self.found = parts, ids, found
+
+    def _latin(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts without characters beyond Latin-1."""
+        text = "".join(texts)
+        data = (text if self.blanks_count else text.lower()).encode("latin-1")
+        bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+        starts = cut(np.frombuffer(data, np.uint8), bounds[:-1], self.blanks_count)
+        offsets = np.append(starts, len(data))
+        parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        known = pc.index_in(parts.dictionary, self.parts)
+        at = pc.fill_null(known, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = at < 0
+        at[new] = len(self.parts) + np.arange(np.count_nonzero(new))
+        added = parts.dictionary.filter(pa.array(new))
+        added_ids = _binary([self._part(p) for p in added.to_pylist()])
+        indices = parts.indices.to_numpy()
+        ids = pa.concat_arrays([self.ids, added_ids]).take(pa.array(at[indices]))
+        found = np.bincount(at[indices], minlength=len(self.parts) + len(added))
+        found[: len(self.parts)] += self.found
+        self._keep(added, added_ids, found)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+        places, out = ends[np.searchsorted(starts, bounds)].tolist(), ids.buffers()[2] if len(ids) else None
+        return [out[a:b].to_pybytes() if b > a else b"" for a, b in zip(places, places[1:], strict=False)]
+
+    def _stretches(self, text: str) -> list[tuple[bool, str]]:
+        """Pieces beyond Latin-1, one by one, and what is between them, with the blanks that belong to them."""
+        pieces = text.split(" ") if self.blanks_count or _SEPARATORS.search(text) else text.split()
+        if self.blanks_count:
+            pieces = [p for p in [pieces[0], *(" " + p for p in pieces[1:])] if p]
+        out: list[tuple[bool, str]] = []
+        for beyond, group in groupby(pieces, lambda p: not _is_latin(p)):
+            out += [(True, p) for p in group] if beyond else [(False, ("" if self.blanks_count else " ").join(group))]
+        return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; a null text has none."""
-        out: list[bytes] = []
+        latin: list[str] = []
+        #: Per text its ids in order, or the place of a stretch among ``latin``.
+        made: list[list[bytes | int]] = []
         for text in texts:
-            text = text or ""
+            text, own = text or "", []
+            made.append(own)
             if self._may_hold_added(text):
-                out += self._whole([text])
-                continue
-            if self.blanks_count and (text[:1] == " " or text[-1:] == " " or _UNSAFE.search(text)):
-                out += self._whole([text])
-                continue
-            # Of a text whose blanks count, the first piece has none before it.
-            if self.blanks_count:
-                first, *pieces = text.split(" ")
-                start = self._whole([first])[0] if first else b""
+                own += self._whole([text])
+            elif _is_latin(text):
+                own.append(len(latin))
+                latin.append(text)
+            elif self.blanks_count and (text[:1] == " " or text[-1:] == " " or _UNSAFE.search(text)):
+                own += self._whole([text])
             else:
-                pieces, start = text.split(" ") if _SEPARATORS.search(text) else text.split(), b""
-            forget = self._learn(list(new)) if (new := set(pieces).difference(self.known)) else []
-            out.append(start + b"".join(map(self.known.__getitem__, pieces)))
-            for piece in forget:
-                del self.known[piece]
-        return out
+                stretches = self._stretches(text)
+                new = list({p for beyond, p in stretches if beyond}.difference(self.rare))
+                rare = dict(zip(new, self._whole(new), strict=True))
+                for beyond, stretch in stretches:
+                    own.append(len(latin) if not beyond else rare[stretch] if stretch in rare else self.rare[stretch])
+                    latin += [] if beyond else [stretch]
+                if len(self.rare) + len(rare) > RARE_KEPT:
+                    self.rare = {}
+                self.rare.update((p, i) for p, i in rare.items() if len(p) <= LONGEST_KEPT)
+        ids = self._latin(latin)
+        return [b"".join([x if isinstance(x, bytes) else ids[x] for x in own]) for own in made]
 
 
 @lru_cache(2)

@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
+import itertools
+import string
 import tracemalloc
 
 import corpus_pipeline as pipeline
@@ -7,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from docflow.llm import tokens
 from docflow.llm.components import connected_components
 from docflow.llm.cover_tree import linked_vectors
 from docflow.llm.fingerprints import fingerprints, similar_documents
@@ -276,6 +279,57 @@ def test_cached_ids_are_those_of_whole_texts(path, blanks):
     assert cached.encode([None]) == [b""]
 
 
+@pytest.mark.parametrize("path, blanks", [(BYTES, True), (WORDS, False)])
+def test_parts_are_cut_as_the_tokenizer_cuts(path, blanks):
+    cached = CachedTokenizer(path, blanks)
+    alphabet = ["a", "1", " ", "\n", "'", "s", "!", "É", "\xa0", "re", "Ll", "漢"]
+    texts = ["".join(t) for size in range(5) for t in itertools.product(alphabet, repeat=size)]
+    draw = np.random.default_rng(8)
+    texts += ["".join(map(chr, draw.integers(0, 256, draw.integers(1, 30)))) for _ in range(3000)]
+    whole = Tokenizer.from_file(path).encode_batch_fast(texts, add_special_tokens=False)
+    assert [np.frombuffer(b, cached.dtype).tolist() for b in cached.encode(texts)] == [e.ids for e in whole]
+
+
+class _Counted:
+    """A tokenizer that counts the texts and parts it is given."""
+
+    def __init__(self, inner):
+        self.inner, self.model, self.texts, self.parts = inner, self, 0, 0
+
+    def encode_batch_fast(self, texts, **kinds):
+        self.texts += len(texts)
+        return self.inner.encode_batch_fast(texts, **kinds)
+
+    def tokenize(self, part):
+        self.parts += 1
+        return self.inner.model.tokenize(part)
+
+
+@pytest.mark.parametrize("path, blanks", [(BYTES, True), (WORDS, False)])
+def test_tokenizer_meets_each_part_of_a_batch_once(path, blanks):
+    cached = CachedTokenizer(path, blanks)
+    cached.tokenizer = counted = _Counted(cached.tokenizer)
+    cached.encode([f"Été  {i % 7},\n\n  word it's {i % 7} " for i in range(500)])
+    assert counted.texts == 0 and counted.parts < 40
+
+
+@pytest.mark.parametrize("path, blanks", [(BYTES, True), (WORDS, False)])
+def test_tokenizer_keeps_what_is_frequent_lately(path, blanks, monkeypatch):
+    monkeypatch.setattr(tokens, "MOST_KEPT", 60)
+    cached = CachedTokenizer(path, blanks)
+    letters = string.ascii_lowercase
+    for _ in range(3):
+        cached.encode([" ".join(a + b for b in letters) for a in letters])
+    cached.tokenizer = counted = _Counted(cached.tokenizer)
+    late = ["x " + " ".join(a * 4 for a in letters[:20])] * 3
+    for _ in range(20):
+        cached.encode(late)
+    assert counted.parts < 60
+    for _ in range(2):
+        cached.encode(["x" * 100_000, "漢" * 1000])
+    assert len(cached.known) <= 60 and max(map(len, cached.known)) < 100
+
+
 def test_fingerprints(odd, none, spark):
     rows = fingerprints(odd).collect()
     assert len(rows) == len(TEXTS) + 2
