@@ -24,10 +24,10 @@ import regex
 from tokenizers import Tokenizer
 
 #: Bytes of text to encode at a time: each takes about 12 bytes of memory meanwhile.
-SLICE = 1 << 22
+SLICE = 1 << 21
 #: Parts whose ids a worker keeps, about 30 bytes each, pieces beyond Latin-1, about 130,
 #: and the characters of one. Others are encoded anew: this bounds memory only.
-MOST_KEPT = 400_000
+MOST_KEPT = 300_000
 RARE_KEPT = 200_000
 LONGEST_KEPT = 64
 #: A blank next to white space: cutting there could move white space between tokens.
@@ -163,23 +163,24 @@ class CachedTokenizer:
         text = "".join(texts)
         data = (text if self.blanks_count else text.lower()).encode("latin-1")
         bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
-        starts = cut(np.frombuffer(data, np.uint8), bounds[:-1], self.blanks_count)
-        offsets = np.append(starts, len(data))
-        parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
-        known = pc.index_in(parts.dictionary, self.parts)
-        at = pc.fill_null(known, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        offsets = np.append(cut(np.frombuffer(data, np.uint8), bounds[:-1], self.blanks_count), len(data))
+        firsts = np.searchsorted(offsets, bounds)
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+        parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, buffers).dictionary_encode()
+        del text, data, offsets, buffers
+        at = pc.fill_null(pc.index_in(parts.dictionary, self.parts), -1).to_numpy(zero_copy_only=False).copy()
         new = at < 0
         at[new] = len(self.parts) + np.arange(np.count_nonzero(new))
         added = parts.dictionary.filter(pa.array(new))
         added_ids = _binary([self._part(p) for p in added.to_pylist()])
-        indices = parts.indices.to_numpy()
-        ids = pa.concat_arrays([self.ids, added_ids]).take(pa.array(at[indices]))
-        found = np.bincount(at[indices], minlength=len(self.parts) + len(added))
+        places = at[parts.indices.to_numpy()]
+        ids = pa.concat_arrays([self.ids, added_ids]).take(pa.array(places))
+        found = np.bincount(places, minlength=len(self.parts) + len(added))
         found[: len(self.parts)] += self.found
         self._keep(added, added_ids, found)
         ends = np.frombuffer(ids.buffers()[1], np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
-        places, out = ends[np.searchsorted(starts, bounds)].tolist(), ids.buffers()[2] if len(ids) else None
-        return [out[a:b].to_pybytes() if b > a else b"" for a, b in zip(places, places[1:], strict=False)]
+        bounds, out = ends[firsts].tolist(), ids.buffers()[2] if len(ids) else None
+        return [out[a:b].to_pybytes() if b > a else b"" for a, b in zip(bounds, bounds[1:], strict=False)]
 
     def _stretches(self, text: str) -> list[tuple[bool, str]]:
         """Pieces beyond Latin-1, one by one, and what is between them, with the blanks that belong to them."""
